@@ -80,6 +80,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[int] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (what ``--py-files`` does), once per context.
+    Needed only by operators that run Python on executors (cogroup/applyInPandas kernels)."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    if not _ZIP:
+        import zipfile
+        path = os.path.join(tempfile.mkdtemp(prefix="quarry-pkg-"), "quarry.zip")
+        with zipfile.ZipFile(path, "w") as zf:
+            for root, _, names in os.walk(pkg):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(root, n)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        _ZIP.append(path)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(id(sc))
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
     return df.limit(max_rows + 1).count() <= max_rows
