@@ -95,11 +95,15 @@ def word_tokens(c, pattern: str = TOKEN_2PLUS, lowercase: bool = True) -> Column
 
 
 def bigrams(tokens) -> Column:
-    """Adjacent token pairs joined by a space; empty for fewer than two tokens."""
+    """Adjacent token pairs joined by a space; empty for fewer than two tokens.
+
+    Built with ``zip_with(tok, tok[2:])`` so the lambda body only sees its two elements: a token array
+    referenced *inside* a lambda would be re-evaluated per element when Catalyst inlines the expression
+    that produced it (quadratic in document length)."""
     tok = _col(tokens)
-    pairs = F.transform(F.sequence(F.lit(1), F.size(tok) - 1),
-                        lambda i: F.concat_ws(" ", F.slice(tok, i, 2)))
-    return F.when(F.size(tok) >= 2, pairs).otherwise(F.array().cast("array<string>"))
+    n_pairs = F.greatest(F.size(tok) - 1, F.lit(0))
+    pairs = F.zip_with(tok, F.slice(tok, F.lit(2), n_pairs), lambda a, b: F.concat_ws(" ", a, b))
+    return F.slice(pairs, F.lit(1), n_pairs)
 
 
 def with_bigrams(tokens) -> Column:
