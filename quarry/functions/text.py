@@ -64,8 +64,9 @@ def whitespace_tokens(c) -> Column:
 def drop_stop_words(tokens, stop_words: Sequence[str] = ENGLISH_STOP_WORDS, min_len: int = 3) -> Column:
     """Keep tokens longer than ``min_len - 1`` characters that are not stop words (order and
     repeats preserved, unlike ``array_except``)."""
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))])
-    return F.filter(_col(tokens), lambda x: (F.length(x) >= min_len) & ~F.array_contains(stop, x))
+    stop = sorted(set(stop_words))
+    # ``isin`` over many literals becomes a hash-set lookup (InSet); array_contains would scan the list
+    return F.filter(_col(tokens), lambda x: (F.length(x) >= min_len) & ~x.isin(stop))
 
 
 def clean_tokens(c, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
