@@ -274,9 +274,8 @@ def recommend(pairs: DataFrame, basket_cols: Sequence[str], rules: DataFrame, to
     best = cands.groupBy(*keys, "item").agg(
         F.min_by(F.struct("confidence", "lift", "support", "antecedents"),
                  F.struct(-F.col("lift"), -F.col("confidence"), -F.col("support"),
-                          F.array_join("antecedents", "|"))).alias("b"))
-    best = best.select(*keys, "item", "b.confidence", "b.lift", "b.support",
-                       F.array_join("b.antecedents", "|").alias("_ant"))
+                          F.array_join("antecedents", "|"))).alias("_best"))
+    best = best.select(*keys, "item", "_best.confidence", "_best.lift", "_best.support")
     w = Window.partitionBy(*keys).orderBy(F.col("lift").desc(), F.col("confidence").desc(),
                                           F.col("support").desc(), "item")
     return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)

@@ -131,7 +131,7 @@ def silhouette(points: DataFrame, key: str, features: str, cluster: str, block_r
     own = p.select("qk", F.col("c").alias("own"))
     per = per.join(own, "qk")
     agg = per.groupBy("qk", "own").agg(
-        F.max(F.when(F.col("c") == F.col("own"), F.col("sum_d") / (F.col("cnt") - 1))).alias("a"),
+        F.max(F.when(F.col("c") == F.col("own"), F.try_divide(F.col("sum_d"), F.col("cnt") - 1))).alias("a"),
         F.max(F.when(F.col("c") == F.col("own"), F.col("cnt"))).alias("own_n"),
         F.min(F.when(F.col("c") != F.col("own"), F.col("sum_d") / F.col("cnt"))).alias("b"))
     s = (F.when((F.col("own_n") <= 1) | F.col("b").isNull(), F.lit(0.0))

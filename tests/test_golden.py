@@ -21,7 +21,7 @@ def test_text_cleaning_edge_cases(spark):
     out = {r["id"]: r["c"] for r in df.select("id", tx.clean_text("text").alias("c")).collect()}
     assert out[1] == ""                      # whole mention removed ('x' is too short)
     assert out[2] == "see"                   # links gone, 'and'/'ok' dropped
-    assert out[3] == "words"                 # accents removed → 'tdj', 'nave' ... all short or kept?
+    assert out[3] == "nave words"            # non-ASCII letters dropped: "t", "dj" too short, "nave" kept
     assert out[4] == "" and out[5] == ""
     assert out[6] == "dont stop"             # quirk 10: 'dont' is not a stop word
     assert out[7] == "tab nbsp word"         # tab and no-break space split tokens
