@@ -7,14 +7,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import spread
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan one generated table. Text tables are spread over all cores when the scan is narrow (their
+    per-row work — regex cleaning, tokenising — happens before any shuffle)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 BASKET_KEYS = ("member", "day")

@@ -105,6 +105,14 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(id(sc))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition *only* when a scan yields fewer partitions than the cluster can run at once
+    (e.g. one large row group); CPU-heavy per-row work (text cleaning) then uses every core. A wide scan
+    (the normal case at scale) is returned unchanged, so no shuffle is added there."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
     return df.limit(max_rows + 1).count() <= max_rows
