@@ -120,6 +120,18 @@ def q_kmeans_clusters(spark, sf_dir):
     return out.select("vec_id", "cluster", "cluster_name")
 
 
+def q_cluster_profile(spark, sf_dir):
+    """V8 / A10: k-means clusters (k = 3) profiled by the mean of every numeric column."""
+    from quarry.operators import profile as P
+
+    out, _ = M.kmeans(_scaled_vectors(spark, sf_dir), "vec", k=3, seed=SEED)
+    dims = [F.col("embedding")[i].alias(f"e{i}") for i in range(4)]
+    frame = out.join(_embeddings(spark, sf_dir).select("vec_id", "embedding"), "vec_id").select(
+        "vec_id", "label", "cluster", *dims)
+    means = P.group_means(frame, "cluster")
+    return means.select("cluster", *[r6(c).alias(c) for c in means.columns if c != "cluster"])
+
+
 def q_elbow(spark, sf_dir):
     z = cut_lineage(_scaled_vectors(spark, sf_dir))
     per_dim = z.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(
@@ -185,6 +197,7 @@ QUERIES = {
     "tree": q_tree,
     "tree_nodes": q_tree_nodes,
     "kmeans_clusters": q_kmeans_clusters,
+    "cluster_profile": q_cluster_profile,
     "elbow": q_elbow,
     "pca_2d": q_pca_2d,
     "batch_features": q_batch_features,

@@ -15,14 +15,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+# Text tables: their per-row work (regex cleaning, tokenising) happens before the first shuffle, so a
+# narrow scan (one row group here) is spread over all cores.
+SPREAD_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one generated table. Text tables are spread over all cores when the scan is narrow (their
-    per-row work — regex cleaning, tokenising — happens before any shuffle)."""
+    """Scan one generated table (narrow scans of the tables above are spread, see ``session.spread``)."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df) if name in SPREAD_TABLES else df
 
 
 BASKET_KEYS = ("member", "day")
