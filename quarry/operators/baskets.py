@@ -9,7 +9,11 @@ Scale notes
   item vocabulary even when one basket holds a third of all purchase lines.
 - Level-wise counting only ever extends a basket's frequent (k-1)-itemsets by frequent items, so the rows a
   basket emits are bounded by the frequent vocabulary, and every count is a partial + final hash aggregate.
-- Each level's occurrences are checkpointed into the shared checkpoint folder (executor-loss safe).
+- Each level's candidate occurrences (the basket self-join) are computed once and checkpointed into the
+  shared checkpoint folder (executor-loss safe), then reused for counting and for the next level.
+- "All pairs within a basket" are bounded: a basket is de-duplicated and restricted to frequent items
+  first, so even a basket holding a third of all lines emits at most C(F, k) candidates (F = number of
+  frequent items, itself at most average basket size / min_support).
 - Rule, category and itemset tables are small by construction but still broadcast only behind a row check.
 """
 
@@ -104,14 +108,18 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
         cond = [occ[c] == ext[f"_b_{c}"] for c in keys] + [ext["_next"] > F.element_at(occ[ITEMS], -1)]
         cand = occ.join(ext, cond, "inner").select(
             *[occ[c] for c in keys], F.concat(occ[ITEMS], F.array(ext["_next"])).alias(ITEMS))
+        last = max_len is not None and k >= max_len
+        if not last:
+            # the basket self-join is the expensive step: run it once, reuse it for counting and extension
+            cand = cut_lineage(cand)
         counts = cand.groupBy(ITEMS).agg(F.count(F.lit(1)).alias("freq"))
         frequent_k = cut_lineage(counts.where(_support_ok(F.col("freq"), n, min_support)))
         if frequent_k.isEmpty():
             break
         levels.append(frequent_k)
-        if max_len is not None and k >= max_len:
+        if last:
             break
-        occ = cut_lineage(cand.join(broadcast_if_small(frequent_k.select(ITEMS)), ITEMS, "left_semi"))
+        occ = cand.join(broadcast_if_small(frequent_k.select(ITEMS)), ITEMS, "left_semi")
 
     out = levels[0]
     for lvl in levels[1:]:

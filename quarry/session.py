@@ -85,10 +85,11 @@ _ZIP: list[str] = []
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable by Python workers (what ``--py-files`` does), once per context.
-    Needed only by operators that run Python on executors (cogroup/applyInPandas kernels)."""
+    """Make this package importable by Python workers, once per context. Needed only by operators that
+    run Python on executors (cogroup / mapInPandas kernels). On a cluster the package is deployed with the
+    job (``spark-submit --py-files quarry.zip`` or an installed wheel), so only local masters ship it here."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if id(sc) in _SHIPPED or not _is_local(spark):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     if not _ZIP:
