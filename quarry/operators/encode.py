@@ -118,14 +118,20 @@ class ArrayScaler:
         return df.withColumn(out, z)
 
 
+def _dimension_stats(df: DataFrame, col: str, with_std: bool = True) -> tuple[list[float], list[float]]:
+    """Per-dimension mean (and population std) of an array column: one ``groupBy(dimension)`` with partial
+    aggregation; the result (one row per dimension) is the fitted model."""
+    long = df.select(F.posexplode(col).alias("_i", "_x")).select("_i", F.col("_x").cast("double").alias("_x"))
+    aggs = [F.avg("_x").alias("m")] + ([F.stddev_pop("_x").alias("s")] if with_std else [])
+    rows = sorted(long.groupBy("_i").agg(*aggs).collect(), key=lambda r: r["_i"])
+    means = [float(r["m"]) for r in rows]
+    stds = [float(r["s"]) or 1.0 for r in rows] if with_std else []
+    return means, stds
+
+
 def fit_array_scaler(df: DataFrame, col: str) -> ArrayScaler:
-    """Fit on an array column: dimension from the data, then one aggregate over every dimension."""
-    dim = df.agg(F.max(F.size(col))).first()[0] or 0
-    v = F.col(col)
-    row = df.agg(*[F.avg(v[i].cast("double")).alias(f"m{i}") for i in range(dim)],
-                 *[F.stddev_pop(v[i].cast("double")).alias(f"s{i}") for i in range(dim)]).first()
-    means = [float(row[f"m{i}"]) for i in range(dim)]
-    stds = [float(row[f"s{i}"]) or 1.0 for i in range(dim)]
+    """Fit on an array column (dimension taken from the data)."""
+    means, stds = _dimension_stats(df, col)
     return ArrayScaler(col, means, stds)
 
 
@@ -148,9 +154,7 @@ def pca_2d(df: DataFrame, features: str, k: int = 2, out: str = "pca") -> DataFr
 
     arr = df.withColumn("_a", vector_to_array(F.col(features)) if dict(df.dtypes)[features] == "vector"
                         else F.col(features).cast("array<double>"))
-    dim = arr.agg(F.max(F.size("_a"))).first()[0]
-    row = arr.agg(*[F.avg(F.col("_a")[i]).alias(f"m{i}") for i in range(dim)]).first()
-    means = F.array(*[F.lit(float(row[f"m{i}"])) for i in range(dim)])
+    means = F.array(*[F.lit(m) for m in _dimension_stats(arr, "_a", with_std=False)[0]])
     centred = arr.withColumn("_c", to_vector(F.transform("_a", lambda x, i: x - means[i])))
     model = PCA(k=k, inputCol="_c", outputCol="_p").fit(centred)
     pc = model.pc.toArray()                      # dim × k, small
