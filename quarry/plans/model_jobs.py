@@ -32,8 +32,14 @@ def r6(c):
 def _doc_features(spark, sf_dir):
     from quarry.plans.tables import table
 
+    from quarry.operators import text as T
+
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    coded, _ = E.label_encode(docs.select("doc_id", "lang", tx.clean_tokens("text").alias("tokens")), "lang", "label")
+    clean = docs.select("doc_id", "lang", tx.clean_tokens("text").alias("tokens"))
+    # the reference stems the cleaned tokens (T7), and its vectorizer then ignores 1-character stems
+    stems = T.stem_tokens(clean, "doc_id", F.col("tokens"))
+    stems = stems.select("doc_id", F.filter("stems", lambda x: F.length(x) >= 2).alias("tokens"))
+    coded, _ = E.label_encode(clean.select("doc_id", "lang").join(stems, "doc_id"), "lang", "label")
     coded = coded.withColumn("grams", tx.with_bigrams("tokens"))
     feats = M.tfidf_features(coded, "doc_id", "grams", TEXT_FEATURES)
     split = X.stratified_split(feats.select("doc_id", "label", "features"), "label", ["doc_id"], TEST_SIZE, SEED)

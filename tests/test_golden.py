@@ -145,3 +145,27 @@ def test_names_normalise(spark):
     assert [r[0] for r in df.select(tx.normalize_key("n")).collect()] == ["mr__mime", "ho_oh"]
     paths = spark.createDataFrame([("imgs/Ho_Oh.PNG",), ("a/b.c/mr-mime.png",)], "p string")
     assert [r[0] for r in paths.select(tx.file_stem("p")).collect()] == ["ho_oh", "mr-mime"]
+
+
+def test_porter_examples(spark):
+    from quarry.functions.stem import stem_column
+
+    # worked examples from the published algorithm
+    cases = {"caresses": "caress", "ponies": "poni", "cats": "cat", "feed": "feed", "agreed": "agre",
+             "plastered": "plaster", "motoring": "motor", "sing": "sing", "conflated": "conflat",
+             "hopping": "hop", "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat",
+             "conditional": "condit", "digitizer": "digit", "operator": "oper", "hopefulness": "hope",
+             "formaliti": "formal", "triplicate": "triplic", "goodness": "good", "revival": "reviv",
+             "adjustment": "adjust", "adoption": "adopt", "probate": "probat", "rate": "rate",
+             "controll": "control", "generalizations": "gener", "oscillators": "oscil", "at": "at"}
+    df = spark.createDataFrame([(k,) for k in cases], "token string")
+    got = {r["token"]: r["stem"] for r in stem_column(df, "token").collect()}
+    assert got == cases
+
+
+def test_stem_tokens_keeps_order_and_empty_docs(spark):
+    from quarry.operators.text import stem_tokens
+
+    df = spark.createDataFrame([(1, ["ponies", "cats", "ponies"]), (2, [])], "d long, t array<string>")
+    got = {r["d"]: r["stems"] for r in stem_tokens(df, "d", F.col("t")).collect()}
+    assert got == {1: ["poni", "cat", "poni"], 2: []}
