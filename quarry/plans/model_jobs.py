@@ -40,7 +40,8 @@ def _doc_features(spark, sf_dir):
     stems = T.stem_tokens(clean, "doc_id", F.col("tokens"))
     stems = stems.select("doc_id", F.filter("stems", lambda x: F.length(x) >= 2).alias("tokens"))
     coded, _ = E.label_encode(clean.select("doc_id", "lang").join(stems, "doc_id"), "lang", "label")
-    coded = coded.withColumn("grams", tx.with_bigrams("tokens"))
+    # cleaned + stemmed documents are read by several jobs below (counts, vocabulary, vectors): write once
+    coded = cut_lineage(coded.withColumn("grams", tx.with_bigrams("tokens")))
     feats = M.tfidf_features(coded, "doc_id", "grams", TEXT_FEATURES)
     split = X.stratified_split(feats.select("doc_id", "label", "features"), "label", ["doc_id"], TEST_SIZE, SEED)
     return cut_lineage(split)
@@ -169,7 +170,7 @@ def _fused(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     coded, classes = E.label_encode(docs.select("doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")),
                                     "lang", "label")
-    text = M.tfidf_features(coded, "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt")
+    text = M.tfidf_features(cut_lineage(coded), "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt")
     img = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), E.to_vector("embedding").alias("img"))
     joined = text.select("doc_id", "label", "txt").join(img, "doc_id")
     joined = VectorAssembler(inputCols=["img", "txt"], outputCol="features").transform(joined)
