@@ -39,9 +39,10 @@ def block_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     nl = n_left if n_left is not None else left.count()
     nr = n_right if n_right is not None else right.count()
     bl, br = _blocks(nl, block_rows), _blocks(nr, block_rows)
-    lb = (left.withColumn("_bi", F.pmod(F.xxhash64(left_key), F.lit(bl)))
+    # block ids must have the same type on both sides, or equal ids hash to different partitions
+    lb = (left.withColumn("_bi", F.pmod(F.xxhash64(left_key), F.lit(bl)).cast("int"))
           .withColumn("_bj", F.explode(F.sequence(F.lit(0), F.lit(br - 1)))))
-    rb = (right.withColumn("_bj", F.pmod(F.xxhash64(right_key), F.lit(br)))
+    rb = (right.withColumn("_bj", F.pmod(F.xxhash64(right_key), F.lit(br)).cast("int"))
           .withColumn("_bi", F.explode(F.sequence(F.lit(0), F.lit(bl - 1)))))
     return lb.groupBy("_bi", "_bj").cogroup(rb.groupBy("_bi", "_bj")).applyInPandas(fn, schema)
 

@@ -169,3 +169,42 @@ def test_stem_tokens_keeps_order_and_empty_docs(spark):
     df = spark.createDataFrame([(1, ["ponies", "cats", "ponies"]), (2, [])], "d long, t array<string>")
     got = {r["d"]: r["stems"] for r in stem_tokens(df, "d", F.col("t")).collect()}
     assert got == {1: ["poni", "cat", "poni"], 2: []}
+
+
+def test_sources_missing_path_charset_and_append(spark):
+    import os
+    import tempfile
+
+    import pytest
+
+    from quarry.sources import files as io
+
+    base = tempfile.mkdtemp(prefix="quarry-io-")
+    with pytest.raises(io.SourceNotFound):
+        io.read_csv(spark, os.path.join(base, "nope.csv"))
+    df = spark.createDataFrame([(1, "café"), (2, "naïve")], "id int, w string")
+    io.write_csv(df, os.path.join(base, "l1"), encoding="latin-1")
+    back = io.read_csv(spark, os.path.join(base, "l1"), schema="id int, w string", encoding="latin-1")
+    assert sorted(r["w"] for r in back.collect()) == ["café", "naïve"]
+    coll = os.path.join(base, "coll")
+    assert io.replace_collection(df, coll) == 2
+    assert io.append_collection(df, coll) == 2                      # re-running appends duplicates
+    assert io.read_collection(spark, coll, "id int, w string").count() == 4
+    assert io.replace_collection(df, coll) == 2
+    assert io.read_collection(spark, coll, "id int, w string").count() == 2
+
+
+def test_blocked_pairs_equal_single_block(spark, small_dir):
+    from quarry.operators import encode as E
+
+    e = spark.read.parquet(f"{small_dir}/embeddings.parquet").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    z = E.fit_array_scaler(e, "embedding").transform(e)
+    q, b = z.where(F.col("vec_id") % 5 == 0), z.where(F.col("vec_id") % 5 != 0)
+    one = N.knn_candidates(q, b, "vec_id", "vec_id", "features", "label", 5, block_rows=100_000)
+    many = N.knn_candidates(q, b, "vec_id", "vec_id", "features", "label", 5, block_rows=7)
+    assert one.count() == many.count() > 0
+    assert one.exceptAll(many).count() == 0
+    s1 = N.silhouette(z, "vec_id", "features", "label", block_rows=100_000).select("vec_id", F.round("s", 9))
+    s2 = N.silhouette(z, "vec_id", "features", "label", block_rows=9).select("vec_id", F.round("s", 9))
+    assert s1.exceptAll(s2).count() == 0
