@@ -93,12 +93,16 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
 
     item_freq = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
     frequent_items = item_freq.where(_support_ok(F.col("freq"), n, min_support))
-    frequent_items = cut_lineage(frequent_items)
-    levels = [frequent_items.select(F.array("item").alias(ITEMS), "freq")]
-
-    # occurrences of frequent items, reused by every level
-    occ_items = pairs.join(broadcast_if_small(frequent_items.select("item")), "item", "left_semi")
-    occ_items = cut_lineage(occ_items.select(*keys, "item"))
+    # dense integer ids in item order: joins and itemset aggregates then shuffle ints, not strings, and a
+    # sorted id array is also a sorted name array. The window runs over the frequent items only (at most
+    # average basket size / min_support rows).
+    frequent_items = cut_lineage(frequent_items.select(
+        "item", "freq", (F.row_number().over(Window.orderBy("item")) - 1).cast("int").alias("iid")))
+    levels = [frequent_items.select(F.array("iid").alias(ITEMS), "freq")]
+
+    # occurrences of frequent items (as ids), reused by every level
+    ids = broadcast_if_small(frequent_items.select("item", "iid"))
+    occ_items = cut_lineage(pairs.join(ids, "item").select(*keys, F.col("iid").alias("item")))
     occ = occ_items.select(*keys, F.array("item").alias(ITEMS))
 
     k = 1
@@ -124,8 +128,13 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
     out = levels[0]
     for lvl in levels[1:]:
         out = out.unionByName(lvl)
-    return out.select(ITEMS, "freq", (F.col("freq") / F.lit(float(n))).alias("support"),
-                      F.size(ITEMS).alias("size"))
+    # back to names, over the (small) result table only
+    named = (out.select(ITEMS, "freq", F.posexplode(ITEMS).alias("_pos", "iid"))
+             .join(broadcast_if_small(frequent_items.select("iid", "item")), "iid")
+             .groupBy(ITEMS, "freq").agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_n"))
+             .select(F.col("_n.item").alias(ITEMS), "freq"))
+    return named.select(ITEMS, "freq", (F.col("freq") / F.lit(float(n))).alias("support"),
+                        F.size(ITEMS).alias("size"))
 
 
 # ---------------------------------------------------------------------------------------------------------
