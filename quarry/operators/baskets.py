@@ -24,9 +24,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_if_small, cut_lineage
+from quarry.session import broadcast_if_small, cut_lineage, row_count_at_most
 
 ITEMS = "items"
+NAME_LOOKUP_MAX = 10_000   # frequent items restored by a literal array up to this many
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -128,11 +129,17 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
     out = levels[0]
     for lvl in levels[1:]:
         out = out.unionByName(lvl)
-    # back to names, over the (small) result table only
-    named = (out.select(ITEMS, "freq", F.posexplode(ITEMS).alias("_pos", "iid"))
-             .join(broadcast_if_small(frequent_items.select("iid", "item")), "iid")
-             .groupBy(ITEMS, "freq").agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_n"))
-             .select(F.col("_n.item").alias(ITEMS), "freq"))
+    # back to names, over the (small) result table only: a literal lookup array when the frequent-item
+    # table is small (checked), a join otherwise
+    if row_count_at_most(frequent_items, NAME_LOOKUP_MAX):
+        names = [r["item"] for r in frequent_items.select("iid", "item").orderBy("iid").collect()]
+        lookup = F.array(*[F.lit(x) for x in names])
+        named = out.select(F.transform(ITEMS, lambda i: lookup[i]).alias(ITEMS), "freq")
+    else:
+        named = (out.select(ITEMS, "freq", F.posexplode(ITEMS).alias("_pos", "iid"))
+                 .join(frequent_items.select("iid", "item"), "iid")
+                 .groupBy(ITEMS, "freq").agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_n"))
+                 .select(F.col("_n.item").alias(ITEMS), "freq"))
     return named.select(ITEMS, "freq", (F.col("freq") / F.lit(float(n))).alias("support"),
                         F.size(ITEMS).alias("size"))
 
