@@ -65,3 +65,11 @@ def test_bigrams_never_recompute_cleaning_in_lambda(spark):
     df = spark.createDataFrame([(1, "alpha beta gamma delta")], "id int, text string")
     d = df.select("id", tx.clean_tokens("text").alias("t")).select(tx.with_bigrams("t").alias("g"))
     assert d.first()["g"] == ["alpha", "beta", "gamma", "delta", "alpha beta", "beta gamma", "gamma delta"]
+
+
+def test_top_n_per_group_is_limited_before_the_shuffle(spark, small_dir):
+    plan = _plan(text_jobs.q_class_terms_top(spark, small_dir))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    m = basket_jobs.Mining(spark, small_dir)
+    plan = _plan(B.recommend(m.pairs, ["member", "day"], m.positive, 3))
+    assert plan.count("WindowGroupLimit") >= 2
