@@ -80,7 +80,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 _ZIP: list[str] = []
 
 
@@ -89,7 +89,7 @@ def ship_package(spark: SparkSession) -> None:
     run Python on executors (cogroup / mapInPandas kernels). On a cluster the package is deployed with the
     job (``spark-submit --py-files quarry.zip`` or an installed wheel), so only local masters ship it here."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED or not _is_local(spark):
+    if sc.applicationId in _SHIPPED or not _is_local(spark):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     if not _ZIP:
@@ -103,7 +103,7 @@ def ship_package(spark: SparkSession) -> None:
                         zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
         _ZIP.append(path)
     sc.addPyFile(_ZIP[0])
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
