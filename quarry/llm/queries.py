@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import packing
+from quarry.llm import decontaminate, packing
 from quarry.llm.common import read
 
 
@@ -21,5 +21,37 @@ def op5_packing(spark, sf_dir):
                          F.col("total").alias("doc_tokens"), "sequence_id", "offset", "segment", "loss")
 
 
-QUERIES = {"op5_packing": op5_packing}
-SQL: dict[str, str] = {}
+def op7_decontamination(spark, sf_dir):
+    """Every document against every window of 10 words of the benchmark."""
+    docs = read(spark, sf_dir, "documents")
+    found = decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", found.alias("f")).select(
+        "doc_id", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "f.items"), 256).alias("items_sha256"), (F.col("f.n_hit") > 0).alias("contaminated"))
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP7_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS m, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS p
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (
+  SELECT doc_id, i, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS p
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+occ AS (SELECT doc_id, i, dw.m, item FROM dw JOIN win ON dw.p = win.p AND dw.m = win.m),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+QUERIES = {"op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+SQL: dict[str, str] = {"op7_decontamination": OP7_SQL}
