@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, packing
+from quarry.llm import decontaminate, packing, sharding
 from quarry.llm.common import read
 
 
@@ -53,5 +53,15 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
 
-QUERIES = {"op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+def op1_sharding(spark, sf_dir):
+    """All documents in 16 shards whose numbers of rows differ by at most one (law ``rows``)."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    bytes_ = F.coalesce(F.octet_length("text"), F.lit(0))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return sharding.shuffle_to_shards(docs, 16).select(
+        "doc_id", (bytes_ + 1).cast("long").alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
 SQL: dict[str, str] = {"op7_decontamination": OP7_SQL}
