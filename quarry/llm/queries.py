@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, packing, sharding
+from quarry.llm import decontaminate, packing, sharding, suffix_dedup
 from quarry.llm.common import read
 
 
@@ -63,5 +63,32 @@ def op1_sharding(spark, sf_dir):
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
-SQL: dict[str, str] = {"op7_decontamination": OP7_SQL}
+def op3_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of its 50-byte strings that start in an earlier document too."""
+    done = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+w AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2 - 49)) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS m FROM w GROUP BY s),
+hit AS (SELECT DISTINCT doc_id, i FROM w JOIN f USING (s) WHERE m < doc_id),
+run AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g
+        FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END
+              AS new FROM hit)),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, g),
+gap AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+          string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+        FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, len(hx) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+
+QUERIES = {"op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
