@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, packing, sharding, suffix_dedup
+from quarry.llm import decontaminate, packing, sharding, suffix_dedup, warc
 from quarry.llm.common import read
+from quarry.session import scratch_path
 
 
 def tokenizer_path() -> str:
@@ -90,5 +91,27 @@ SELECT d.doc_id, len(hx) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT)
 FROM d LEFT JOIN cut USING (doc_id)"""
 
 
-QUERIES = {"op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
-SQL: dict[str, str] = {"op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
+def op6_warc(spark, sf_dir):
+    """All pages written as WARC records, read back and indexed, each looked up by its URL and id."""
+    pages = read(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path)
+    found = warc.lookup(spark, warc.build_index(spark, path), pages, id="page_id")
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+                        F.col("type").alias("record_type"), "refers_to")
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(encode(coalesce(html, ''))) AS x FROM pages),
+f AS (SELECT x, min(page_id) AS first FROM p GROUP BY x)
+SELECT page_id, octet_length(encode(h)) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    (CAST('0x' || substr(p.x, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (x)"""
+
+
+QUERIES = {"op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
