@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, packing, sharding, suffix_dedup, warc
+from quarry.llm import decontaminate, minhash, packing, sharding, suffix_dedup, warc
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -113,5 +113,12 @@ SELECT page_id, octet_length(encode(h)) AS payload_bytes,
 FROM p JOIN f USING (x)"""
 
 
-QUERIES = {"op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+def op4_near_dedup(spark, sf_dir):
+    """Near-duplicate groups of all documents; the smallest doc_id of a group is kept."""
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "group_id",
+                        (F.col("key") == F.col("group_id")).alias("kept"))
+
+
+QUERIES = {"op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
 SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
