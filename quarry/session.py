@@ -80,6 +80,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_by(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """A reliable checkpoint of ``df`` dealt by ``keys`` that Spark still knows to be dealt so: joins, groupings and
+    cogroups on the keys do not shuffle it again. (An adaptive plan does not pass its partitioning on to a
+    checkpoint, so this one plan is not adaptive; the session's setting is put back.)"""
+    spark = df.sparkSession
+    key, before = "spark.sql.adaptive.enabled", spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set(key, "false")
+    try:
+        return cut_lineage(df.repartition(partitions, *keys))
+    finally:
+        spark.conf.set(key, before)
+
+
 _SHIPPED: set[str] = set()
 _ZIP: list[str] = []
 
