@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quarry.llm.common import cut_lineage, shuffle_partitions
+from quarry.session import cut_lineage_by
 
 WIDTH = 50
 TRIGGER = 20                 # bytes of a trigger; less when the strings are shorter
@@ -406,7 +407,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
         if held:
             yield put()
 
-    chunks = cut_lineage(src.mapInArrow(gather, "chunk long, n_bytes long, body binary").repartition(parts, "chunk"))
+    chunks = cut_lineage_by(src.mapInArrow(gather, "chunk long, n_bytes long, body binary"), parts, "chunk")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     keys = int(total * 2 / (width - trigger + 2)) + 1
     bits = max(0, (keys // KEYS_A_BUCKET).bit_length())
