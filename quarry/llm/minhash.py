@@ -50,8 +50,9 @@ def _rolling() -> Rolling:
 _HELD: list[Rolling] = []
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of a batch of texts in order, and how many words each text has. Words are lower-cased
+def word_hashes(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Hash of every word of a batch of texts in order, and how many words each text has; then, for each number of
+    bytes in ``prefixes``, the hash of the word's beginning (0 for words that are not longer). Words are lower-cased
     (A-Z) runs of ASCII letters, digits and non-ASCII characters."""
     text = texts.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
@@ -59,6 +60,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
     roll, hashes, starts, lo = _rolling(), [], [], 0
+    parts: list[list[np.ndarray]] = [[] for _ in prefixes]
     while lo < len(x):
         hi = min(len(x), lo + SEGMENT)
         while hi < len(x) and _WORD[x[hi]] and _WORD[x[hi - 1]]:  # up to the end of a word
@@ -77,10 +79,14 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         sums = roll.sums(_BYTE[piece])
         hashes.append(mix((sums[e] - sums[s]) * roll.down[s] + (e - s).astype(np.uint64)))
         starts.append(s + lo)
+        for n, out in zip(prefixes, parts):
+            out.append(np.where(e - s > n, mix((sums[np.minimum(e, s + n)] - sums[s]) * roll.down[s] +
+                                               np.uint64(n << 40)), np.uint64(0)))
         lo = hi
     h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return h, np.diff(np.searchsorted(at, offsets))
+    return (h, np.diff(np.searchsorted(at, offsets)),
+            *[np.concatenate(p) if p else np.zeros(0, np.uint64) for p in parts])
 
 
 def shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

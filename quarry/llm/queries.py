@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, minhash, packing, sharding, suffix_dedup, warc
+from quarry.llm import decontaminate, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -120,5 +120,50 @@ def op4_near_dedup(spark, sf_dir):
                         (F.col("key") == F.col("group_id")).alias("kept"))
 
 
-QUERIES = {"op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+def _graded(spark, sf_dir):
+    """The ratings as grades: 0 poor, 1 good but toxic, 2 good."""
+    labels = read(spark, sf_dir, "labels")
+    good = F.col("quality") == 1
+    return labels.select("doc_id", F.when(~good, 0).when(good & (F.col("toxic") == 1), 1).when(good, 2).alias("grade"))
+
+
+def op9_quality(spark, sf_dir):
+    """Expected grade of every document and its probability of grade 1 or more, by which it is selected."""
+    found = ordinal.rate(read(spark, sf_dir, "documents"), _graded(spark, sf_dir), grades=3)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+# The words that tell the two kinds of toxic labels apart.
+INSULT = "clown dumb fool idiot loser moron stupid".split()
+CONTEMPT = "disgusting garbage pathetic scum trash vile worthless".split()
+
+
+def toxic_categories():
+    """The chain: insults, contempt, then toxicity of any kind. The labels name only toxic documents; the kind is that
+    of the words in them."""
+    toxic, text = F.col("toxic") == 1, F.lower("_text")
+    has = lambda words: text.rlike(r"\b(" + "|".join(words) + r")\b")
+    return {"insult": toxic & has(INSULT), "contempt": toxic & has(CONTEMPT), "toxic": toxic}
+
+
+TOXIC_AT = 0.5
+
+
+def toxic_probabilities(docs, spark, sf_dir, source=None):
+    """The chain's probabilities over ``docs``, learnt from all given documents that have labels."""
+    source = read(spark, sf_dir, "documents") if source is None else source
+    model_input = source.select("doc_id", "text")
+    return toxicity.chain_probabilities(model_input, read(spark, sf_dir, "labels"), toxic_categories())
+
+
+def op10_toxicity(spark, sf_dir):
+    """Probabilities of insult, contempt and toxicity of every document."""
+    docs = read(spark, sf_dir, "documents")
+    p = toxic_probabilities(docs, spark, sf_dir)
+    return docs.select("doc_id", p.alias("p")).select(
+        "doc_id", *[F.col("p")[i].alias(f"p_{n}") for i, n in enumerate(toxic_categories())]).withColumn(
+        "toxic", F.col("p_toxic") >= TOXIC_AT)
+
+
+QUERIES = {"op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
 SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
