@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from quarry.session import cut_lineage, cut_lineage_by, ensure_checkpoint_dir, ship_package
 
 # A-Z to a-z, every other byte unchanged
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -25,6 +31,52 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(name) for name, src in columns.items()])
 
 
+def text_chunks(src: DataFrame, chunk_bytes: int) -> DataFrame:
+    """The rows of ``src`` in chunks of about ``chunk_bytes`` bytes of its binary column ``text`` (a longer text is a
+    chunk of its own): ``chunk``, ``n_bytes`` and ``body``, the rows as a compressed Arrow stream. Chunks are dealt
+    over the cluster by their number and checkpointed; joins and cogroups by ``chunk`` do not move them again."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def put() -> pa.RecordBatch:
+            nonlocal number
+            sink = pa.BufferOutputStream()
+            table = pa.Table.from_batches(held).combine_chunks()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_table(table)
+            number += 1
+            return pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int64()),
+                                               "n_bytes": pa.array([size], pa.int64()),
+                                               "body": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(
+                zero_copy_only=False).astype(np.int64)
+            at = 0
+            while at < batch.num_rows:
+                room = np.cumsum(lengths[at:] + 16)
+                n = max(1, int(np.searchsorted(room, chunk_bytes - size, side="right")))
+                held.append(batch.slice(at, n))
+                size += int(room[min(n, len(room)) - 1])
+                at += n
+                if size >= chunk_bytes or at < batch.num_rows:
+                    yield put()
+                    held, size = [], 0
+        if held:
+            yield put()
+
+    return cut_lineage_by(src.mapInArrow(gather, "chunk long, n_bytes long, body binary"),
+                          shuffle_partitions(src.sparkSession), "chunk")
+
+
+def rows_of(body: pa.Scalar) -> pa.Table:
+    """The rows of one chunk."""
+    return pa.ipc.open_stream(body.as_buffer()).read_all()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -68,4 +120,4 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-__all__ = ["LOWER", "components", "cut_lineage", "only", "read", "shuffle_partitions"]
+__all__ = ["LOWER", "components", "cut_lineage", "only", "read", "rows_of", "shuffle_partitions", "text_chunks"]

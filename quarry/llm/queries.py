@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
+from quarry.llm import class_lm, decontaminate, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -165,5 +165,11 @@ def op10_toxicity(spark, sf_dir):
         "toxic", F.col("p_toxic") >= TOXIC_AT)
 
 
-QUERIES = {"op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+def op2_class_lm(spark, sf_dir):
+    """Log10 probability of every document by the class model and by the unigram base."""
+    docs = read(spark, sf_dir, "documents")
+    return class_lm.score_texts(docs, class_lm.held_out("doc_id")).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op2_class_lm": op2_class_lm, "op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
 SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}

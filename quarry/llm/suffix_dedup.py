@@ -29,15 +29,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.common import cut_lineage, shuffle_partitions
-from quarry.session import cut_lineage_by
+from quarry.llm.common import cut_lineage, rows_of, text_chunks
 
 WIDTH = 50
 TRIGGER = 20                 # bytes of a trigger; less when the strings are shorter
@@ -353,8 +350,8 @@ def keep_few(a, b, doc, many):
     return aa[order], bb[order], dd[order], index[order]
 
 
-def _load(body: bytes, width: int, trigger: int) -> Chunk:
-    return Chunk(pa.ipc.open_stream(body).read_all(), width, trigger)
+def _load(body: pa.Scalar, width: int, trigger: int) -> Chunk:
+    return Chunk(rows_of(body), width, trigger)
 
 
 def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (),
@@ -371,43 +368,10 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
     """
     if width < 2:
         raise ValueError("width must be at least 2")
-    spark = df.sparkSession
     trigger = max(1, min(TRIGGER, width - 1))
     src = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"),
                     *[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(carry)])
-    parts = shuffle_partitions(spark)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0
-
-        def put() -> pa.RecordBatch:
-            nonlocal number
-            sink = pa.BufferOutputStream()
-            table = pa.Table.from_batches(held).combine_chunks()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                w.write_table(table)
-            number += 1
-            return pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int64()),
-                                               "n_bytes": pa.array([size], pa.int64()),
-                                               "body": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-
-        for batch in batches:
-            lengths = pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = 0
-            while at < batch.num_rows:
-                room = np.cumsum(lengths[at:] + 16)
-                n = max(1, int(np.searchsorted(room, chunk_bytes - size, side="right")))
-                held.append(batch.slice(at, n))
-                size += int(room[min(n, len(room)) - 1])
-                at += n
-                if size >= chunk_bytes or at < batch.num_rows:
-                    yield put()
-                    held, size = [], 0
-        if held:
-            yield put()
-
-    chunks = cut_lineage_by(src.mapInArrow(gather, "chunk long, n_bytes long, body binary"), parts, "chunk")
+    chunks = text_chunks(src, chunk_bytes)
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     keys = int(total * 2 / (width - trigger + 2)) + 1
     bits = max(0, (keys // KEYS_A_BUCKET).bit_length())
@@ -415,14 +379,14 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column("chunk").to_pylist(), batch.column("body")):
-                a = _load(body.as_buffer(), width, trigger).triggers()[0]
+                a = _load(body, width, trigger).triggers()[0]
                 yield rows_batch(list(send(number, bits, a, None, None)), _SENT_ARROW)
 
     def sender(step: int):
         def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
             out = []
             for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
-                s = Steps(_load(body.as_buffer(), width, trigger), bits, right)
+                s = Steps(_load(body, width, trigger), bits, right)
                 if step == 2:
                     _, (a, b, doc, _, many) = s.phrases()
                     a, b, doc, _ = keep_few(a, b, doc, many)
@@ -449,7 +413,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for body in left.column("body"):
-            c = _load(body.as_buffer(), width, trigger)
+            c = _load(body, width, trigger)
             gone = Steps(c, bits, right).covered()
             spans, kept = [], []
             for lo, hi in zip(c.begin[:-1], c.begin[1:]):
