@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import class_lm, decontaminate, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
+from quarry.llm import class_lm, decontaminate, embedding_dedup, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -171,5 +171,24 @@ def op2_class_lm(spark, sf_dir):
     return class_lm.score_texts(docs, class_lm.held_out("doc_id")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op2_class_lm": op2_class_lm, "op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
-SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
+def op8_embedding_dedup(spark, sf_dir):
+    """Links of cosine 0.98 or more between all embeddings of the same label, and their components."""
+    return embedding_dedup.link_embeddings(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+OP8_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ok AS (SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL
+  AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id"""
+
+
+QUERIES = {"op8_embedding_dedup": op8_embedding_dedup, "op2_class_lm": op2_class_lm, "op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
+SQL: dict[str, str] = {"op8_embedding_dedup": OP8_SQL, "op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
