@@ -34,6 +34,12 @@ class Graph:
                 at = end
         else:
             self.links = links
+        # who links to a node: crowds of like vectors drop links to some of their own, which still link to them
+        low = self.links[0]
+        frm, to = np.nonzero(low >= 0)
+        to = low[frm, to]
+        self.back = frm[np.argsort(to, kind="stable")]
+        self.back_at = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=n))]) if n else np.zeros(1, int)
 
     def _insert(self, new: np.ndarray) -> None:
         start = int(new[0])
@@ -149,7 +155,7 @@ class Graph:
 
     def near(self, q: np.ndarray, least: float, beam: int) -> list[np.ndarray]:
         """For each query the nodes of similarity ``least`` or more that are found: a beam search finds the
-        neighbourhood, and from what is near enough all links are followed as long as they lead to more."""
+        neighbourhood, and from what is near enough all links, either way, are followed as long as they lead to more."""
         if not len(self.x):
             return [np.zeros(0, np.int64)] * len(q)
         entry = np.zeros((len(q), 1), np.int64)
@@ -164,7 +170,8 @@ class Graph:
                 seen[ids[i][ids[i] >= 0]] = True
                 front, all_ = found, [found]
                 while len(front):
-                    nb = self.links[0][front].reshape(-1)
+                    nb = np.concatenate([self.links[0][front].reshape(-1),
+                                         *[self.back[self.back_at[f]:self.back_at[f + 1]] for f in front]])
                     nb = np.unique(nb[nb >= 0])
                     nb = nb[~seen[nb]]
                     seen[nb] = True
