@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import components, cut_lineage
@@ -191,6 +191,12 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return table, (found[0]["n"] if found else 0)
 
 
+def document_key(df: DataFrame, id: str = "doc_id", text: str = "text") -> Column:
+    """The id; in place of a null one a number of at least 2**62 made from the text."""
+    made = F.xxhash64(df[f"`{text}`"]).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(df[f"`{id}`"].cast("long"), made)
+
+
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_least: float = SIMILARITY,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``df``: ``id`` (long), ``class_id`` (smallest id with the same weighted shingles),
@@ -202,9 +208,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_le
     are read whole. An empty table gives an empty result. Other columns are not read.
     """
     spark = df.sparkSession
-    own = F.coalesce(F.col(f"`{id}`").cast("long"),
-                     F.xxhash64(F.col(f"`{text}`")).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
-    docs = df.select(own.alias("key"), F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    docs = df.select(document_key(df, id, text).alias("key"), F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     counts, n = document_frequencies(docs)
     idf = spark.sparkContext.broadcast((np.log((1 + n) / (1 + counts)).clip(0) + 1).astype(np.float32))
 
