@@ -7,14 +7,11 @@ sets compare equal and can be join and group keys.
 Scale notes
 - Nothing is collected per basket without first de-duplicating items, so a basket row is bounded by the
   item vocabulary even when one basket holds a third of all purchase lines.
-- Level-wise counting only ever extends a basket's frequent (k-1)-itemsets by frequent items, so the rows a
-  basket emits are bounded by the frequent vocabulary, and every count is a partial + final hash aggregate.
-- Each level's candidate occurrences (the basket self-join) are computed once and checkpointed into the
-  shared checkpoint folder (executor-loss safe), then reused for counting and for the next level.
-- "All pairs within a basket" are bounded: a basket is de-duplicated and restricted to frequent items
-  first, so even a basket holding a third of all lines emits at most C(F, k) candidates (F = number of
-  frequent items, itself at most average basket size / min_support).
-- Rule, category and itemset tables are small by construction but still broadcast only behind a row check.
+- Level-wise counting holds one row per basket with its sorted frequent items. A level's candidates are made inside
+  that row, from the basket's frequent sets of the level before, and go straight into a partial aggregate: one shuffle
+  per level, of counts, and no candidate is written anywhere.
+- Itemset, rule and category tables that are joined to baskets are stored first, so Spark knows their size in bytes and
+  broadcasts them or not by its own threshold.
 """
 
 from __future__ import annotations
@@ -24,10 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_if_small, cut_lineage, row_count_at_most
+from quarry.session import cut_lineage, stored
 
 ITEMS = "items"
-NAME_LOOKUP_MAX = 10_000   # frequent items restored by a literal array up to this many
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -83,8 +79,8 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
     """Apriori-style counting: ``(items, freq, support, size)`` for every itemset with
     ``freq / n_baskets >= min_support`` and ``size <= max_len``.
 
-    Level k extends each basket's frequent (k-1)-itemsets with a larger frequent item of the same basket
-    (an equi-join on the basket key plus ``item > last``), then counts candidates with a hash aggregate.
+    Level k extends each basket's frequent (k-1)-itemsets with larger frequent items of the same basket, inside the
+    basket's row, then counts candidates with a hash aggregate.
     """
     keys = list(basket_cols)
     n = n_baskets if n_baskets is not None else count_baskets(pairs, keys)
@@ -94,52 +90,41 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
 
     item_freq = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
     frequent_items = item_freq.where(_support_ok(F.col("freq"), n, min_support))
-    # dense integer ids in item order: joins and itemset aggregates then shuffle ints, not strings, and a
-    # sorted id array is also a sorted name array. The window runs over the frequent items only (at most
-    # average basket size / min_support rows).
-    frequent_items = cut_lineage(frequent_items.select(
-        "item", "freq", (F.row_number().over(Window.orderBy("item")) - 1).cast("int").alias("iid")))
+    # dense integer ids in item order: itemset aggregates then shuffle ints, not strings, and a sorted id array is
+    # also a sorted name array. The window runs over the frequent items only (at most average basket size /
+    # min_support rows).
+    frequent_items = stored(frequent_items.select(
+        "item", "freq", (F.row_number().over(Window.orderBy("item")) - 1).cast("int").alias("iid")), "items")
     levels = [frequent_items.select(F.array("iid").alias(ITEMS), "freq")]
 
-    # occurrences of frequent items (as ids), reused by every level
-    ids = broadcast_if_small(frequent_items.select("item", "iid"))
-    occ_items = cut_lineage(pairs.join(ids, "item").select(*keys, F.col("iid").alias("item")))
-    occ = occ_items.select(*keys, F.array("item").alias(ITEMS))
+    # one row per basket: its frequent items as sorted ids
+    ids = frequent_items.select("item", "iid")
+    baskets = cut_lineage(pairs.join(ids, "item").groupBy(*keys).agg(
+        F.array_sort(F.collect_list("iid")).alias("_ids")).select("_ids"))
+    # the basket's frequent sets of the last level, each with its items beyond the set
+    occ = baskets.select("_ids", F.explode("_ids").alias("_last")).select("_ids", F.array("_last").alias(ITEMS))
 
     k = 1
     while max_len is None or k < max_len:
         k += 1
-        ext = occ_items.select(*[F.col(c).alias(f"_b_{c}") for c in keys], F.col("item").alias("_next"))
-        cond = [occ[c] == ext[f"_b_{c}"] for c in keys] + [ext["_next"] > F.element_at(occ[ITEMS], -1)]
-        cand = occ.join(ext, cond, "inner").select(
-            *[occ[c] for c in keys], F.concat(occ[ITEMS], F.array(ext["_next"])).alias(ITEMS))
-        last = max_len is not None and k >= max_len
-        if not last:
-            # the basket self-join is the expensive step: run it once, reuse it for counting and extension
-            cand = cut_lineage(cand)
+        longer = F.filter("_ids", lambda x: x > F.element_at(ITEMS, -1))
+        cand = occ.select("_ids", ITEMS, F.explode(longer).alias("_next")).select(
+            "_ids", F.concat(ITEMS, F.array("_next")).alias(ITEMS))
         counts = cand.groupBy(ITEMS).agg(F.count(F.lit(1)).alias("freq"))
-        frequent_k = cut_lineage(counts.where(_support_ok(F.col("freq"), n, min_support)))
+        frequent_k = stored(counts.where(_support_ok(F.col("freq"), n, min_support)), "level")
         if frequent_k.isEmpty():
             break
         levels.append(frequent_k)
-        if last:
-            break
-        occ = cand.join(broadcast_if_small(frequent_k.select(ITEMS)), ITEMS, "left_semi")
+        occ = cand.join(frequent_k.select(ITEMS), ITEMS, "left_semi").select("_ids", ITEMS)
 
     out = levels[0]
     for lvl in levels[1:]:
         out = out.unionByName(lvl)
-    # back to names, over the (small) result table only: a literal lookup array when the frequent-item
-    # table is small (checked), a join otherwise
-    if row_count_at_most(frequent_items, NAME_LOOKUP_MAX):
-        names = [r["item"] for r in frequent_items.select("iid", "item").orderBy("iid").collect()]
-        lookup = F.array(*[F.lit(x) for x in names])
-        named = out.select(F.transform(ITEMS, lambda i: lookup[i]).alias(ITEMS), "freq")
-    else:
-        named = (out.select(ITEMS, "freq", F.posexplode(ITEMS).alias("_pos", "iid"))
-                 .join(frequent_items.select("iid", "item"), "iid")
-                 .groupBy(ITEMS, "freq").agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_n"))
-                 .select(F.col("_n.item").alias(ITEMS), "freq"))
+    # back to names, over the (small) result table only
+    named = (out.select(ITEMS, "freq", F.posexplode(ITEMS).alias("_pos", "iid"))
+             .join(frequent_items.select("iid", "item"), "iid")
+             .groupBy(ITEMS, "freq").agg(F.array_sort(F.collect_list(F.struct("_pos", "item"))).alias("_n"))
+             .select(F.col("_n.item").alias(ITEMS), "freq"))
     return named.select(ITEMS, "freq", (F.col("freq") / F.lit(float(n))).alias("support"),
                         F.size(ITEMS).alias("size"))
 
@@ -158,13 +143,15 @@ def frequent_itemsets_fpgrowth(pairs: DataFrame, basket_cols: Sequence[str], min
     keys = list(basket_cols)
     sets = pairs.groupBy(*keys).agg(F.collect_set("item").alias(ITEMS))
     n = n_baskets if n_baskets is not None else sets.count()
-    fp = FPGrowth(itemsCol=ITEMS, minSupport=float(min_support), minConfidence=1.0)
+    # Spark's smallest count is ceil(support * n) in floating point, which can be one too many: ask for a little
+    # less, and let the exact test below decide
+    asked = max(0.0, float(min_support) - 0.5 / n) if n else float(min_support)
+    fp = FPGrowth(itemsCol=ITEMS, minSupport=asked, minConfidence=1.0)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     found = fp.fit(sets).freqItemsets
     if max_len is not None:
         found = found.where(F.size(ITEMS) <= max_len)
-    # FP-growth uses freq >= ceil(s*n); apply the same float test as the level-wise job
     found = found.where(_support_ok(F.col("freq"), n, min_support))
     return found.select(F.array_sort(ITEMS).alias(ITEMS), "freq",
                         (F.col("freq") / F.lit(float(n))).alias("support"), F.size(ITEMS).alias("size"))
@@ -205,7 +192,7 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.5) -> DataF
         return F.expr(f"filter(items, (x, i) -> (shiftright(mask, i) & 1) = {bit})")
 
     splits = splits.select(side(1).alias("antecedents"), side(0).alias("consequents"), "support")
-    lookup = broadcast_if_small(sets)
+    lookup = stored(sets, "sets")
     a = lookup.select(F.col(ITEMS).alias("antecedents"), F.col("support").alias("antecedent_support"))
     c = lookup.select(F.col(ITEMS).alias("consequents"), F.col("support").alias("consequent_support"))
     rules = splits.join(a, "antecedents").join(c, "consequents")
@@ -260,13 +247,12 @@ def category_best_rule(rules: DataFrame, categories: dict[str, Sequence[str]]) -
     cat_rows = [(name, item) for name, items in categories.items() for item in items]
     cats = spark.createDataFrame(cat_rows, "category string, item string")
     names = spark.createDataFrame([(n,) for n in categories], "category string")
-    ranked = rules.withColumn("_rule_key", F.concat_ws("=>", F.array_join("antecedents", "|"),
-                                                       F.array_join("consequents", "|")))
-    exploded = ranked.select("*", F.explode("antecedents").alias("item"))
-    matched = exploded.join(F.broadcast(cats), "item").drop("item").dropDuplicates(["category", "_rule_key"])
+    exploded = rules.select("*", F.explode("antecedents").alias("item"))
+    matched = exploded.join(F.broadcast(cats), "item").drop("item").dropDuplicates(
+        ["category", "antecedents", "consequents"])
     w = Window.partitionBy("category").orderBy(*rule_order())
-    best = matched.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_rule_key")
-    return F.broadcast(names).join(best, "category", "left")
+    best = matched.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return names.join(best, "category", "left")   # at most a rule per category on the other side
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -278,22 +264,19 @@ def recommend(pairs: DataFrame, basket_cols: Sequence[str], rules: DataFrame, to
     already in it, the best rule per recommended item (highest lift; ties: confidence, support,
     antecedent), then the top ``top_n`` items per basket by that lift.
 
-    The containment (theta) join is rewritten as an equi-join: exploded antecedent items ⋈ basket items on
-    item, ``count == size(antecedent)`` per (basket, rule). The rule side is broadcast after a size check.
+    The containment (theta) join is rewritten as an equi-join: a rule meets the baskets that hold the first item of its
+    antecedent, and the rest is tested inside the basket's row, which carries its distinct items (bounded by the item
+    vocabulary). The baskets are dealt by their key once; everything after stays there. The rule table is stored, so
+    Spark broadcasts it by its size in bytes; past that the join on the item is shuffled and split where it is skewed.
     """
     keys = list(basket_cols)
-    r = rules.select(
-        F.concat_ws("=>", F.array_join("antecedents", "|"), F.array_join("consequents", "|")).alias("rule_id"),
-        "antecedents", "consequents", "confidence", "lift", "support")
-    ant = broadcast_if_small(
-        r.select("rule_id", F.size("antecedents").alias("ant_size"), F.explode("antecedents").alias("item")))
-    hits = pairs.select(*keys, "item").join(ant, "item")
-    contained = (hits.groupBy(*keys, "rule_id", "ant_size").agg(F.count(F.lit(1)).alias("hit"))
-                 .where(F.col("hit") == F.col("ant_size")).select(*keys, "rule_id"))
-    measures = broadcast_if_small(r.select("rule_id", "antecedents", "confidence", "lift", "support",
-                                           F.explode("consequents").alias("item")))
-    cands = contained.join(measures, "rule_id")
-    cands = cands.join(pairs.select(*keys, "item"), keys + ["item"], "left_anti")
+    r = stored(rules.select(F.element_at("antecedents", 1).alias("item"), "antecedents", "consequents", "confidence",
+                            "lift", "support"), "rules")
+    held = pairs.select(*keys, "item").groupBy(*keys).agg(F.collect_set("item").alias("_items"))
+    hits = held.select(*keys, "_items", F.explode("_items").alias("item")).join(r, "item")
+    contained = hits.where(F.size(F.array_except("antecedents", "_items")) == 0)
+    cands = contained.select(*keys, "antecedents", "confidence", "lift", "support", F.explode(
+        F.array_except("consequents", "_items")).alias("item"))
     # best rule per (basket, item): highest lift, then confidence, support, smallest antecedent
     best = cands.groupBy(*keys, "item").agg(
         F.min_by(F.struct("confidence", "lift", "support", "antecedents"),

@@ -13,9 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import broadcast_if_small
-
-MAX_CATEGORIES = 10_000
+from quarry.session import stored
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -30,9 +28,10 @@ def label_classes(df: DataFrame, col: str) -> DataFrame:
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(frame with ``out`` = code of ``col``, class table). Classes joined back behind a size check."""
-    classes = label_classes(df, col)
-    lookup = broadcast_if_small(classes.withColumnRenamed("class", col).withColumnRenamed("code", out or f"{col}_code"))
+    """(frame with ``out`` = code of ``col``, class table). The class table is stored, so the join back
+    broadcasts it or not by its size in bytes."""
+    classes = stored(label_classes(df, col), "classes")
+    lookup = classes.withColumnRenamed("class", col).withColumnRenamed("code", out or f"{col}_code")
     return df.join(lookup, col, "left"), classes
 
 
@@ -40,22 +39,28 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[DataF
 # One-hot, first category dropped
 
 
-def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct non-null values of a categorical column (the schema of a wide encoding needs them).
-    Raises instead of truncating when the column has more than ``max_categories`` values."""
+def text_columns(df: DataFrame, besides: Sequence[str] = ()) -> list[str]:
+    """The string columns of ``df``, which drop-first one-hot encodes when no list is given."""
+    return [c for c, kind in df.dtypes if kind == "string" and c not in besides]
+
+
+def categories(df: DataFrame, col: str, max_categories: int) -> list:
+    """Sorted distinct non-null values of a categorical column: they become the schema of a wide encoding, so the
+    caller states how many columns are acceptable. More raise an error; :func:`onehot_long` has no such bound."""
     vals = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_categories + 1).collect()
     if len(vals) > max_categories:
         raise ValueError(f"{col} has more than {max_categories} categories; use the long or vector form")
     return sorted(r[0] for r in vals)
 
 
-def onehot_drop_first(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def onehot_drop_first(df: DataFrame, cols: Sequence[str], max_categories: int) -> DataFrame:
     """E2 (wide, as ``get_dummies(drop_first=True)``): each text column becomes int 0/1 columns
-    ``col_value`` for every value but the alphabetically first; other columns pass through."""
+    ``col_value`` for every value but the alphabetically first; a null is 0 in all of them; other columns pass
+    through."""
     out = df
     for c in cols:
         vals = categories(df, c, max_categories)
-        out = out.select("*", *[(F.col(c) == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in vals[1:]]).drop(c)
+        out = out.select("*", *[F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}") for v in vals[1:]]).drop(c)
     return out
 
 
@@ -67,14 +72,17 @@ def onehot_long(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str]) ->
 
 
 def onehot_vector(df: DataFrame, col: str, out: str) -> DataFrame:
-    """E2 (vector): StringIndexer(alphabetDesc) + OneHotEncoder(dropLast) drops the alphabetically first
-    category, like the reference."""
+    """E2 (vector): one place for every category but the alphabetically first, in descending order of the alphabet;
+    the first category, nulls and values unseen when fitted are the zero vector. The indexer's two last places (first
+    category, unknown) are cut off."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
 
     idx = StringIndexer(inputCol=col, outputCol=f"{col}__idx", stringOrderType="alphabetDesc", handleInvalid="keep")
-    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=out, dropLast=True)
-    return Pipeline(stages=[idx, enc]).fit(df).transform(df).drop(f"{col}__idx")
+    indexer = idx.fit(df)
+    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=f"{col}__all", dropLast=False)
+    keep = VectorSlicer(inputCol=f"{col}__all", outputCol=out, indices=list(range(max(0, len(indexer.labels) - 1))))
+    return Pipeline(stages=[indexer, enc, keep]).fit(df).transform(df).drop(f"{col}__idx", f"{col}__all")
 
 
 # ---------------------------------------------------------------------------------------------------------

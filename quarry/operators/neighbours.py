@@ -2,14 +2,11 @@
 
 Exact Euclidean k-NN and silhouette need every query–point distance; in 64 dimensions no index prunes
 that. What must not happen is materialising the pairs as rows or putting all points in one task. So both
-sides are cut into hash blocks of at most ``block_rows`` rows; block (i, j) holds query block i and point
+sides are cut into hash blocks of about ``block_rows`` rows; block (i, j) holds query block i and point
 block j (each row replicated over the blocks of the other side, ``2·n·m/block_rows`` rows in total), and a
 vectorised numpy kernel inside ``cogroup().applyInPandas`` reduces each block pair to a few rows:
 the k nearest per query, or one (sum of distances, count) per query and cluster. A final hash
 aggregate / WindowGroupLimit merges the block results. Memory per task is bounded by ``block_rows``.
-
-For data where O(n·m) work is too much, ``approx_knn`` uses Spark's LSH join (approximate, different
-contract).
 """
 
 from __future__ import annotations
@@ -32,13 +29,27 @@ def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+def _order_nearest(d: np.ndarray, keys: np.ndarray, take: int) -> np.ndarray:
+    """For each row of distances the ``take`` nearest columns, ties by key: only columns up to the ``take``-th
+    smallest distance are ordered."""
+    if take >= d.shape[1]:
+        return np.stack([np.lexsort((keys, row)) for row in d])
+    edge = np.partition(d, take - 1, axis=1)[:, take - 1]
+    out = np.empty((len(d), take), np.int64)
+    for i, row in enumerate(d):
+        near = np.flatnonzero(row <= edge[i])
+        out[i] = near[np.lexsort((keys[near], row[near]))[:take]]
+    return out
+
+
 def block_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, fn, schema: str,
                 block_rows: int = BLOCK_ROWS, n_left: int | None = None, n_right: int | None = None) -> DataFrame:
     """Run ``fn(left_rows, right_rows) -> pandas.DataFrame`` on every (left block, right block) pair."""
     ship_package(left.sparkSession)
     nl = n_left if n_left is not None else left.count()
     nr = n_right if n_right is not None else right.count()
-    bl, br = _blocks(nl, block_rows), _blocks(nr, block_rows)
+    # small inputs use every core: at least as many query blocks as the cluster has
+    bl, br = max(_blocks(nl, block_rows), left.sparkSession.sparkContext.defaultParallelism), _blocks(nr, block_rows)
     # block ids must have the same type on both sides, or equal ids hash to different partitions
     lb = (left.withColumn("_bi", F.pmod(F.xxhash64(left_key), F.lit(bl)).cast("int"))
           .withColumn("_bj", F.explode(F.sequence(F.lit(0), F.lit(br - 1)))))
@@ -74,12 +85,11 @@ def knn_candidates(query: DataFrame, base: DataFrame, query_key: str, base_key:
         out_q, out_b, out_l, out_d = [], [], [], []
         for s in range(0, len(qm), CHUNK):
             d = np.round(_distances(qm[s:s + CHUNK], bm), DIGITS)
-            for r in range(d.shape[0]):
-                order = np.lexsort((bkeys, d[r]))[:take]
-                out_q.append(np.full(take, qkeys[s + r]))
-                out_b.append(bkeys[order])
-                out_l.append(blabs[order])
-                out_d.append(d[r][order])
+            order = _order_nearest(d, bkeys, take)
+            out_q.append(np.repeat(qkeys[s:s + len(d)], take))
+            out_b.append(bkeys[order].ravel())
+            out_l.append(blabs[order].ravel())
+            out_d.append(np.take_along_axis(d, order, 1).ravel())
         return pd.DataFrame({"qk": np.concatenate(out_q), "bk": np.concatenate(out_b),
                              "lab": np.concatenate(out_l), "dist": np.concatenate(out_d)})
 
@@ -139,17 +149,3 @@ def silhouette(points: DataFrame, key: str, features: str, cluster: str, block_r
          .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b")))
     return agg.select(F.col("qk").alias(key), F.col("own").alias(cluster), "a", "b",
                       F.coalesce(s, F.lit(0.0)).alias("s"))
-
-
-def approx_knn(query: DataFrame, base: DataFrame, key: str, features_vec: str, k: int = 5,
-               bucket_length: float = 2.0, num_tables: int = 3, threshold: float = 2.0) -> DataFrame:
-    """Approximate path for very large inputs: Spark's Euclidean LSH similarity join, then the k closest
-    candidates per query. Misses are possible (different contract from :func:`knn_candidates`)."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-
-    lsh = BucketedRandomProjectionLSH(inputCol=features_vec, outputCol="_h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=42).fit(base)
-    pairs = lsh.approxSimilarityJoin(query, base, threshold, distCol="dist")
-    pairs = pairs.select(F.col(f"datasetA.{key}").alias("qk"), F.col(f"datasetB.{key}").alias("bk"), "dist")
-    w = Window.partitionBy("qk").orderBy("dist", "bk")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

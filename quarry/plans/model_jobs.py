@@ -2,7 +2,7 @@
 
 Inputs (FIXTURES §2): multi-class text = ``documents`` (label = language), imbalanced tabular =
 ``orders`` ⋈ ``customer`` (label = urgent priority, balanced by undersampling as the reference does),
-measures = ``embeddings``; the fused classifier joins the embedding block and a text block per id.
+measures = ``embeddings``; the fused classifier joins two blocks of the documents, look and TF-IDF, per id.
 """
 
 from __future__ import annotations
@@ -41,10 +41,11 @@ def _doc_features(spark, sf_dir):
     stems = stems.select("doc_id", F.filter("stems", lambda x: F.length(x) >= 2).alias("tokens"))
     coded, _ = E.label_encode(clean.select("doc_id", "lang").join(stems, "doc_id"), "lang", "label")
     # cleaned + stemmed documents are read by several jobs below (counts, vocabulary, vectors): write once
-    coded = cut_lineage(coded.withColumn("grams", tx.with_bigrams("tokens")))
-    feats = M.tfidf_features(coded, "doc_id", "grams", TEXT_FEATURES)
-    split = X.stratified_split(feats.select("doc_id", "label", "features"), "label", ["doc_id"], TEST_SIZE, SEED)
-    return cut_lineage(split)
+    coded = coded.select("doc_id", "label", tx.with_bigrams("tokens").alias("grams"))
+    split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))
+    # vocabulary and idf are those of the training part
+    feats = M.tfidf_features(split, "doc_id", "grams", TEXT_FEATURES, fit_on=split.where("split = 'train'"))
+    return cut_lineage(feats.select("doc_id", "label", "features", "split"))
 
 
 def _predictions(model, test, key):
@@ -64,32 +65,45 @@ def q_svm_ovr(spark, sf_dir):
     return _predictions(model, d.where("split = 'test'"), "doc_id")
 
 
-def q_cv_scores(spark, sf_dir):
-    """V5: 5-fold stratified CV accuracy on the training part: per fold, plus mean and 2·std (population).
-    The five fits are independent, so they run as concurrent Spark jobs (as CrossValidator's
-    ``parallelism`` does)."""
-    from concurrent.futures import ThreadPoolExecutor
+def _lr(train):
+    return M.logistic_regression(train, multinomial=True, max_iter=1000)
+
 
-    train = X.kfold(_doc_features(spark, sf_dir).where("split = 'train'"), "label", ["doc_id"], 5, SEED)
-    train = cut_lineage(train)
+def _svm(train):
+    return M.linear_svm_ovr(train, max_iter=2000)
 
-    def fold_accuracy(f: int) -> tuple[int, float]:
-        model = M.logistic_regression(train.where(F.col("fold") != f), multinomial=True, max_iter=1000)
-        acc = V.accuracy(model.transform(train.where(F.col("fold") == f)), "label", "prediction")
-        return f, float(acc.first()["accuracy"])
 
-    with ThreadPoolExecutor(max_workers=5) as pool:
-        scores = sorted(pool.map(fold_accuracy, range(5)))
+def _cv_rows(scores):
     accs = np.array([a for _, a in scores])
-    mean, two_std = round(float(accs.mean()), 6), round(float(2 * accs.std()), 6)
+    return round(float(accs.mean()), 6), round(float(2 * accs.std()), 6)
+
+
+def q_cv_scores(spark, sf_dir):
+    """V5: 5-fold stratified CV accuracy on the training part: per fold, plus mean and 2·std (population)."""
+    train = cut_lineage(X.kfold(_doc_features(spark, sf_dir).where("split = 'train'"), "label", ["doc_id"], 5, SEED))
+    scores = M.cross_validate(train, _lr)
+    mean, two_std = _cv_rows(scores)
     rows = [(f, round(a, 6), mean, two_std) for f, a in scores]
     return spark.createDataFrame(rows, "fold int, accuracy double, cv_mean double, cv_2std double")
 
 
+def q_text_model_comparison(spark, sf_dir):
+    """Logistic regression against the linear SVM on the same split and folds: hold-out accuracy, CV mean and
+    2·std, verdict by hold-out accuracy."""
+    d = _doc_features(spark, sf_dir)
+    train = cut_lineage(X.kfold(d.where("split = 'train'"), "label", ["doc_id"], 5, SEED))
+    rows = []
+    for name, fit in (("logistic_regression", _lr), ("linear_svm", _svm)):
+        held = V.accuracy(fit(train).transform(d.where("split = 'test'")), "label", "prediction").first()["accuracy"]
+        rows.append((name, round(float(held), 6), *_cv_rows(M.cross_validate(train, fit))))
+    table = spark.createDataFrame(rows, "model string, accuracy double, cv_mean double, cv_2std double")
+    return M.rank_models(table, "accuracy")
+
+
 def _churn_like(spark, sf_dir, stratified=True):
     """Balanced urgent-order table with drop-first one-hot features (the churn jobs' preparation)."""
     df = X.undersample(_urgent_orders(spark, sf_dir), "urgent", ["o_orderkey"], SEED)
-    df = E.onehot_drop_first(df, ["o_orderstatus", "c_mktsegment"])
+    df = E.onehot_drop_first(df, E.text_columns(df), max_categories=100)
     feats = [c for c in df.columns if c not in ("o_orderkey", "urgent")]
     df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).select(
         "o_orderkey", F.col("urgent").alias("label"), "features")
@@ -124,7 +138,7 @@ def q_tree_nodes(spark, sf_dir):
 def _scaled_vectors(spark, sf_dir):
     e = _embeddings(spark, sf_dir)
     z = E.fit_array_scaler(e, "embedding").transform(e)
-    return z.select("vec_id", "label", "features", E.to_vector("features").alias("vec"))
+    return z.select("vec_id", "label", "embedding", "features", E.to_vector("features").alias("vec"))
 
 
 def q_kmeans_clusters(spark, sf_dir):
@@ -133,15 +147,14 @@ def q_kmeans_clusters(spark, sf_dir):
 
 
 def q_cluster_profile(spark, sf_dir):
-    """V8 / A10: k-means clusters (k = 3) profiled by the mean of every numeric column."""
-    from quarry.operators import profile as P
-
+    """V8 / A10: k-means clusters (k = 3) profiled by the mean of every numeric column: one row per cluster and
+    embedding dimension, and one for the label."""
     out, _ = M.kmeans(_scaled_vectors(spark, sf_dir), "vec", k=3, seed=SEED)
-    dims = [F.col("embedding")[i].alias(f"e{i}") for i in range(4)]
-    frame = out.join(_embeddings(spark, sf_dir).select("vec_id", "embedding"), "vec_id").select(
-        "vec_id", "label", "cluster", *dims)
-    means = P.group_means(frame, "cluster")
-    return means.select("cluster", *[r6(c).alias(c) for c in means.columns if c != "cluster"])
+    long = out.select("cluster", F.explode(F.concat(
+        F.transform("embedding", lambda x, i: F.struct(F.concat(F.lit("e"), i.cast("string")).alias("column"),
+                                                       x.alias("x"))),
+        F.array(F.struct(F.lit("label").alias("column"), F.col("label").cast("double").alias("x"))))).alias("c"))
+    return long.groupBy("cluster", "c.column").agg(r6(F.avg("c.x")).alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
 def q_elbow(spark, sf_dir):
@@ -168,23 +181,32 @@ def q_batch_features(spark, sf_dir):
     return M.batch_features(_embeddings(spark, sf_dir), "vec_id", "embedding", _projection, 8, batch_size=32)
 
 
+def _shape(c: str):
+    """What a text looks like: its length and the shares of some kinds of characters, six numbers."""
+    n = F.greatest(F.length(c), F.lit(1))
+    share = lambda p: F.length(F.regexp_replace(F.col(c), p, "")) / n  # noqa: E731  the characters that p leaves
+    return F.array(F.log1p(F.length(c).cast("double")), share("[^A-Z]"), share("[^0-9]"), share("[^\\n]"), share("[^ ]"),
+                   share("[A-Za-z0-9\\s]"))
+
+
 def _fused(spark, sf_dir):
-    """J6 + C11: image-like block (embedding) ⋈ text block (TF-IDF, 500 terms, 1+ char tokens) on id."""
+    """J6 + C11: two blocks of the same documents, the look of the text and its TF-IDF (500 terms, 1+ char tokens, of
+    the training part), joined on the document. Every document takes part."""
     from quarry.plans.tables import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    coded, classes = E.label_encode(docs.select("doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")),
-                                    "lang", "label")
-    text = M.tfidf_features(cut_lineage(coded), "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt")
-    img = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), E.to_vector("embedding").alias("img"))
-    joined = text.select("doc_id", "label", "txt").join(img, "doc_id")
-    joined = VectorAssembler(inputCols=["img", "txt"], outputCol="features").transform(joined)
-    split = cut_lineage(X.stratified_split(joined.select("doc_id", "label", "features"), "label", ["doc_id"],
-                                           TEST_SIZE, SEED))
+    coded, classes = E.label_encode(docs.select(
+        "doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")), "lang", "label")
+    split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))
+    text = M.tfidf_features(split, "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt", split.where("split = 'train'"))
+    look = docs.select("doc_id", E.to_vector(_shape("text")).alias("look"))
+    joined = VectorAssembler(inputCols=["look", "txt"], outputCol="features").transform(
+        text.select("doc_id", "label", "txt", "split").join(look, "doc_id"))
+    joined = cut_lineage(joined.select("doc_id", "label", "features", "split"))
     n_classes = classes.count()
-    width = len(split.first()["features"])
-    model = M.perceptron(split.where("split = 'train'"), [width, 128, n_classes], max_iter=30, seed=SEED)
-    return model.transform(split.where("split = 'test'")).select(
+    width = len(joined.first()["features"])
+    model = M.perceptron(joined.where("split = 'train'"), [width, 128, n_classes], max_iter=30, seed=SEED)
+    return model.transform(joined.where("split = 'test'")).select(
         "doc_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("probability").alias("probability"))
 
@@ -204,6 +226,7 @@ QUERIES = {
     "logreg_multi": q_logreg_multi,
     "svm_ovr": q_svm_ovr,
     "cv_scores": q_cv_scores,
+    "text_model_comparison": q_text_model_comparison,
     "logreg_binary": q_logreg_binary,
     "forest": q_forest,
     "tree": q_tree,

@@ -1,5 +1,5 @@
 """Sampling, splitting and encoding queries. Membership is decided by
-``md5(key|42)`` rank, which DuckDB computes identically, so every split is checked exactly."""
+``md5(key|42|purpose)`` rank, which DuckDB computes identically, so every split is checked exactly."""
 
 from __future__ import annotations
 
@@ -30,6 +30,13 @@ def q_undersample(spark, sf_dir):
     return X.undersample(_urgent_orders(spark, sf_dir), "urgent", ["o_orderkey"], SEED).select("o_orderkey", "urgent")
 
 
+def q_undersample_then_split(spark, sf_dir):
+    """X1 then X3, as the churn jobs do: rows per part and class; a part has the classes in equal shares."""
+    kept = X.undersample(_urgent_orders(spark, sf_dir), "urgent", ["o_orderkey"], SEED).select("o_orderkey", "urgent")
+    return X.plain_split(kept, ["o_orderkey"], TEST_SIZE, SEED).groupBy("split", "urgent").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def q_shuffle_rows(spark, sf_dir):
     return X.shuffle_order(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], SEED)
 
@@ -59,7 +66,7 @@ def q_label_codes(spark, sf_dir):
 def q_onehot_drop_first(spark, sf_dir):
     df = _urgent_orders(spark, sf_dir).select("o_orderkey", r6("o_totalprice").alias("o_totalprice"),
                                               "o_orderstatus", "c_mktsegment")
-    return E.onehot_drop_first(df, ["o_orderstatus", "c_mktsegment"])
+    return E.onehot_drop_first(df, E.text_columns(df), max_categories=100)
 
 
 def q_standardise_all(spark, sf_dir):
@@ -77,6 +84,7 @@ def q_standardise_train(spark, sf_dir):
 
 QUERIES = {
     "undersample": q_undersample,
+    "undersample_then_split": q_undersample_then_split,
     "shuffle_rows": q_shuffle_rows,
     "split_stratified": q_split_stratified,
     "split_plain": q_split_plain,
@@ -88,9 +96,10 @@ QUERIES = {
 }
 
 
-def md5_rank(key: str, by: str | None = None) -> str:
+def md5_rank(key: str, by: str | None = None, purpose: str = "split") -> str:
     part = f"PARTITION BY {by} " if by else ""
-    return f"row_number() OVER ({part}ORDER BY md5(concat_ws('|', CAST({key} AS VARCHAR), '{SEED}')), {key})"
+    return (f"row_number() OVER ({part}ORDER BY md5(concat_ws('|', CAST({key} AS VARCHAR), '{SEED}', '{purpose}')), "
+            f"{key})")
 
 
 def quota_sql(src: str, label: str) -> str:
@@ -111,10 +120,17 @@ URGENT_SQL = """src AS (SELECT o.o_orderkey, o.o_orderstatus, o.o_totalprice, c.
 
 SQL = {
     "undersample": f"""WITH {URGENT_SQL},
-    r AS (SELECT o_orderkey, urgent, {md5_rank('o_orderkey', 'urgent')} AS rk FROM src)
+    r AS (SELECT o_orderkey, urgent, {md5_rank('o_orderkey', 'urgent', 'undersample')} AS rk FROM src)
     SELECT o_orderkey, urgent FROM r
     WHERE rk <= (SELECT min(cnt) FROM (SELECT urgent, count(*) AS cnt FROM src GROUP BY urgent))""",
-    "shuffle_rows": f"SELECT o_orderkey, {md5_rank('o_orderkey')} AS shuffle_rank FROM orders",
+    "undersample_then_split": f"""WITH {URGENT_SQL},
+    r AS (SELECT o_orderkey, urgent, {md5_rank('o_orderkey', 'urgent', 'undersample')} AS rk FROM src),
+    kept AS (SELECT o_orderkey, urgent FROM r
+             WHERE rk <= (SELECT min(cnt) FROM (SELECT urgent, count(*) AS cnt FROM src GROUP BY urgent))),
+    s AS (SELECT urgent, {md5_rank('o_orderkey')} AS rk FROM kept)
+    SELECT CASE WHEN rk <= ceil({TEST_SIZE}::DOUBLE * (SELECT count(*) FROM kept)) THEN 'test' ELSE 'train' END AS split,
+           urgent, count(*) AS n FROM s GROUP BY 1, 2""",
+    "shuffle_rows": f"SELECT o_orderkey, {md5_rank('o_orderkey', purpose='shuffle')} AS shuffle_rank FROM orders",
     "split_stratified": f"""WITH src AS (SELECT doc_id, lang FROM documents), {quota_sql('src', 'lang')},
     r AS (SELECT doc_id, lang, {md5_rank('doc_id', 'lang')} AS rk FROM src WHERE lang IS NOT NULL)
     SELECT r.doc_id, r.lang, CASE WHEN r.rk <= q.quota THEN 'test' ELSE 'train' END AS split
@@ -123,7 +139,7 @@ SQL = {
     SELECT doc_id, CASE WHEN rk <= ceil({TEST_SIZE}::DOUBLE * (SELECT count(*) FROM documents)) THEN 'test'
                         ELSE 'train' END AS split FROM r""",
     "folds": f"""WITH src AS (SELECT d.doc_id, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
-    SELECT doc_id, quality, CAST(({md5_rank('doc_id', 'quality')} - 1) % {FOLDS} AS INTEGER) AS fold
+    SELECT doc_id, quality, CAST(({md5_rank('doc_id', 'quality', 'fold')} - 1) % {FOLDS} AS INTEGER) AS fold
     FROM src WHERE quality IS NOT NULL""",
     "label_codes": """WITH classes AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS lang_code
                      FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL))

@@ -148,10 +148,6 @@ def q_csv_scan(spark, sf_dir):
     return io.read_csv(spark, path, schema=PART_SCHEMA, encoding="latin-1")
 
 
-def q_file_listing(spark, sf_dir):
-    return io.list_files(spark, sf_dir, ".parquet")
-
-
 def q_name_lookup(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     names = part.select("p_name").distinct()
@@ -189,7 +185,6 @@ QUERIES = {
     "union_all": q_union_all,
     "collection_round_trip": q_collection_round_trip,
     "csv_scan": q_csv_scan,
-    "file_listing": q_file_listing,
     "name_lookup": q_name_lookup,
     "feature_block_join": q_feature_block_join,
 }

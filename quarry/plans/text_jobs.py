@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 from quarry.operators import text as T
+from quarry.operators import sampling as X
+from quarry.plans.sample_jobs import md5_rank, quota_sql
 from quarry.plans.tables import table
+from quarry.session import cut_lineage
 
 MAX_FEATURES = 5000     # the reference's vocabulary size (uni- and bigrams)
 TOP_TERMS = 50
@@ -41,7 +44,7 @@ def q_strip_links(spark, sf_dir):
 def q_bigrams(spark, sf_dir):
     d = _clean_docs(spark, sf_dir).select("doc_id", "tokens", tx.bigrams("tokens").alias("bi"))
     return d.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("bi").alias("n_bigrams"),
-                    F.try_element_at(F.col("bi"), F.lit(1)).alias("first_bigram"))
+                    F.array_join("bi", "|").alias("bigrams"))
 
 
 def _tfidf(spark, sf_dir):
@@ -60,6 +63,22 @@ def q_tfidf_long(spark, sf_dir):
     return w.select("doc_id", "term", "tf", "df", r6("idf").alias("idf"), r6("weight").alias("weight"))
 
 
+def q_tfidf_train_only(spark, sf_dir):
+    """T14 as the sentiment jobs use it: vocabulary and idf of the training part, weights of the test part."""
+    split = X.stratified_split(_clean_docs(spark, sf_dir), "lang", ["doc_id"], 0.2, 42)
+    split = cut_lineage(split.select("doc_id", "split", tx.with_bigrams("tokens").alias("grams")))
+    w = T.tfidf(split.where("split = 'test'"), "doc_id", F.col("grams"), MAX_FEATURES,
+                fit_on=split.where("split = 'train'"))
+    return w.select("doc_id", "term", "tf", "df", r6("idf").alias("idf"), r6("weight").alias("weight"))
+
+
+def q_word_tokens(spark, sf_dir):
+    """Word tokens by the default pattern (2+ characters) and by the one of the fused job (1+), in order."""
+    d = _docs(spark, sf_dir)
+    two, one = tx.word_tokens("text"), tx.word_tokens("text", tx.TOKEN_1PLUS)
+    return d.select("doc_id", F.array_join(two, " ").alias("two_plus"), F.size(one).alias("n_one_plus"))
+
+
 def q_tfidf_shape(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     n_docs = docs.count()
@@ -92,6 +111,8 @@ QUERIES = {
     "bigrams": q_bigrams,
     "vocabulary_top": q_vocabulary_top,
     "tfidf_long": q_tfidf_long,
+    "tfidf_train_only": q_tfidf_train_only,
+    "word_tokens": q_word_tokens,
     "tfidf_shape": q_tfidf_shape,
     "class_terms_top": q_class_terms_top,
     "concat_text": q_concat_text,
@@ -135,10 +156,27 @@ SQL = {
     b AS (SELECT doc_id, tokens, list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]) AS bi
           FROM clean)
     SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(len(bi) AS INTEGER) AS n_bigrams,
-           bi[1] AS first_bigram FROM b""",
+           array_to_string(bi, '|') AS bigrams FROM b""",
     "vocabulary_top": f"""WITH {CLEAN_CTE}, {GRAMS_CTE}
     SELECT term, CAST(corpus_tf AS BIGINT) AS corpus_tf, df FROM vocab_all ORDER BY corpus_tf DESC, term LIMIT {TOP_TERMS}""",
     "tfidf_long": f"""WITH {CLEAN_CTE}, {GRAMS_CTE}, {TFIDF_CTE}
+    SELECT doc_id, term, tf, df, round(idf, 6) AS idf,
+           round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM wn""",
+    "word_tokens": """SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'), ' ') AS two_plus,
+      CAST(len(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS INTEGER) AS n_one_plus FROM documents""",
+    "tfidf_train_only": f"""WITH {CLEAN_CTE}, {quota_sql('clean', 'lang')},
+    r AS (SELECT doc_id, lang, {md5_rank('doc_id', 'lang')} AS rk FROM clean),
+    part AS (SELECT r.doc_id, r.rk <= q.quota AS test FROM r JOIN quota q ON r.lang = q.lang),
+    grams AS (SELECT doc_id, test,
+        tokens || list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1]) AS g
+        FROM clean JOIN part USING (doc_id)),
+    tf AS (SELECT doc_id, test, term, count(*) AS tf FROM (SELECT doc_id, test, unnest(g) AS term FROM grams) GROUP BY ALL),
+    vocab AS (SELECT term, sum(tf) AS corpus_tf, count(*) AS df FROM tf WHERE NOT test GROUP BY term
+              ORDER BY corpus_tf DESC, term LIMIT {MAX_FEATURES}),
+    w AS (SELECT t.doc_id, t.term, t.tf, v.df,
+            ln((1.0 + (SELECT count(*) FROM part WHERE NOT test)) / (1.0 + v.df)) + 1.0 AS idf
+          FROM tf t JOIN vocab v USING (term) WHERE t.test),
+    wn AS (SELECT *, tf * idf AS x FROM w)
     SELECT doc_id, term, tf, df, round(idf, 6) AS idf,
            round(x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)), 6) AS weight FROM wn""",
     "tfidf_shape": f"""WITH {CLEAN_CTE}, {GRAMS_CTE}, {TFIDF_CTE}

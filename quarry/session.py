@@ -137,11 +137,9 @@ def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = 50_000) ->
     return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the join to AQE."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def stored(df: DataFrame, name: str = "small") -> DataFrame:
+    """``df`` written to the shared folder and read back. Spark then knows its size in bytes, and itself broadcasts
+    it to a join when that is under ``spark.sql.autoBroadcastJoinThreshold``, or shuffles both sides when it is not."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -72,4 +72,4 @@ def test_top_n_per_group_is_limited_before_the_shuffle(spark, small_dir):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     m = basket_jobs.Mining(spark, small_dir)
     plan = _plan(B.recommend(m.pairs, ["member", "day"], m.positive, 3))
-    assert plan.count("WindowGroupLimit") >= 2
+    assert "WindowGroupLimit" in plan   # no shuffle lies between: the baskets are already together
