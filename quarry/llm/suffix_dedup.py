@@ -39,8 +39,8 @@ from quarry.llm.common import cut_lineage, rows_of, text_chunks
 WIDTH = 50
 TRIGGER = 20                 # bytes of a trigger; less when the strings are shorter
 CHUNK = 2 << 20
-SEGMENT = 1 << 20            # places worked on at once, whatever the length of a text
-KEYS_A_BUCKET = 2_000_000
+SEGMENT = 1 << 18            # places worked on at once, whatever the length of a text
+KEYS_A_BUCKET = 500_000
 MANY = 64                    # phrases of one trigger that a chunk sends; beyond, it goes on to the suffixes at once
 LAST = np.iinfo(np.int64).max  # stands for a null id: no id is larger
 _PLACE = np.uint64((1 << 31) - 1)
