@@ -47,6 +47,7 @@ def url_key(url: str | None) -> str:
     user, port, leading ``www.`` and fragment. A null or empty url has the empty key."""
     if not url:
         return ""
+    url = url.replace("\r", "%0D").replace("\n", "%0A")   # as in the archive's headers
     rest = url.split("://", 1)[-1].split("#", 1)[0]
     cut = min([i for i in (rest.find("/"), rest.find("?")) if i >= 0], default=len(rest))
     host, path = rest[:cut].rsplit("@", 1)[-1].lower(), rest[cut:]
