@@ -83,7 +83,9 @@ def test_out_of_fold_probabilities_come_from_other_rows(spark):
     sample = toxicity.labelled_sample(docs, labels, {"x": F.col("toxic") == 1, "y": F.col("toxic") == 1}, "doc_id",
                                       "text", 1000)
     first, second = toxicity.train_chain(sample, ["x", "y"])
-    assert abs(second[features.DIM]) < 2   # the earlier probability is of little use, as it is on new rows
+    # probabilities of rows the model has seen would follow their labels and get a large positive weight; out of fold
+    # they lean a little the other way, as a fold's share of ones is made up for by the rest
+    assert second[features.DIM] < 1
 
 
 def test_chain_without_labels_and_with_odd_rows(spark):
