@@ -30,11 +30,10 @@ def r6(c):
 
 
 def _doc_features(spark, sf_dir):
-    from quarry.plans.tables import table
-
     from quarry.operators import text as T
+    from quarry.plans.tables import text_table
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     clean = docs.select("doc_id", "lang", tx.clean_tokens("text").alias("tokens"))
     # the reference stems the cleaned tokens (T7), and its vectorizer then ignores 1-character stems
     stems = T.stem_tokens(clean, "doc_id", F.col("tokens"))
@@ -192,9 +191,9 @@ def _shape(c: str):
 def _fused(spark, sf_dir):
     """J6 + C11: two blocks of the same documents, the look of the text and its TF-IDF (500 terms, 1+ char tokens, of
     the training part), joined on the document. Every document takes part."""
-    from quarry.plans.tables import table
+    from quarry.plans.tables import text_table
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     coded, classes = E.label_encode(docs.select(
         "doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")), "lang", "label")
     split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))

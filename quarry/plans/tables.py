@@ -15,15 +15,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
-# Text tables: their per-row work (regex cleaning, tokenising) happens before the first shuffle, so a
-# narrow scan (one row group here) is spread over all cores.
-SPREAD_TABLES = ("documents", "pages", "conversations", "benchmark")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one generated table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one generated table (narrow scans of the tables above are spread, see ``session.spread``)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in SPREAD_TABLES else df
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a table whose texts are cleaned or tokenised row by row before the first shuffle: that work is heavy, so a
+    scan with fewer partitions than cores (one row group here) is dealt over all of them, see ``session.spread``."""
+    return spread(table(spark, sf_dir, name))
 
 
 BASKET_KEYS = ("member", "day")

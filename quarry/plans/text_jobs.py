@@ -9,7 +9,7 @@ from quarry.functions import text as tx
 from quarry.operators import text as T
 from quarry.operators import sampling as X
 from quarry.plans.sample_jobs import md5_rank, quota_sql
-from quarry.plans.tables import table
+from quarry.plans.tables import table, text_table
 from quarry.session import cut_lineage
 
 MAX_FEATURES = 5000     # the reference's vocabulary size (uni- and bigrams)
@@ -22,7 +22,7 @@ def r6(c):
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
 
 
 def _clean_docs(spark, sf_dir):
@@ -35,7 +35,7 @@ def q_clean_text(spark, sf_dir):
 
 
 def q_strip_links(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = text_table(spark, sf_dir, "pages")
     raw = F.concat(F.lit("see "), F.col("url"), F.lit(" or www.example.com/p?id=1 and @team_"),
                    F.col("page_id").cast("string"), F.lit(" now"))
     return pages.select("page_id", tx.strip_mentions(tx.strip_links(raw)).alias("stripped"))
