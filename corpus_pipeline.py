@@ -44,17 +44,28 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 50-byte strings of earlier documents; characters that a cut runs through go whole, and
     documents of which nothing is left go, too."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    done = suffix_dedup.remove_repeats(docs, carry=tuple(others))
+    safe = {c: f"__{i}" for i, c in enumerate(others)}   # whatever they are called, they cannot clash
+    done = suffix_dedup.remove_repeats(docs.select("doc_id", "text", *[docs[f"`{c}`"].alias(n) for c, n in safe.items()]),
+                                       carry=tuple(safe.values()))
 
     @F.arrow_udf("string")
     def characters(kept: pa.Array) -> pa.Array:
         return pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
 
-    text = F.when(F.col("n_removed") > 0, characters("kept")).otherwise(F.col("kept").cast("string"))
-    out = done.withColumn("text", text).where("n_removed = 0 or text <> ''").withColumnRenamed("id", "doc_id")
-    cut = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
-                         .otherwise(F.col("n_chars"))) if "n_chars" in others else out
-    return cut.select(*docs.columns)
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, characters("kept")).otherwise(F.col("kept").cast("string"))
+    out = done.withColumn("__text", text).where(~cut | (F.col("__text") != ""))
+
+    def column(c: str):
+        if c == "doc_id":
+            return F.col("id")
+        if c == "text":
+            return F.col("__text")
+        if c == "n_chars":
+            return F.when(cut, F.length("__text").cast("long")).otherwise(F.col(safe[c]))
+        return F.col(safe[c])
+
+    return out.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
