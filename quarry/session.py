@@ -12,7 +12,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Session settings that matter at scale: AQE re-plans joins and partition counts at runtime,
 # splits skewed join partitions and coalesces tiny shuffles. All timestamps are UTC.
