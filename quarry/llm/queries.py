@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import class_lm, decontaminate, embedding_dedup, minhash, ordinal, packing, sharding, suffix_dedup, toxicity, warc
+from quarry.llm import (class_lm, decontaminate, embedding_dedup, minhash, ordinal, packing, sharding, suffix_dedup,
+                        toxicity, warc)
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -190,5 +191,22 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM e JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id"""
 
 
-QUERIES = {"op8_embedding_dedup": op8_embedding_dedup, "op2_class_lm": op2_class_lm, "op10_toxicity": op10_toxicity, "op9_quality": op9_quality, "op4_near_dedup": op4_near_dedup, "op6_warc": op6_warc, "op3_suffix_dedup": op3_suffix_dedup, "op1_sharding": op1_sharding, "op7_decontamination": op7_decontamination, "op5_packing": op5_packing}
-SQL: dict[str, str] = {"op8_embedding_dedup": OP8_SQL, "op6_warc": OP6_SQL, "op3_suffix_dedup": OP3_SQL, "op7_decontamination": OP7_SQL}
+QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_class_lm": op2_class_lm,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_packing": op5_packing,
+    "op6_warc": op6_warc,
+    "op7_decontamination": op7_decontamination,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
+}
+
+SQL: dict[str, str] = {
+    "op3_suffix_dedup": OP3_SQL,
+    "op6_warc": OP6_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op8_embedding_dedup": OP8_SQL,
+}
