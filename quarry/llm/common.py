@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,41 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(name) for name, src in columns.items()])
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers outlive their tasks, and what their allocators keep for
+    later counts against the executor while other work runs there."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(f: Callable) -> Callable:
+    """``f`` for mapInArrow (a generator), a grouped (table) or a cogrouped (key, left, right) applyInArrow, which
+    gives memory back when it is done."""
+    if inspect.isgeneratorfunction(f):
+        def over_batches(batches):
+            try:
+                yield from f(batches)
+            finally:
+                give_back()
+        return over_batches
+    if f.__code__.co_argcount == 1:
+        def over_group(table):
+            try:
+                return f(table)
+            finally:
+                give_back()
+        return over_group
+
+    def over_cogroup(key, left, right):
+        try:
+            return f(key, left, right)
+        finally:
+            give_back()
+    return over_cogroup
+
+
 def text_chunks(src: DataFrame, chunk_bytes: int) -> DataFrame:
     """The rows of ``src`` in chunks of about ``chunk_bytes`` bytes of its binary column ``text`` (a longer text is a
     chunk of its own): ``chunk``, ``n_bytes`` and ``body``, the rows as a compressed Arrow stream. Chunks are dealt
@@ -68,7 +105,7 @@ def text_chunks(src: DataFrame, chunk_bytes: int) -> DataFrame:
         if held:
             yield put()
 
-    return cut_lineage_by(src.mapInArrow(gather, "chunk long, n_bytes long, body binary"),
+    return cut_lineage_by(src.mapInArrow(tidy(gather), "chunk long, n_bytes long, body binary"),
                           shuffle_partitions(src.sparkSession), "chunk")
 
 
@@ -120,4 +157,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-__all__ = ["LOWER", "components", "cut_lineage", "only", "read", "rows_of", "shuffle_partitions", "text_chunks"]
+__all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "read", "rows_of", "shuffle_partitions",
+           "text_chunks", "tidy"]

@@ -9,10 +9,13 @@ Document frequencies count every shingle of every document, in a table of ``SLOT
 features do), so the table that tasks share has a fixed size: shingles that share a slot share its count. Draws take
 their random numbers from a fixed table by a hash of shingle and draw.
 
-Groups of any size: documents with the same weighted shingles are one class from the start. In a bucket all classes are
-first verified against the smallest one, which joins a large group in linear work. Then the pairs of a bucket that are
-still in different groups, and only these, are verified too: pairs within a group could not change it. So no meeting
-pair is left out, no bucket is capped, and no group's pairs are written out.
+Groups of any size: documents with the same weighted shingles are one class from the start. What a class shares with
+any other class bounds its similarity to each of them, so a text with too much of its own leaves its buckets, and a pair
+whose bound is too low is never made. In a bucket all classes are first verified against the one that has least of its
+own (an original rather than one of its edited copies), which joins a large group in linear work. Then the pairs of a
+bucket that are still possible and still in different groups, and only these, are verified too: pairs within a group
+could not change it. So no meeting pair is left out that could be a link, no bucket is capped, and no group's pairs are
+written out.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import components, cut_lineage
+from quarry.llm.common import components, cut_lineage, shuffle_partitions, tidy
 from quarry.llm.decontaminate import _SPACE
 from quarry.llm.suffix_dedup import Rolling, mix
 from quarry.session import scratch_path
@@ -36,7 +39,8 @@ BANDS, ROWS = 16, 4
 SLOT_BITS = 20
 DRAW_BITS = 16
 SLICES = 64                  # the count table travels in so many pieces
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
+_ROUND = 1e-5                # bounds are kept clear of rounding
 _WORD = np.array([b != 0x20 for b in _SPACE])
 _BYTE = np.frombuffer(_SPACE, np.uint8)
 
@@ -181,8 +185,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     kind = "slice int, n long, counts binary"
     # partial sums first: at most 16 tables meet in a task at a time
-    part = docs.select("text").mapInArrow(count, kind).withColumn("g", F.spark_partition_id() % 16)
-    part = part.groupBy("slice", "g").applyInArrow(add, kind)
+    part = docs.select("text").mapInArrow(tidy(count), kind).withColumn("g", F.spark_partition_id() % 16)
+    part = part.groupBy("slice", "g").applyInArrow(tidy(add), kind)
     found = part.groupBy("slice").applyInArrow(add, kind).collect()
     table = np.zeros(size, np.int64)
     for r in found:
@@ -191,6 +195,64 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return table, (found[0]["n"] if found else 0)
 
 
+def common_weights(texts: DataFrame, idf) -> DataFrame:
+    """``(key, shared, total)``: the weight of a text's shingles that also occur in another text of the table, and of
+    all its shingles. Shingles are dealt by their hash, many to a row, so a frequent one is no hot key."""
+    slices = shuffle_partitions(texts.sparkSession)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                doc, h, count = shingles(part.column("text"))
+                to = (h % np.uint64(slices)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                cuts = np.searchsorted(to[order], np.arange(slices + 1))
+                cols = doc[order].astype(np.uint16), h[order], count[order].astype(np.uint32)
+                keys = part.column("key").to_numpy()
+                out = {"slice": [], "keys": [], "doc": [], "h": [], "count": []}
+                for k in np.flatnonzero(np.diff(cuts)):
+                    d = cols[0][cuts[k]:cuts[k + 1]]
+                    used, at = np.unique(d, return_inverse=True)
+                    out["slice"].append(int(k))
+                    out["keys"].append(keys[used].tobytes())
+                    out["doc"].append(at.astype(np.uint16).tobytes())
+                    for name, c in zip(("h", "count"), cols[1:]):
+                        out[name].append(c[cuts[k]:cuts[k + 1]].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(out["slice"], pa.int32()), *[
+                    pa.array(out[k], pa.binary()) for k in ("keys", "doc", "h", "count")]], names=list(out))
+
+    def common(t: pa.Table) -> pa.Table:
+        key = np.concatenate([np.frombuffer(k, np.int64)[np.frombuffer(d, np.uint16)] for k, d in
+                              zip(t.column("keys").to_pylist(), t.column("doc").to_pylist())])
+        h = np.frombuffer(b"".join(t.column("h").to_pylist()), np.uint64)
+        w = weights(idf.value, h, np.frombuffer(b"".join(t.column("count").to_pylist()), np.uint32)).astype(float)
+        order = np.argsort(h, kind="stable")
+        same = h[order][1:] == h[order][:-1]
+        shared = np.zeros(len(h), bool)
+        shared[order[1:]] = same
+        shared[order[:-1]] |= same
+        keys, at = np.unique(key, return_inverse=True)
+        sums = np.bincount(at, weights=w * shared), np.bincount(at, weights=w)
+        to = keys % slices
+        order = np.argsort(to, kind="stable")
+        cuts = np.searchsorted(to[order], np.arange(slices + 1))
+        used = np.flatnonzero(np.diff(cuts))
+        part = lambda x: pa.array([x[order[cuts[k]:cuts[k + 1]]].tobytes() for k in used], pa.binary())
+        return pa.table({"to": pa.array(used, pa.int32()), "keys": part(keys), "shared": part(sums[0]),
+                         "total": part(sums[1])})
+
+    def add(t: pa.Table) -> pa.Table:
+        keys, at = np.unique(np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64), return_inverse=True)
+        total = lambda c: np.bincount(at, weights=np.frombuffer(b"".join(t.column(c).to_pylist())))
+        return pa.table({"key": keys, "shared": total("shared"), "total": total("total")})
+
+    kind = "slice int, keys binary, doc binary, h binary, count binary"
+    return texts.select("key", "text").mapInArrow(tidy(deal), kind).groupBy("slice").applyInArrow(
+        tidy(common), "to int, keys binary, shared binary, total binary").groupBy("to").applyInArrow(
+        add, "key long, shared double, total double")
+
+
 def document_key(df: DataFrame, id: str = "doc_id", text: str = "text") -> Column:
     """The id; in place of a null one a number of at least 2**62 made from the text."""
     made = F.xxhash64(df[f"`{text}`"]).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
@@ -240,18 +302,34 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_le
                     names=["key", "id", "has", "one", "two", "bands"])
 
     signed = cut_lineage(docs.mapInArrow(
-        sign, "key long, id long, has boolean, one long, two long, bands array<long>"))
+        tidy(sign), "key long, id long, has boolean, one long, two long, bands array<long>"))
     classes = signed.where("has").groupBy("one", "two").agg(F.min("key").alias("class"), F.first("bands").alias("b"))
     met = cut_lineage(classes.select("class", F.explode("b").alias("bucket")).distinct())
-    least = met.groupBy("bucket").agg(F.min("class").alias("pivot"), F.max("class").alias("most")).where("pivot < most")
-    meeting = cut_lineage(met.join(least, "bucket").select("bucket", "class", "pivot"))
-    pairs = cut_lineage(meeting.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-                        .distinct())
+    several = met.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
+    met = cut_lineage(met.join(several.select("bucket"), "bucket"))
     # the texts of classes that meet others, once
     path = scratch_path(spark, "meeting")
-    docs.join(meeting.select(F.col("class").alias("key")).distinct(), "key", "left_semi").select("key", "text") \
+    docs.join(met.select(F.col("class").alias("key")).distinct(), "key", "left_semi").select("key", "text") \
         .withColumn("h", F.xxhash64("text")).dropDuplicates(["key", "h"]).select("key", "text").write.parquet(path)
     texts = spark.read.schema("key long, text string").parquet(path)
+    # what a class shares with any other bounds its similarity to each: ids of several texts are not bounded
+    bound = common_weights(texts, idf).join(texts.groupBy("key").agg(F.count("*").alias("n")), "key").select(
+        F.col("key").alias("class"), "total", F.when(F.col("n") > 1, F.col("total")).otherwise(F.col("shared"))
+        .alias("shared"), (F.col("n") > 1).alias("open"))
+    meeting = cut_lineage(met.join(bound, "class").where(
+        F.col("open") | (F.col("shared") >= F.col("total") * (at_least - _ROUND))))
+
+    def possible(x: str, y: str) -> Column:
+        both = F.least(f"{x}.shared", f"{y}.shared")
+        return F.col(f"{x}.open") | F.col(f"{y}.open") | (
+            both >= (at_least - _ROUND) * (F.col(f"{x}.total") + F.col(f"{y}.total") - both))
+
+    best = meeting.groupBy("bucket").agg(F.max(F.struct(
+        (F.col("shared") / F.col("total")).alias("q"), (-F.col("class")).alias("c"), "shared", "total", "open"))
+        .alias("p")).select("bucket", "p.*").select("bucket", (-F.col("c")).alias("class"), "shared", "total", "open")
+    pairs = cut_lineage(meeting.alias("x").join(best.alias("y"), "bucket").where(
+        F.col("x.class") != F.col("y.class")).where(possible("x", "y")).select(
+        F.greatest("x.class", "y.class").alias("a"), F.least("x.class", "y.class").alias("b")).distinct())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: OrderedDict = OrderedDict()
@@ -273,17 +351,17 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_le
     def linked(candidates: DataFrame) -> DataFrame:
         left = candidates.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
         both = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long"))
+        return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(verify), "a long, b long"))
 
     links = linked(pairs)
     group = components(links)
-    named = meeting.join(group.select(F.col("node").alias("class"), "component"), "class", "left").select(
-        "bucket", "class", F.coalesce("component", "class").alias("component"))
+    named = meeting.join(group.select(F.col("node").alias("class"), "component"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     named = cut_lineage(named.join(mixed.select("bucket"), "bucket", "left_semi"))
-    x = named.select("bucket", F.col("class").alias("a"), F.col("component").alias("ca"))
-    y = named.select("bucket", F.col("class").alias("b"), F.col("component").alias("cb"))
-    rest = x.join(y, "bucket").where("a > b and ca <> cb").select("a", "b").distinct()
+    rest = named.alias("x").join(named.alias("y"), "bucket").where(
+        "x.class > y.class and x.component <> y.component").where(possible("x", "y")).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
     rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"))
     if rest.limit(1).count():
         group = components(links.union(linked(rest)))
