@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import hnsw
-from quarry.llm.common import components, cut_lineage
+from quarry.llm.common import components, cut_lineage, tidy
 
 COSINE = 0.98
 SHARD = 16_384               # classes of a graph
@@ -102,7 +102,7 @@ def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
                              [[k.tobytes() for k in g.links]], pa.list_(pa.binary()))})
 
     graphs = cut_lineage(dealt.groupBy(*group, "shard").applyInArrow(
-        build, "label string, dim int, shard long, blocks long, uid binary, id binary, m binary, x binary, "
+        tidy(build), "label string, dim int, shard long, blocks long, uid binary, id binary, m binary, x binary, "
                "links array<binary>"))
     graphs = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     queries = dealt.select(*group, "block", "uid", "id", "v", F.explode(
@@ -144,7 +144,7 @@ def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
         return pa.table({k: pa.array(c, pa.int64()) for k, c in out.items()})
 
     found = cut_lineage(queries.groupBy(*group, "shard", "block").cogroup(
-        graphs.groupBy(*group, "shard", "block")).applyInArrow(search, "uid long, links long, a long, b long"))
+        graphs.groupBy(*group, "shard", "block")).applyInArrow(tidy(search), "uid long, links long, a long, b long"))
     counts = found.where("uid is not null").groupBy("uid").agg(F.sum("links").alias("links"))
     same = rows.where("ok").join(classes.select("label", "v", F.col("id").alias("least"), "m").where("m > 1"),
                                  ["label", "v"]).select(F.col("id").alias("a"), F.col("least").alias("b"))

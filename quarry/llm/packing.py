@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import only
+from quarry.llm.common import only, tidy
 
 PIECES = ("id long, start long, length long, ids binary, total long, sequence_id long, offset long, "
           "segment int, loss long")
@@ -29,7 +29,7 @@ _ARROW = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
                     ("total", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                     ("segment", pa.int32()), ("loss", pa.int64())])
 END = 0                      # the id that closes an example
-MAX_CACHED = 400_000         # chunks of text whose ids a worker remembers
+MAX_CACHED = 300_000         # chunks of text whose ids a worker remembers
 CHUNKS_A_CALL = 2_000        # new chunks encoded as one string
 
 
@@ -222,4 +222,4 @@ def pack_examples(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str =
         if found:
             yield batch(found)
 
-    return src.mapInArrow(run, PIECES)
+    return src.mapInArrow(tidy(run), PIECES)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.common import cut_lineage, rows_of, text_chunks
+from quarry.llm.common import cut_lineage, rows_of, text_chunks, tidy
 
 WIDTH = 50
 TRIGGER = 20                 # bytes of a trigger; less when the strings are shorter
@@ -398,10 +398,10 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
         return run
 
     def answers(sent: DataFrame, step: int) -> DataFrame:
-        return cut_lineage(sent.groupBy("bucket").applyInArrow(_answer(step), _ANSWER))
+        return cut_lineage(sent.groupBy("bucket").applyInArrow(tidy(_answer(step)), _ANSWER))
 
     def ask(known: DataFrame, step: int) -> DataFrame:
-        sent = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(sender(step), _SENT)
+        sent = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(sender(step)), _SENT)
         return known.union(answers(sent, step))
 
     kind = src.schema
@@ -429,8 +429,8 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
                 names=arrow.names).cast(arrow))
         return pa.concat_tables(out) if out else arrow.empty_table()
 
-    known = answers(chunks.mapInArrow(first, _SENT), 1)
+    known = answers(chunks.mapInArrow(tidy(first), _SENT), 1)
     known = ask(ask(known, 2), 3)
-    done = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(finish, schema)
+    done = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(finish), schema)
     return done.select("id", "n_bytes", "n_removed", "n_spans", "spans", "kept",
                        *[F.col(f"x{i}").alias(c) for i, c in enumerate(carry)])
