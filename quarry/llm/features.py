@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.llm.common import give_back
 from quarry.llm.minhash import word_hashes
 
 WORD_BITS = 18
-STEP = 256                   # texts whose features are held at a time
+STEP = 128                   # texts whose features are held at a time
 WORDS = 1 << WORD_BITS
 _KIND = np.zeros(256, np.int64)
 for _b in range(256):
@@ -32,6 +33,7 @@ KINDS = int(_KIND.max()) + 1
 REPEAT = WORDS + KINDS * KINDS
 DIM = REPEAT + 1
 BEGINNINGS = (4, 5, 6)       # bytes
+LEAST = 5                    # rows that a word must be in to get a weight
 
 
 @dataclass
@@ -45,12 +47,12 @@ class Rows:
         return len(self.begin) - 1
 
     def row_of(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self)), np.diff(self.begin))
+        return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.begin))
 
     def take(self, rows: np.ndarray) -> Rows:
         n = np.diff(self.begin)[rows]
         begin = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(begin[-1]) - np.repeat(begin[:-1], n) + np.repeat(self.begin[rows], n)
+        at = np.repeat((self.begin[rows] - begin[:-1]).astype(np.int32), n) + np.arange(begin[-1], dtype=np.int32)
         return Rows(begin, self.index[at], self.value[at])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
@@ -102,20 +104,32 @@ def packed(text: Column) -> Column:
         out: list[bytes] = []
         for at in range(0, len(texts), STEP):
             out.extend(pack_rows(features(texts.slice(at, STEP))))
+        give_back()
         return pa.array(out, pa.binary())
 
     return pack(text)
 
 
-def unpack_rows(raw: list[bytes]) -> Rows:
-    n = np.array([len(r) // 8 for r in raw], np.int64)
-    index = [np.frombuffer(r, np.int32, len(r) // 8) for r in raw]
-    value = [np.frombuffer(r, np.float32, offset=len(r) // 2) for r in raw]
-    return Rows(np.concatenate([[0], np.cumsum(n)]), np.concatenate(index or [np.zeros(0)]).astype(np.int64),
-                np.concatenate(value or [np.zeros(0)]).astype(float))
-
-
-def telling(r: Rows, label: np.ndarray, z: float = 5.0, least: int = 5) -> np.ndarray:
+def unpack_rows(raw: list, least: int = 1) -> Rows:
+    """Rows from their bytes or Arrow buffers; indices and values stay 32 bits wide. Words in fewer than ``least`` of
+    the rows are left out, before anything is put together: they are most of what a sample holds, and
+    :func:`telling` would give them no weight."""
+    index = [np.frombuffer(r, np.int32, memoryview(r).nbytes // 8) for r in raw]
+    seen = np.zeros(DIM, np.int32)
+    seen[WORDS:] = least
+    for i in index:
+        seen[i] += 1                                           # an index stands once in a row
+    keep = [seen[i] >= least for i in index]
+    n = np.array([k.sum() for k in keep], np.int64)
+    begin = np.concatenate([[0], np.cumsum(n)])
+    out, value = np.empty(begin[-1], np.int32), np.empty(begin[-1], np.float32)
+    for r, i, k, a, b in zip(raw, index, keep, begin[:-1], begin[1:]):
+        out[a:b] = i[k]
+        value[a:b] = np.frombuffer(r, np.float32, offset=4 * len(i))[k]
+    return Rows(begin, out, value)
+
+
+def telling(r: Rows, label: np.ndarray, z: float = 5.0, least: int = LEAST) -> np.ndarray:
     """Indices worth a weight: pairs of kinds, and words in at least ``least`` rows whose share of rows with some
     label differs from that of the others by ``z`` standard errors."""
     word = r.index < WORDS

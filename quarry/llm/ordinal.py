@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.features import (DIM, STEP, Rows, features, minimise, packed, restrict, sigmoid, telling,
+from quarry.llm.common import give_back, tidy
+from quarry.llm.features import (DIM, LEAST, STEP, Rows, features, minimise, packed, restrict, sigmoid, telling,
                                  unpack_rows)
 
 TRAIN_ROWS = 10_000
@@ -94,14 +95,14 @@ def rate(df: DataFrame, ratings: DataFrame, grades: int, id: str = "doc_id", tex
 
     def learn(t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending"), ("label", "ascending")])
-        model = fit(unpack_rows(t.column("x").to_pylist()), np.clip(t.column("label").to_numpy(), 0, grades - 1)
+        model = fit(unpack_rows(t.column("x").to_pylist(), LEAST), np.clip(t.column("label").to_numpy(), 0, grades - 1)
                     .astype(np.int64), grades)
         used = np.flatnonzero(model.weights)
         return pa.table({"used": [used.tobytes()], "weights": [model.weights[used].tobytes()],
                          "thresholds": [model.thresholds.tobytes()]})
 
     # one task fits the bounded sample
-    found = sample.groupBy().applyInArrow(learn, "used binary, weights binary, thresholds binary").collect()
+    found = sample.groupBy().applyInArrow(tidy(learn), "used binary, weights binary, thresholds binary").collect()
     if found:
         w = np.zeros(DIM)
         w[np.frombuffer(found[0]["used"], np.int64)] = np.frombuffer(found[0]["weights"])
@@ -120,6 +121,7 @@ def rate(df: DataFrame, ratings: DataFrame, grades: int, id: str = "doc_id", tex
             s.append(x.dot(held.value.weights))
             e.append(p.sum(axis=1))
             t.append(p[:, cut - 1])
+        give_back()
         join = lambda a: pa.array(np.concatenate(a or [np.zeros(0)]))
         return pa.StructArray.from_arrays([join(s), join(e), join(t)], ["score", "expected_grade", "tail"])
 

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut_lineage
-from quarry.llm.features import (DIM, STEP, Rows, features, minimise, packed, restrict, sigmoid, telling,
+from quarry.llm.common import cut_lineage, give_back, tidy
+from quarry.llm.features import (DIM, LEAST, STEP, Rows, features, minimise, packed, restrict, sigmoid, telling,
                                  unpack_rows)
 
 TRAIN_ROWS = 10_000
@@ -32,7 +32,7 @@ def with_columns(rows: Rows, extra: np.ndarray) -> Rows:
         return rows
     n = np.diff(rows.begin)
     begin = np.concatenate([[0], np.cumsum(n + k)])
-    index, value = np.empty(begin[-1], np.int64), np.empty(begin[-1])
+    index, value = np.empty(begin[-1], rows.index.dtype), np.empty(begin[-1], rows.value.dtype)
     old = np.arange(len(rows.index)) + np.repeat(np.arange(len(rows)) * k, n)
     index[old], value[old] = rows.index, rows.value
     new = (begin[1:, None] - k + np.arange(k)[None, :]).reshape(-1)
@@ -74,24 +74,25 @@ def train_chain(sample: DataFrame, categories: list[str], folds: int = FOLDS) ->
     for k in range(len(categories)):
         def learn(t: pa.Table) -> pa.Table:
             part = t.column("part")[0].as_py()
-            t = t.sort_by([("row", "ascending")])
-            extra = np.array(t.column("seen").to_pylist(), float).reshape(t.num_rows, k)
-            rows = with_columns(unpack_rows(t.column("x").to_pylist()), extra)
-            label = np.array([bool(y[k]) for y in t.column("label").to_pylist()])
-            fold = t.column("fold").to_numpy()
+            order = np.argsort(t.column("row").to_numpy(), kind="stable")
+            extra = np.array(t.column("seen").to_pylist(), float).reshape(t.num_rows, k)[order]
+            number, fold = t.column("row").to_numpy()[order], t.column("fold").to_numpy()[order]
+            label = np.array([bool(y[k]) for y in t.column("label").to_pylist()])[order]
+            raw = [x.as_buffer() for x in t.column("x")]       # not copied
+            rows = with_columns(unpack_rows([raw[i] for i in order], LEAST), extra)
             train = np.flatnonzero(fold != part)
-            w = fit_link(rows.take(train), label[train], k)
+            w = fit_link(rows if len(train) == len(rows) else rows.take(train), label[train], k)
             test = np.flatnonzero(fold == part)
             p = predict(rows.take(test), w) if len(test) else np.zeros(0)
             final = part == folds
-            return pa.table({"row": pa.array(t.column("row").to_numpy()[test], pa.int64()), "p": pa.array(p),
+            return pa.table({"row": pa.array(number[test], pa.int64()), "p": pa.array(p),
                              "w": pa.array([None] * len(test), pa.binary())}) if not final else pa.table(
                 {"row": pa.array([-1], pa.int64()), "p": pa.array([0.0]), "w": pa.array([w.tobytes()], pa.binary())})
 
         if k == 0:
             current = cut_lineage(current.withColumn("row", F.monotonically_increasing_id()))
         parts = current.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(folds))))
-        found = cut_lineage(parts.groupBy("part").applyInArrow(learn, "row long, p double, w binary"))
+        found = cut_lineage(parts.groupBy("part").applyInArrow(tidy(learn), "row long, p double, w binary"))
         final = found.where("row < 0").select("w").collect()
         if not final:
             return []
@@ -130,6 +131,7 @@ def chain_probabilities(df: DataFrame, labels: DataFrame, categories: dict[str,
             for w in held.value:
                 seen = np.column_stack([seen, predict(with_columns(x, seen), w)])
             out.extend(seen.tolist())
+        give_back()
         return pa.array(out, pa.list_(pa.float64()))
 
     return score(F.col(f"`{text}`"))
@@ -137,7 +139,7 @@ def chain_probabilities(df: DataFrame, labels: DataFrame, categories: dict[str,
 
 def labelled_sample(df: DataFrame, labels: DataFrame, categories: dict[str, Column], id: str, text: str,
                     rows: int) -> DataFrame:
-    usable = labels.where(F.col(f"`{id}`").isNotNull())
+    usable = labels.drop("_text").where(F.col(f"`{id}`").isNotNull())
     few = usable.orderBy(F.xxhash64(F.col(f"`{id}`")), *[F.col(f"`{c}`") for c in labels.columns]).limit(rows)
     docs = df.select(F.col(f"`{id}`").alias(id), F.col(f"`{text}`").alias("_text"))
     marked = docs.join(F.broadcast(few), id).select(
