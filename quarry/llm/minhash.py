@@ -5,9 +5,10 @@ frequency. Improved consistent weighted sampling (Ioffe, 2010) draws ``BANDS * R
 documents draw alike with a probability equal to their weighted Jaccard similarity. Documents that agree in all rows of
 a band meet in a bucket, and pairs that meet are verified by their exact weighted Jaccard similarity.
 
-Document frequencies count every shingle of every document, in a table of ``SLOTS`` hashed counters (as hashed TF-IDF
-features do), so the table that tasks share has a fixed size: shingles that share a slot share its count. Draws take
-their random numbers from a fixed table by a hash of shingle and draw.
+Document frequencies are exact: every chunk of texts sends each of its distinct shingles once, with the number of its
+texts that hold it, to the slice that the shingle falls into, and gets the sums back. A slice holds a bounded part of
+the shingles, and no task holds them all. Draws take their random numbers from a fixed table by a hash of shingle and
+draw.
 
 Groups of any size: documents with the same weighted shingles are one class from the start. What a class shares with
 any other class bounds its similarity to each of them, so a text with too much of its own leaves its buckets, and a pair
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import components, cut_lineage, shuffle_partitions, tidy
+from quarry.llm.common import components, cut_lineage, rows_of, shuffle_partitions, text_chunks, tidy
 from quarry.llm.decontaminate import _SPACE
 from quarry.llm.suffix_dedup import Rolling, mix
 from quarry.session import scratch_path
@@ -36,9 +37,9 @@ from quarry.session import scratch_path
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
-SLOT_BITS = 20
+CHUNK_BYTES = 4 << 20        # texts that are counted and signed together
+SLICE_BYTES = 32 << 20       # bytes of text whose shingles are a slice, about
 DRAW_BITS = 16
-SLICES = 64                  # the count table travels in so many pieces
 SEGMENT = 1 << 18
 _ROUND = 1e-5                # bounds are kept clear of rounding
 _WORD = np.array([b != 0x20 for b in _SPACE])
@@ -103,7 +104,7 @@ def shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     room = np.repeat(begin[1:], words) - np.arange(len(h))          # words from here to the end of the text
     for k in range(n):
         part = np.zeros(len(h), np.uint64)
-        part[:len(h) - k] = h[k:]
+        part[:max(0, len(h) - k)] = h[k:]
         part[room <= k] = 0
         total = mix(total * np.uint64(0x9E3779B97F4A7C15) + part + np.uint64(k + 1))
     full = (room >= n) | ((words[doc] < n) & (np.arange(len(h)) == begin[doc]))
@@ -116,8 +117,25 @@ def shingles(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     return doc[at], total[at], np.diff(np.append(at, len(doc)))
 
 
-def slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def packed(x: np.ndarray) -> bytes:
+    """Numbers, compressed byte place by byte place; the high places of small ones cost nothing."""
+    if not len(x):
+        return b""
+    places = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return pa.compress(places.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, dtype: type) -> np.ndarray:
+    if not n:
+        return np.zeros(0, dtype)
+    size = np.dtype(dtype).itemsize
+    places = np.frombuffer(pa.decompress(data, n * size, codec="zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(places.T).reshape(-1).view(dtype)
+
+
+def chunk_shingles(text: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``shingles`` of every 256 texts."""
+    return [shingles(text.slice(lo, 256)) for lo in range(0, len(text), 256)]
 
 
 class Sampler:
@@ -150,8 +168,9 @@ class Sampler:
         return out
 
 
-def weights(idf: np.ndarray, h: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return count * idf[slot(h)]
+def weights(count: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
+    """Term frequency times inverse document frequency, of shingles in ``df`` of ``n`` texts."""
+    return count * (np.log((1 + n) / (1 + df.astype(float))) + 1)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -162,42 +181,68 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return both / either if either > 0 else 0.0
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Hashed document frequencies over all texts, and the number of rows. What reaches the driver is the table."""
-    size = 1 << SLOT_BITS
+def document_frequencies(chunks: DataFrame) -> DataFrame:
+    """``(chunk, slice, n, n_rows, df)`` for all chunks and slices: in how many of all ``n_rows`` texts the ``n``
+    distinct shingles of the chunk that fall into the slice are, in their order, ``packed``."""
+    n_bytes = chunks.agg(F.sum("n_bytes")).first()[0] or 0
+    slices = max(shuffle_partitions(chunks.sparkSession), -(-n_bytes // SLICE_BYTES))
+    # slices are ranges of hashes, so that the differences of ordered hashes are small
+    limits = np.array([-(-(k << 64) // slices) for k in range(1, slices)], np.uint64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, rows = np.zeros(size, np.int64), 0
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                _, h, _ = shingles(b.column("text").slice(at, 256))
-                table += np.bincount(slot(h), minlength=size)
-            rows += b.num_rows
-        if rows:
-            yield pa.RecordBatch.from_pydict({
-                "slice": pa.array(range(SLICES), pa.int32()), "n": pa.array([rows] * SLICES, pa.int64()),
-                "counts": pa.array([t.tobytes() for t in np.split(table, SLICES)], pa.binary())})
+            for chunk, body in zip(b.column("chunk").to_pylist(), b.column("body")):
+                text = rows_of(body).column("text").combine_chunks()
+                h, held = np.unique(np.concatenate([h for _, h, _ in chunk_shingles(text)]), return_counts=True)
+                cuts = np.concatenate([[0], np.searchsorted(h, limits), [len(h)]])
+                gap = np.diff(h, prepend=np.uint64(0))
+                held = held.astype(np.uint32)
+                out = {"slice": range(slices), "chunk": [chunk] * slices, "n": np.diff(cuts),
+                       "n_rows": [len(text)] * slices, "first": h[np.minimum(cuts[:-1], len(h) - 1)].view(np.int64)
+                       if len(h) else [0] * slices,
+                       "gap": [packed(gap[lo + 1:hi]) for lo, hi in zip(cuts, cuts[1:])],
+                       "held": [packed(held[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]}
+                yield pa.RecordBatch.from_pydict(
+                    {k: pa.array(v, pa.binary() if k in ("gap", "held") else pa.int64()) for k, v in out.items()})
 
     def add(t: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(c, np.int64) for c in t.column("counts").to_pylist()], axis=0)
-        return pa.table({"slice": t.column("slice").slice(0, 1), "n": pa.array([sum(t.column("n").to_pylist())]),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
-
-    kind = "slice int, n long, counts binary"
-    # partial sums first: at most 16 tables meet in a task at a time
-    part = docs.select("text").mapInArrow(tidy(count), kind).withColumn("g", F.spark_partition_id() % 16)
-    part = part.groupBy("slice", "g").applyInArrow(tidy(add), kind)
-    found = part.groupBy("slice").applyInArrow(add, kind).collect()
-    table = np.zeros(size, np.int64)
-    for r in found:
-        part_size = size // SLICES
-        table[r["slice"] * part_size:(r["slice"] + 1) * part_size] = np.frombuffer(r["counts"], np.int64)
-    return table, (found[0]["n"] if found else 0)
-
-
-def common_weights(texts: DataFrame, idf) -> DataFrame:
-    """``(key, shared, total)``: the weight of a text's shingles that also occur in another text of the table, and of
-    all its shingles. Shingles are dealt by their hash, many to a row, so a frequent one is no hot key."""
+        sizes = t.column("n").to_pylist()
+        h, held = np.empty(sum(sizes), np.uint64), np.empty(sum(sizes), np.uint32)
+        cuts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        for lo, n, first, gap, c in zip(cuts, sizes, *[t.column(k).to_pylist() for k in ("first", "gap", "held")]):
+            if n:
+                h[lo] = np.int64(first).view(np.uint64)
+                h[lo + 1:lo + n] = unpacked(gap, n - 1, np.uint64)
+                np.cumsum(h[lo:lo + n], out=h[lo:lo + n])
+                held[lo:lo + n] = unpacked(c, n, np.uint32)
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        del h
+        if len(begin):
+            total = np.add.reduceat(held[order], begin, dtype=np.uint32)
+            held[order] = np.repeat(total, np.diff(np.append(begin, len(order))))
+        rows = sum(t.column("n_rows").to_pylist())
+        return pa.table({"chunk": t.column("chunk"), "slice": t.column("slice"), "n": t.column("n"),
+                         "n_rows": pa.array([rows] * len(sizes), pa.int64()),
+                         "df": pa.array([packed(held[lo:hi]) for lo, hi in zip(cuts, cuts[1:])], pa.binary())})
+
+    return chunks.mapInArrow(
+        tidy(deal), "slice long, chunk long, n long, n_rows long, first long, gap binary, held binary").groupBy(
+        "slice").applyInArrow(tidy(add), "chunk long, slice long, n long, n_rows long, df binary")
+
+
+def chunk_frequencies(found: pa.Table) -> tuple[np.ndarray, int]:
+    """Of one chunk's rows of ``document_frequencies``: those of its ordered distinct shingles, and ``n_rows``."""
+    found = found.sort_by("slice")
+    df = [unpacked(d, n, np.uint32) for d, n in zip(found.column("df").to_pylist(), found.column("n").to_pylist())]
+    return np.concatenate(df), found.column("n_rows")[0].as_py()
+
+
+def shared_weights(texts: DataFrame, n: int) -> DataFrame:
+    """``(key, shared)``: the weight of a text's shingles that also occur in another text of the table, of keys that
+    have any. Only shingles of several documents can. They are dealt by their hash, many to a row, so a frequent one is
+    no hot key."""
     slices = shuffle_partitions(texts.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,52 +250,55 @@ def common_weights(texts: DataFrame, idf) -> DataFrame:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
                 doc, h, count = shingles(part.column("text"))
+                df = np.concatenate([unpacked(d, k, np.uint32) for d, k in zip(
+                    part.column("df").to_pylist(), np.bincount(doc, minlength=part.num_rows))])
+                several = df > 1
+                doc, h, w = doc[several], h[several], weights(count[several], df[several], n).astype(np.float32)
                 to = (h % np.uint64(slices)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 cuts = np.searchsorted(to[order], np.arange(slices + 1))
-                cols = doc[order].astype(np.uint16), h[order], count[order].astype(np.uint32)
+                cols = doc[order].astype(np.uint16), h[order], w[order]
                 keys = part.column("key").to_numpy()
-                out = {"slice": [], "keys": [], "doc": [], "h": [], "count": []}
+                out = {"slice": [], "keys": [], "doc": [], "h": [], "w": []}
                 for k in np.flatnonzero(np.diff(cuts)):
                     d = cols[0][cuts[k]:cuts[k + 1]]
                     used, at = np.unique(d, return_inverse=True)
                     out["slice"].append(int(k))
                     out["keys"].append(keys[used].tobytes())
                     out["doc"].append(at.astype(np.uint16).tobytes())
-                    for name, c in zip(("h", "count"), cols[1:]):
+                    for name, c in zip(("h", "w"), cols[1:]):
                         out[name].append(c[cuts[k]:cuts[k + 1]].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out["slice"], pa.int32()), *[
-                    pa.array(out[k], pa.binary()) for k in ("keys", "doc", "h", "count")]], names=list(out))
+                    pa.array(out[k], pa.binary()) for k in ("keys", "doc", "h", "w")]], names=list(out))
 
     def common(t: pa.Table) -> pa.Table:
         key = np.concatenate([np.frombuffer(k, np.int64)[np.frombuffer(d, np.uint16)] for k, d in
                               zip(t.column("keys").to_pylist(), t.column("doc").to_pylist())])
         h = np.frombuffer(b"".join(t.column("h").to_pylist()), np.uint64)
-        w = weights(idf.value, h, np.frombuffer(b"".join(t.column("count").to_pylist()), np.uint32)).astype(float)
+        w = np.frombuffer(b"".join(t.column("w").to_pylist()), np.float32).astype(float)
         order = np.argsort(h, kind="stable")
         same = h[order][1:] == h[order][:-1]
         shared = np.zeros(len(h), bool)
         shared[order[1:]] = same
         shared[order[:-1]] |= same
         keys, at = np.unique(key, return_inverse=True)
-        sums = np.bincount(at, weights=w * shared), np.bincount(at, weights=w)
+        sums = np.bincount(at, weights=w * shared)
         to = keys % slices
         order = np.argsort(to, kind="stable")
         cuts = np.searchsorted(to[order], np.arange(slices + 1))
         used = np.flatnonzero(np.diff(cuts))
         part = lambda x: pa.array([x[order[cuts[k]:cuts[k + 1]]].tobytes() for k in used], pa.binary())
-        return pa.table({"to": pa.array(used, pa.int32()), "keys": part(keys), "shared": part(sums[0]),
-                         "total": part(sums[1])})
+        return pa.table({"to": pa.array(used, pa.int32()), "keys": part(keys), "shared": part(sums)})
 
     def add(t: pa.Table) -> pa.Table:
         keys, at = np.unique(np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64), return_inverse=True)
-        total = lambda c: np.bincount(at, weights=np.frombuffer(b"".join(t.column(c).to_pylist())))
-        return pa.table({"key": keys, "shared": total("shared"), "total": total("total")})
+        return pa.table({"key": keys, "shared": np.bincount(at, weights=np.frombuffer(
+            b"".join(t.column("shared").to_pylist())))})
 
-    kind = "slice int, keys binary, doc binary, h binary, count binary"
-    return texts.select("key", "text").mapInArrow(tidy(deal), kind).groupBy("slice").applyInArrow(
-        tidy(common), "to int, keys binary, shared binary, total binary").groupBy("to").applyInArrow(
-        add, "key long, shared double, total double")
+    kind = "slice int, keys binary, doc binary, h binary, w binary"
+    return texts.select("key", "text", "df").mapInArrow(tidy(deal), kind).groupBy("slice").applyInArrow(
+        tidy(common), "to int, keys binary, shared binary").groupBy("to").applyInArrow(
+        add, "key long, shared double")
 
 
 def document_key(df: DataFrame, id: str = "doc_id", text: str = "text") -> Column:
@@ -270,52 +318,75 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_le
     are read whole. An empty table gives an empty result. Other columns are not read.
     """
     spark = df.sparkSession
-    docs = df.select(document_key(df, id, text).alias("key"), F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    counts, n = document_frequencies(docs)
-    idf = spark.sparkContext.broadcast((np.log((1 + n) / (1 + counts)).clip(0) + 1).astype(np.float32))
+    docs = df.select(document_key(df, id, text).alias("key"), F.col(f"`{id}`").cast("long").alias("id"),
+                     F.col(f"`{text}`").alias("text"))
+    chunks = text_chunks(docs, CHUNK_BYTES)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(chunk: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         sampler = Sampler(bands * rows)
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                doc, h, count = shingles(part.column("text"))
-                begin = np.flatnonzero(np.diff(doc, prepend=-1))
-                has = doc[begin]
-                one, two = np.zeros((2, part.num_rows), np.int64)
-                keys = np.zeros((part.num_rows, bands), np.int64)
-                if len(begin):
-                    drawn = sampler.draw(begin, h, np.log(weights(idf.value, h, count)).astype(np.float32))
-                    c = count.astype(np.uint64)
-                    one[has] = np.add.reduceat(mix(h + c * np.uint64(0xD6E8FEB86659FD93)), begin).view(np.int64)
-                    two[has] = np.add.reduceat(mix(h * np.uint64(0xC2B2AE3D27D4EB4F) + c), begin).view(np.int64)
-                    drawn = drawn.reshape(len(has), bands, rows)
-                    key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x165667B19E3779F9)
-                    for k in range(rows):
-                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn[:, :, k])
-                    keys[has] = key.view(np.int64)
-                full = np.zeros(part.num_rows, bool)
-                full[has] = True
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("id"), pa.array(full), pa.array(one), pa.array(two),
-                     pa.array([k if f else [] for k, f in zip(keys, full)], pa.list_(pa.int64()))],
-                    names=["key", "id", "has", "one", "two", "bands"])
-
-    signed = cut_lineage(docs.mapInArrow(
-        tidy(sign), "key long, id long, has boolean, one long, two long, bands array<long>"))
+        table = rows_of(left.column("body")[0])
+        df, n = chunk_frequencies(right)
+        parts = chunk_shingles(table.column("text").combine_chunks())
+        df = df[np.unique(np.concatenate([h for _, h, _ in parts]), return_inverse=True)[1]]
+        size, lo = table.num_rows, 0
+        one, two = np.zeros((2, size), np.int64)
+        keys = np.zeros((size, bands), np.int64)
+        total, held = np.zeros(size), [b""] * size
+        full = np.zeros(size, bool)
+        for number, (doc, h, count) in enumerate(parts):
+            begin = np.flatnonzero(np.diff(doc, prepend=-1))
+            has = doc[begin] + number * 256
+            if not len(begin):
+                continue
+            seen = df[lo:lo + len(h)]
+            lo += len(h)
+            w = weights(count, seen, n)
+            drawn = sampler.draw(begin, h, np.log(w).astype(np.float32))
+            c = count.astype(np.uint64)
+            one[has] = np.add.reduceat(mix(h + c * np.uint64(0xD6E8FEB86659FD93)), begin).view(np.int64)
+            two[has] = np.add.reduceat(mix(h * np.uint64(0xC2B2AE3D27D4EB4F) + c), begin).view(np.int64)
+            drawn = drawn.reshape(len(has), bands, rows)
+            key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x165667B19E3779F9)
+            for k in range(rows):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + drawn[:, :, k])
+            keys[has] = key.view(np.int64)
+            total[has] = np.add.reduceat(w, begin)
+            for at, x, y in zip(has, begin, np.append(begin[1:], len(h))):
+                held[at] = packed(seen[x:y])
+            full[has] = True
+        return pa.table({
+            "key": table.column("key"), "id": table.column("id"), "has": pa.array(full), "one": pa.array(one),
+            "two": pa.array(two), "bands": pa.array([k if f else [] for k, f in zip(keys, full)], pa.list_(pa.int64())),
+            "chunk": pa.array([chunk[0].as_py()] * size, pa.int64()), "at": pa.array(range(size), pa.int32()),
+            "n_rows": pa.array([n] * size, pa.int64()), "total": pa.array(total), "df": pa.array(held, pa.binary())})
+
+    signed = cut_lineage(chunks.groupBy("chunk").cogroup(document_frequencies(chunks).groupBy("chunk")).applyInArrow(
+        tidy(sign), "key long, id long, has boolean, one long, two long, bands array<long>, chunk long, at int, "
+                    "n_rows long, total double, df binary"))
+    first = signed.select("n_rows").first()
+    n = first["n_rows"] if first else 0
     classes = signed.where("has").groupBy("one", "two").agg(F.min("key").alias("class"), F.first("bands").alias("b"))
     met = cut_lineage(classes.select("class", F.explode("b").alias("bucket")).distinct())
     several = met.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     met = cut_lineage(met.join(several.select("bucket"), "bucket"))
     # the texts of classes that meet others, once
+    wanted = signed.where("has").join(met.select(F.col("class").alias("key")).distinct(), "key", "left_semi") \
+        .dropDuplicates(["key", "one", "two"]).select("chunk", "at", "key", "total", "df")
+
+    def fetch(chunk: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        text = rows_of(left.column("body")[0]).column("text") if right.num_rows else pa.chunked_array([], pa.string())
+        return pa.table({"key": right.column("key"), "text": text.take(right.column("at")),
+                         "total": right.column("total"), "df": right.column("df")})
+
     path = scratch_path(spark, "meeting")
-    docs.join(met.select(F.col("class").alias("key")).distinct(), "key", "left_semi").select("key", "text") \
-        .withColumn("h", F.xxhash64("text")).dropDuplicates(["key", "h"]).select("key", "text").write.parquet(path)
-    texts = spark.read.schema("key long, text string").parquet(path)
+    kind = "key long, text string, total double, df binary"
+    chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(tidy(fetch), kind).write.parquet(path)
+    texts = spark.read.schema(kind).parquet(path)
     # what a class shares with any other bounds its similarity to each: ids of several texts are not bounded
-    bound = common_weights(texts, idf).join(texts.groupBy("key").agg(F.count("*").alias("n")), "key").select(
-        F.col("key").alias("class"), "total", F.when(F.col("n") > 1, F.col("total")).otherwise(F.col("shared"))
-        .alias("shared"), (F.col("n") > 1).alias("open"))
+    bound = texts.groupBy("key").agg(F.count("*").alias("n"), F.sum("total").alias("total")).join(
+        shared_weights(texts, n), "key", "left").select(
+        F.col("key").alias("class"), "total", F.when(F.col("n") > 1, F.col("total")).otherwise(
+            F.coalesce("shared", F.lit(0.0))).alias("shared"), (F.col("n") > 1).alias("open"))
     meeting = cut_lineage(met.join(bound, "class").where(
         F.col("open") | (F.col("shared") >= F.col("total") * (at_least - _ROUND))))
 
@@ -334,24 +405,28 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", at_le
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: OrderedDict = OrderedDict()
 
-        def vector(text: str):
+        def vector(text: str, df: bytes):
             if text not in held:
                 _, h, count = shingles(pa.array([text], pa.string()))
-                held[text] = h, weights(idf.value, h, count)
+                held[text] = h, weights(count, unpacked(df, len(h), np.uint32), n)
                 if len(held) > 16:
                     held.popitem(last=False)
             held.move_to_end(text)
             return held[text]
 
         for b in batches:
-            left, right = b.column("text_a"), b.column("text_b")
-            ok = [similarity(vector(x.as_py()), vector(y.as_py())) >= at_least for x, y in zip(left, right)]
+            both = [b.column(k) for k in ("text_a", "df_a", "text_b", "df_b")]
+            ok = [similarity(vector(x.as_py(), p.as_py()), vector(y.as_py(), q.as_py())) >= at_least
+                  for x, p, y, q in zip(*both)]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
     def linked(candidates: DataFrame) -> DataFrame:
-        left = candidates.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-        both = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(verify), "a long, b long"))
+        left = candidates.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"),
+                                               F.col("df").alias("df_a")), "a")
+        both = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"),
+                                        F.col("df").alias("df_b")), "b")
+        return cut_lineage(both.select("a", "b", "text_a", "df_a", "text_b", "df_b").mapInArrow(
+            tidy(verify), "a long, b long"))
 
     links = linked(pairs)
     group = components(links)

@@ -221,6 +221,36 @@ def test_groups_of_odd_rows(spark):
     assert minhash.near_duplicates(odd_documents(spark, rows).limit(0)).count() == 0
 
 
+def test_groups_beside_millions_of_other_shingles(spark):
+    # two texts share 100 shingles of 1,002 documents and have 3 of their own: 0.78 alike, however many other shingles
+    # there are (with counters that shingles share, those of their own would weigh less: 0.81)
+    passage = " ".join(f"w{i}" for i in range(104))
+    rows = [(i, f"{passage} own{i} of{i} it{i}") for i in range(2)]
+    rows += [(10 + i, passage + "".join(f" x{i}y{k}" for k in range(300))) for i in range(1000)]
+    other = spark.range(2000, 3000, 1, 8).selectExpr(
+        "id as doc_id", "concat_ws(' ', transform(sequence(1, 8000), k -> concat('z', id, 'q', k))) as text")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(other)
+    got = minhash.near_duplicates(docs)
+    assert got.count() == 2002 and got.where("id <> group_id").count() == 0
+
+
+def test_document_frequencies_of_small_chunks(spark):
+    texts = [t or "" for _, t in odd_rows()]
+    want = Counter(int(h) for t in texts for h in minhash.shingles(minhash.pa.array([t]))[1])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    chunks = minhash.text_chunks(docs, 500)
+    rows = {r["chunk"]: r["body"] for r in chunks.collect()}
+    found = defaultdict(list)
+    for r in minhash.document_frequencies(chunks).collect():
+        found[r["chunk"]].append(r.asDict())
+    assert len(rows) > 4 and set(rows) == set(found)
+    for chunk, body in rows.items():
+        text = minhash.rows_of(minhash.pa.scalar(bytes(body))).column("text").combine_chunks()
+        h = np.unique(minhash.shingles(text)[1])
+        df, n = minhash.chunk_frequencies(minhash.pa.Table.from_pylist(found[chunk]))
+        assert n == len(texts) and [want[int(x)] for x in h] == df.tolist()
+
+
 # 5 packing
 
 
