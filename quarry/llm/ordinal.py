@@ -72,8 +72,8 @@ def sample_rated(df: DataFrame, ratings: DataFrame, id: str, text: str, label: s
     the same at any time: the smallest hashes of the id."""
     rated = ratings.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").alias("label")).where(
         "id is not null and label is not null")
-    few = rated.orderBy(F.xxhash64("id"), "id", "label").limit(rows)
     docs = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    few = rated.join(docs.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id", "label").limit(rows)
     # at most ``rows`` ids and labels
     return docs.join(F.broadcast(few), "id").select("id", "label", packed(F.col("text")).alias("x"))
 

@@ -139,7 +139,12 @@ def chain_probabilities(df: DataFrame, labels: DataFrame, categories: dict[str,
 
 def labelled_sample(df: DataFrame, labels: DataFrame, categories: dict[str, Column], id: str, text: str,
                     rows: int) -> DataFrame:
-    usable = labels.drop("_text").where(F.col(f"`{id}`").isNotNull())
+    usable = labels.drop("_text").join(df.select(F.col(f"`{id}`").alias(id)), id, "left_semi")
+    # a label is unknown when it leaves a category unknown whatever the text
+    usable = usable.withColumn("_text", F.lit(""))
+    for c in categories.values():
+        usable = usable.where(c.isNotNull())
+    usable = usable.drop("_text")
     few = usable.orderBy(F.xxhash64(F.col(f"`{id}`")), *[F.col(f"`{c}`") for c in labels.columns]).limit(rows)
     docs = df.select(F.col(f"`{id}`").alias(id), F.col(f"`{text}`").alias("_text"))
     marked = docs.join(F.broadcast(few), id).select(

@@ -88,6 +88,15 @@ def test_out_of_fold_probabilities_come_from_other_rows(spark):
     assert second[features.DIM] < 1
 
 
+def test_labels_that_cannot_train_take_no_place_in_the_sample(spark):
+    docs = odd_documents(spark, [(i, f"text {i}") for i in range(10)])
+    labels = spark.createDataFrame([(i, None if i < 5 else i % 2) for i in range(1000)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels, queries.toxic_categories(), "doc_id", "text", 5)
+    assert sorted((r["id"], r["label"][-1]) for r in got.collect()) == [(i, i % 2 == 1) for i in range(5, 10)]
+    got = ordinal.sample_rated(docs, labels, "doc_id", "text", "toxic", 5)
+    assert sorted((r["id"], r["label"]) for r in got.collect()) == [(i, i % 2) for i in range(5, 10)]
+
+
 def test_chain_without_labels_and_with_odd_rows(spark):
     docs = odd_documents(spark, odd_rows())
     labels = spark.createDataFrame([(None, 1), (99999, 0)], "doc_id long, toxic int")
