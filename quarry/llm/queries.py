@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import (class_lm, decontaminate, embedding_dedup, minhash, ordinal, packing, sharding, suffix_dedup,
-                        toxicity, warc)
+from quarry.llm import (class_lm, collocations, decontaminate, divergence, embedding_dedup, minhash, ordinal, packing,
+                        pieces, sharding, suffix_dedup, toxicity, warc)
 from quarry.llm.common import read
 from quarry.session import scratch_path
 
@@ -191,6 +191,87 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM e JOIN comp ON comp.a = vec_id LEFT JOIN deg ON deg.a = vec_id"""
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_pieces(spark, sf_dir):
+    """Ids of every document by the piece model, and what they decode to."""
+    done = pieces.round_trip(read(spark, sf_dir, "documents"), piece_model_path())
+    return done.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_divergence(spark, sf_dir):
+    """Every source of every language against the others, and the terms that mark it."""
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT i, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (n + 5 * v) AS p
+  FROM g JOIN kept k USING (lang) JOIN v USING (lang) JOIN n USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+ln AS (SELECT lang, sum(c) AS n FROM c GROUP BY lang),
+lc AS (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (lc.c + 5)) // (ln.n + 5 * v) AS q
+  FROM lc JOIN ln USING (lang) JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM k
+WHERE part = 'pair' OR rank <= 50"""
+
+
+def op13_collocations(spark, sf_dir):
+    """The strongest phrases of every language."""
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?
+-
+]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM d),
+f AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+  GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+cut AS (SELECT lang, m, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x,
+    array_to_string(list_slice(w, k + 1, m), ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+sc AS (SELECT cut.*, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score FROM cut
+  JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sub AS (SELECT lang, array_to_string(list_slice(w, i, i + z - 1), ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS z) WHERE z < m) GROUP BY ALL),
+o AS (SELECT low.lang, low.phrase, a, l, r, n, score, row_number() OVER (
+    PARTITION BY low.lang ORDER BY score DESC, a DESC, encode(low.phrase)) AS rank
+  FROM low JOIN n USING (lang) LEFT JOIN sub ON sub.lang = low.lang AND sub.phrase = low.phrase
+  WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 2000"""
+
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_class_lm": op2_class_lm,
@@ -202,6 +283,9 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_pieces": op11_pieces,
+    "op12_divergence": op12_divergence,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -209,4 +293,6 @@ SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_embedding_dedup": OP8_SQL,
+    "op12_divergence": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
