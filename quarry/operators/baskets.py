@@ -16,11 +16,13 @@ Scale notes
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import fptree
 from quarry.session import cut_lineage, stored
 
 ITEMS = "items"
@@ -134,27 +136,28 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
 
 
 def frequent_itemsets_fpgrowth(pairs: DataFrame, basket_cols: Sequence[str], min_support: float,
-                               max_len: int | None = None, n_baskets: int | None = None,
-                               num_partitions: int | None = None) -> DataFrame:
-    """Spark ML's parallel FP-growth on de-duplicated baskets (it rejects repeated items); it has no length
-    cap, so the cap is a filter. Same output contract as :func:`frequent_itemsets_levelwise`."""
-    from pyspark.ml.fpm import FPGrowth
-
+                               max_len: int | None = None, n_baskets: int | None = None) -> DataFrame:
+    """Frequent itemsets by conditional FP-trees that never grow past ``max_len`` (:mod:`quarry.operators.fptree`).
+    Same output contract as :func:`frequent_itemsets_levelwise`."""
     keys = list(basket_cols)
-    sets = pairs.groupBy(*keys).agg(F.collect_set("item").alias(ITEMS))
-    n = n_baskets if n_baskets is not None else sets.count()
-    # Spark's smallest count is ceil(support * n) in floating point, which can be one too many: ask for a little
-    # less, and let the exact test below decide
-    asked = max(0.0, float(min_support) - 0.5 / n) if n else float(min_support)
-    fp = FPGrowth(itemsCol=ITEMS, minSupport=asked, minConfidence=1.0)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    found = fp.fit(sets).freqItemsets
-    if max_len is not None:
-        found = found.where(F.size(ITEMS) <= max_len)
-    found = found.where(_support_ok(F.col("freq"), n, min_support))
-    return found.select(F.array_sort(ITEMS).alias(ITEMS), "freq",
-                        (F.col("freq") / F.lit(float(n))).alias("support"), F.size(ITEMS).alias("size"))
+    spark = pairs.sparkSession
+    n = n_baskets if n_baskets is not None else count_baskets(pairs, keys)
+    if n == 0 or (max_len is not None and max_len < 1):
+        return spark.createDataFrame([], "items array<string>, freq bigint, support double, size int")
+    # the smallest count that passes the exact test
+    least = max(1, math.ceil(min_support * n) - 1)
+    while least / float(n) < float(min_support):
+        least += 1
+    common = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("freq") >= least)
+    # the window runs over the frequent items only (at most average basket size / min_support rows)
+    common = stored(common.select("item", (F.row_number().over(
+        Window.orderBy(F.desc("freq"), "item")) - 1).cast("int").alias("iid")), "items")
+    sets = pairs.join(common, "item").groupBy(*keys).agg(F.array_sort(F.collect_list("iid")).alias(ITEMS)).select(ITEMS)
+    found = fptree.mine(sets, least, max_len).withColumn("_set", F.monotonically_increasing_id())
+    found = stored(found, "itemsets")
+    named = (found.select("_set", "freq", F.explode(ITEMS).alias("iid")).join(common, "iid")
+             .groupBy("_set", "freq").agg(F.array_sort(F.collect_list("item")).alias(ITEMS)))
+    return named.select(ITEMS, "freq", (F.col("freq") / F.lit(float(n))).alias("support"), F.size(ITEMS).alias("size"))
 
 
 def compare_itemsets(a: DataFrame, b: DataFrame) -> DataFrame:

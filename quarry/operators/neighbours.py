@@ -1,12 +1,9 @@
-"""Exact nearest neighbours and exact silhouette as blocked pairwise jobs.
-
-Exact Euclidean k-NN and silhouette need every query–point distance; in 64 dimensions no index prunes
-that. What must not happen is materialising the pairs as rows or putting all points in one task. So both
-sides are cut into hash blocks of about ``block_rows`` rows; block (i, j) holds query block i and point
-block j (each row replicated over the blocks of the other side, ``2·n·m/block_rows`` rows in total), and a
-vectorised numpy kernel inside ``cogroup().applyInPandas`` reduces each block pair to a few rows:
-the k nearest per query, or one (sum of distances, count) per query and cluster. A final hash
-aggregate / WindowGroupLimit merges the block results. Memory per task is bounded by ``block_rows``.
+"""Exact nearest neighbours and exact silhouette.
+
+Nearest neighbours go by pivots and distance bounds (:mod:`quarry.operators.voronoi`). The exact Euclidean silhouette
+needs every distance: both sides are cut into hash blocks of about ``block_rows`` rows; block (i, j) holds query block i
+and point block j, and a vectorised numpy kernel inside ``cogroup().applyInPandas`` reduces each block pair to one (sum
+of distances, count) per query and cluster, so pairs are never rows. Memory per task is bounded by ``block_rows``.
 """
 
 from __future__ import annotations
@@ -18,30 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import voronoi
+from quarry.operators.voronoi import BLOCK_ROWS, CHUNK, distances, matrix
 from quarry.session import ship_package
 
-BLOCK_ROWS = 2048
-CHUNK = 64          # query rows per numpy step: CHUNK × block × dim doubles in memory
-DIGITS = 9          # distances are rounded before ordering so ties break the same way in every engine
-
 
 def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
-def _order_nearest(d: np.ndarray, keys: np.ndarray, take: int) -> np.ndarray:
-    """For each row of distances the ``take`` nearest columns, ties by key: only columns up to the ``take``-th
-    smallest distance are ordered."""
-    if take >= d.shape[1]:
-        return np.stack([np.lexsort((keys, row)) for row in d])
-    edge = np.partition(d, take - 1, axis=1)[:, take - 1]
-    out = np.empty((len(d), take), np.int64)
-    for i, row in enumerate(d):
-        near = np.flatnonzero(row <= edge[i])
-        out[i] = near[np.lexsort((keys[near], row[near]))[:take]]
-    return out
-
-
 def block_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, fn, schema: str,
                 block_rows: int = BLOCK_ROWS, n_left: int | None = None, n_right: int | None = None) -> DataFrame:
     """Run ``fn(left_rows, right_rows) -> pandas.DataFrame`` on every (left block, right block) pair."""
@@ -58,44 +40,15 @@ def block_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return lb.groupBy("_bi", "_bj").cogroup(rb.groupBy("_bi", "_bj")).applyInPandas(fn, schema)
 
 
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col.to_numpy()])
-
-
-def _distances(q: np.ndarray, b: np.ndarray) -> np.ndarray:
-    diff = q[:, None, :] - b[None, :, :]
-    return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-
-
 def knn_candidates(query: DataFrame, base: DataFrame, query_key: str, base_key: str, features: str,
                    label: str, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(query_key, neighbour, label, dist, rank)``: the exact k nearest base rows of every query row
-    (``neighbour`` = their ``base_key``), distance ties broken by base key."""
-    q = query.select(F.col(query_key).alias("qk"), F.col(features).alias("qv"))
-    b = base.select(F.col(base_key).alias("bk"), F.col(features).alias("bv"), F.col(label).alias("lab"))
-    schema = "qk long, bk long, lab long, dist double"
-
-    def kernel(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if lp.empty or rp.empty:
-            return pd.DataFrame({"qk": [], "bk": [], "lab": [], "dist": []})
-        qm, bm = _matrix(lp["qv"]), _matrix(rp["bv"])
-        bkeys, blabs = rp["bk"].to_numpy(), rp["lab"].to_numpy()
-        qkeys = lp["qk"].to_numpy()
-        take = min(k, len(rp))
-        out_q, out_b, out_l, out_d = [], [], [], []
-        for s in range(0, len(qm), CHUNK):
-            d = np.round(_distances(qm[s:s + CHUNK], bm), DIGITS)
-            order = _order_nearest(d, bkeys, take)
-            out_q.append(np.repeat(qkeys[s:s + len(d)], take))
-            out_b.append(bkeys[order].ravel())
-            out_l.append(blabs[order].ravel())
-            out_d.append(np.take_along_axis(d, order, 1).ravel())
-        return pd.DataFrame({"qk": np.concatenate(out_q), "bk": np.concatenate(out_b),
-                             "lab": np.concatenate(out_l), "dist": np.concatenate(out_d)})
-
-    cands = block_pairs(q, b, "qk", "bk", kernel, schema, block_rows)
-    w = Window.partitionBy("qk").orderBy("dist", "bk")
-    best = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    (``neighbour`` = their ``base_key``), distance ties broken by base key. Pivots and distance bounds decide what is
+    compared (:mod:`quarry.operators.voronoi`); rows without features take no part."""
+    q = query.select(F.col(query_key).alias("qk"), F.col(features).alias("qv")).where("qv is not null")
+    b = base.select(F.col(base_key).alias("bk"), F.col(features).alias("bv"),
+                    F.col(label).cast("long").alias("lab")).where("bv is not null")
+    best, _ = voronoi.nearest(q, b, k, block_rows)
     return best.select(F.col("qk").alias(query_key), F.col("bk").alias("neighbour"), F.col("lab").alias(label),
                        "dist", "rank")
 
@@ -122,7 +75,7 @@ def silhouette(points: DataFrame, key: str, features: str, cluster: str, block_r
     def kernel(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if lp.empty or rp.empty:
             return pd.DataFrame({"qk": [], "c": [], "sum_d": [], "cnt": []})
-        qm, bm = _matrix(lp["qv"]), _matrix(rp["bv"])
+        qm, bm = matrix(lp["qv"]), matrix(rp["bv"])
         labels = rp["c"].to_numpy()
         uniq, inv = np.unique(labels, return_inverse=True)
         onehot = np.zeros((len(labels), len(uniq)))
@@ -130,7 +83,7 @@ def silhouette(points: DataFrame, key: str, features: str, cluster: str, block_r
         counts = onehot.sum(axis=0).astype(np.int64)
         frames = []
         for s in range(0, len(qm), CHUNK):
-            sums = _distances(qm[s:s + CHUNK], bm) @ onehot          # (chunk × clusters)
+            sums = distances(qm[s:s + CHUNK], bm) @ onehot          # (chunk × clusters)
             n = sums.shape[0]
             frames.append(pd.DataFrame({"qk": np.repeat(lp["qk"].to_numpy()[s:s + n], len(uniq)),
                                         "c": np.tile(uniq, n), "sum_d": sums.ravel(),
@@ -149,3 +102,50 @@ def silhouette(points: DataFrame, key: str, features: str, cluster: str, block_r
          .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b")))
     return agg.select(F.col("qk").alias(key), F.col("own").alias(cluster), "a", "b",
                       F.coalesce(s, F.lit(0.0)).alias("s"))
+
+
+def _to_clusters(held):
+    """From a vector and its cluster, by the clusters' sums in ``held``: the mean squared distance to the others of its
+    own cluster and its size, if that is among them, and the least to another cluster."""
+
+    @F.pandas_udf("own double, n long, other double")
+    def near(v: pd.Series, c: pd.Series) -> pd.DataFrame:
+        names, n, q, s = held.value
+        x = matrix(v)
+        total = np.maximum(n * (x * x).sum(1)[:, None] - 2 * x @ s.T + q, 0.0)
+        mine = c.to_numpy()[:, None] == names
+        own = mine.any(1)
+        mean = np.where(mine, np.inf, total / n).min(1)
+        count = np.where(own, n[mine.argmax(1)], 0)
+        return pd.DataFrame({
+            "own": np.where(own & (count > 1), total[np.arange(len(x)), mine.argmax(1)] / np.maximum(count - 1, 1), np.nan),
+            "n": count.astype(np.int64), "other": np.where(np.isinf(mean), np.nan, mean)})
+
+    return near
+
+
+def silhouette_squared(points: DataFrame, key: str, features: str, cluster: str, block: int = 1024) -> DataFrame:
+    """V6 by squared Euclidean distance, in one linear pass: ``(key, cluster, a, b, s)`` as :func:`silhouette`, with
+    mean squared distances. The number of rows, the sum of rows and the sum of squared lengths of a cluster give a
+    point's mean squared distance to it, so points are never compared with each other. The clusters' sums are held
+    ``block`` clusters at a time; rows with a null cluster or null features take no part."""
+    spark = points.sparkSession
+    ship_package(spark)
+    p = points.select(F.col(key).alias("k"), F.col(features).cast("array<double>").alias("v"),
+                      F.col(cluster).alias("c")).where("v is not null and c is not null")
+    n = p.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    sums = (p.select("c", F.posexplode("v").alias("i", "x")).groupBy("c", "i").agg(
+        F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
+        .groupBy("c").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("s"), F.sum("q").alias("q")))
+    known = sums.join(n, "c").select("c", "n", "q", F.col("s.s").alias("s")).orderBy("c").toPandas()
+    out = p.withColumn("own", F.lit(None).cast("struct<a:double,n:long>")).withColumn("b", F.lit(None).cast("double"))
+    for at in range(0, len(known), block):
+        part = known.iloc[at:at + block]
+        held = spark.sparkContext.broadcast((part["c"].to_numpy(), part["n"].to_numpy(float), part["q"].to_numpy(float),
+                                             np.stack([np.asarray(s, float) for s in part["s"]])))
+        out = out.withColumn("m", _to_clusters(held)("v", "c")).select(
+            "k", "v", "c", F.when(F.col("m.n") > 0, F.struct(F.nanvl("m.own", F.lit(None)).alias("a"), F.col("m.n").alias("n")))
+            .otherwise(F.col("own")).alias("own"), F.least(F.nanvl("m.other", F.lit(None)), "b").alias("b"))
+    a, b = F.col("own.a"), F.col("b")
+    s = F.when((F.col("own.n") <= 1) | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
+    return out.select(F.col("k").alias(key), F.col("c").alias(cluster), a.alias("a"), "b", s.alias("s"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import baskets as B
+from quarry.operators import profile as P
 from quarry.plans.tables import BASKET_KEYS, purchase_lines, purchase_lines_sql
 from quarry.session import cut_lineage
 
@@ -104,13 +105,10 @@ def q_basket_lists(spark, sf_dir):
 
 def q_basket_size_summary(spark, sf_dir):
     m = Mining(spark, sf_dir)
-    sizes = B.basket_lists(m.counts, KEYS).select("basket_size")
-    q = F.percentile(F.col("basket_size"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return sizes.agg(
-        F.count(F.lit(1)).alias("count"), r6(F.avg("basket_size")).alias("mean"),
-        r6(F.stddev_samp("basket_size")).alias("std"), F.min("basket_size").cast("bigint").alias("min"),
-        r6(q[0]).alias("p25"), r6(q[1]).alias("p50"), r6(q[2]).alias("p75"),
-        F.max("basket_size").cast("bigint").alias("max"), r6(F.median("basket_size")).alias("median"))
+    sizes = P.describe(cut_lineage(B.basket_lists(m.counts, KEYS).select("basket_size")), "basket_size")
+    return sizes.select("count", r6("mean").alias("mean"), r6("std").alias("std"), F.col("min").cast("bigint").alias("min"),
+                        *[r6(c).alias(c) for c in ("p25", "p50", "p75")], F.col("max").cast("bigint").alias("max"),
+                        r6("p50").alias("median"))
 
 
 def q_item_frequency_top(spark, sf_dir):

@@ -60,7 +60,7 @@ def q_logreg_multi(spark, sf_dir):
 
 def q_svm_ovr(spark, sf_dir):
     d = _doc_features(spark, sf_dir)
-    model = M.linear_svm_ovr(d.where("split = 'train'"), max_iter=2000)
+    model = M.linear_svm_ovr(d.where("split = 'train'"))
     return _predictions(model, d.where("split = 'test'"), "doc_id")
 
 
@@ -69,7 +69,7 @@ def _lr(train):
 
 
 def _svm(train):
-    return M.linear_svm_ovr(train, max_iter=2000)
+    return M.linear_svm_ovr(train)
 
 
 def _cv_rows(scores):
@@ -131,7 +131,7 @@ def q_tree(spark, sf_dir):
 
 def q_tree_nodes(spark, sf_dir):
     d = _churn_like(spark, sf_dir, stratified=False)
-    return M.tree_nodes(spark, M.decision_tree(d.where("split = 'train'")), 3)
+    return M.tree_nodes(M.decision_tree(d.where("split = 'train'")), 3)
 
 
 def _scaled_vectors(spark, sf_dir):
@@ -157,11 +157,7 @@ def q_cluster_profile(spark, sf_dir):
 
 
 def q_elbow(spark, sf_dir):
-    z = cut_lineage(_scaled_vectors(spark, sf_dir))
-    per_dim = z.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(
-        (F.count(F.lit(1)) * F.var_pop("x")).alias("ss"))
-    total = per_dim.agg(F.sum("ss")).first()[0]
-    rows = M.elbow(z, "vec", range(1, 11), SEED, total_deviation=total)
+    rows = M.elbow(_scaled_vectors(spark, sf_dir), "features", range(1, 11))
     return spark.createDataFrame(rows, "k int, inertia double")
 
 

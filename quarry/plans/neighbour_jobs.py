@@ -96,6 +96,11 @@ def q_silhouette_exact(spark, sf_dir):
     return s.agg(F.count(F.lit(1)).alias("points"), r6(F.avg("s")).alias("silhouette"))
 
 
+def q_silhouette_squared(spark, sf_dir):
+    s = N.silhouette_squared(_scaled_all(spark, sf_dir), "vec_id", "features", "label")
+    return s.agg(F.count(F.lit(1)).alias("points"), r6(F.avg("s")).alias("silhouette"))
+
+
 QUERIES = {
     "knn_predict": q_knn_predict,
     "confusion": q_confusion,
@@ -105,6 +110,7 @@ QUERIES = {
     "inertia_k1": q_inertia_k1,
     "rand_index": q_rand_index,
     "silhouette_exact": q_silhouette_exact,
+    "silhouette_squared": q_silhouette_squared,
 }
 
 
@@ -143,6 +149,23 @@ SCALED_ALL_SQL = f"""{LONG_SQL},
     z AS (SELECT l.vec_id, l.i, (l.x - st.m) / CASE WHEN st.s = 0 THEN 1 ELSE st.s END AS z
           FROM long l JOIN stats st ON l.i = st.i)"""
 
+
+
+def silhouette_sql(distance: str) -> str:
+    return f"""WITH {SCALED_ALL_SQL},
+    lab AS (SELECT vec_id, label FROM embeddings),
+    d AS (SELECT q.vec_id AS qk, b.vec_id AS bk, {distance} AS dist
+          FROM z q JOIN z b ON q.i = b.i GROUP BY q.vec_id, b.vec_id),
+    per AS (SELECT d.qk, lb.label AS c, sum(d.dist) AS sum_d, count(*) AS cnt FROM d JOIN lab lb ON d.bk = lb.vec_id
+            GROUP BY d.qk, lb.label),
+    ab AS (SELECT per.qk, max(CASE WHEN per.c = lq.label THEN sum_d / (cnt - 1) END) AS a,
+                  max(CASE WHEN per.c = lq.label THEN cnt END) AS own_n,
+                  min(CASE WHEN per.c <> lq.label THEN sum_d / cnt END) AS b
+           FROM per JOIN lab lq ON per.qk = lq.vec_id GROUP BY per.qk)
+    SELECT count(*) AS points, round(avg(CASE WHEN own_n <= 1 OR b IS NULL THEN 0.0
+                                              ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab"""
+
+
 SQL = {
     "knn_predict": KNN_CTE + "\n    SELECT vec_id, label, prediction FROM pred",
     "confusion": KNN_CTE + """,
@@ -195,16 +218,6 @@ SQL = {
           FROM t)
     SELECT round(CASE WHEN fn = 0 AND fp = 0 THEN 1.0
                       ELSE 2.0 * (tp * tn - fn * fp) / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn)) END, 6) AS ari FROM p""",
-    "silhouette_exact": f"""WITH {SCALED_ALL_SQL},
-    lab AS (SELECT vec_id, label FROM embeddings),
-    d AS (SELECT q.vec_id AS qk, b.vec_id AS bk, sqrt(sum((q.z - b.z) * (q.z - b.z))) AS dist
-          FROM z q JOIN z b ON q.i = b.i GROUP BY q.vec_id, b.vec_id),
-    per AS (SELECT d.qk, lb.label AS c, sum(d.dist) AS sum_d, count(*) AS cnt FROM d JOIN lab lb ON d.bk = lb.vec_id
-            GROUP BY d.qk, lb.label),
-    ab AS (SELECT per.qk, max(CASE WHEN per.c = lq.label THEN sum_d / (cnt - 1) END) AS a,
-                  max(CASE WHEN per.c = lq.label THEN cnt END) AS own_n,
-                  min(CASE WHEN per.c <> lq.label THEN sum_d / cnt END) AS b
-           FROM per JOIN lab lq ON per.qk = lq.vec_id GROUP BY per.qk)
-    SELECT count(*) AS points, round(avg(CASE WHEN own_n <= 1 OR b IS NULL THEN 0.0
-                                              ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab""",
+    "silhouette_exact": silhouette_sql("sqrt(sum((q.z - b.z) * (q.z - b.z)))"),
+    "silhouette_squared": silhouette_sql("sum((q.z - b.z) * (q.z - b.z))"),
 }
