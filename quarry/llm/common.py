@@ -109,6 +109,24 @@ def text_chunks(src: DataFrame, chunk_bytes: int) -> DataFrame:
                           shuffle_partitions(src.sparkSession), "chunk")
 
 
+def packed_slices(t: pa.Table, of: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The rows of a table by the slice that ``of`` names for each, every slice as one compressed Arrow stream."""
+    order = np.argsort(of, kind="stable")
+    t, of = t.take(pa.array(order)).combine_chunks(), of[order]
+    edge = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else of
+    for a, b in zip(edge, np.append(edge[1:], len(of))):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(t.slice(a, b - a))
+        yield int(of[a]), sink.getvalue().to_pybytes()
+
+
+def summed(tables: list[pa.Table], keys: list[str], *values: str) -> pa.Table:
+    """Tables as one, with a row for each key and the sums of its values."""
+    whole = pa.concat_tables(tables).group_by(keys).aggregate([(v, "sum") for v in values])
+    return whole.rename_columns([n.removesuffix("_sum") for n in whole.column_names]).select([*keys, *values])
+
+
 def rows_of(body: pa.Scalar) -> pa.Table:
     """The rows of one chunk."""
     return pa.ipc.open_stream(body.as_buffer()).read_all()
@@ -157,5 +175,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-__all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "read", "rows_of", "shuffle_partitions",
-           "text_chunks", "tidy"]
+__all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "packed_slices", "read", "rows_of",
+           "shuffle_partitions", "summed", "text_chunks", "tidy"]

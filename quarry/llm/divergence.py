@@ -12,67 +12,110 @@ All arithmetic is on integers: shares by long division, sums of at most 2 * 10^9
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import only, shuffle_partitions, tidy
+from quarry.llm.common import only, packed_slices, rows_of, shuffle_partitions, summed, tidy
 from quarry.session import stored
 
 SCALE = 1_000_000_000
 SMOOTH = 5                   # added to each count
 AT_LEAST = 30                # documents of a language that hold a kept term
 TOP = 50                     # terms listed of each group
-HELD = 300_000               # counts that a task holds before it passes them on
+BYTES = 8 << 20              # text counted at a time
+HELD = 1_500_000             # counts that a task holds before it adds them up, and sends them if half are left
+SLICE = 32 << 20             # bytes of text for each slice of the terms
 BLOCK = 50_000               # kept terms in a range
 # letters in lower case, bytes of other characters as they are, all else as a space
 TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def counts(df: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
-    """``lang``, ``source``, ``term`` (null once for each group, so that groups without terms show), ``c``
-    (occurrences) and ``d`` (documents). Null values of ``lang``, ``source`` and ``text`` read as empty."""
-    src = only(df, lang=lang, source=source, text=text)
-    src = src.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in src.columns])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, tuple[Counter, Counter]] = {}
+def count_terms(langs: list[str], sources: list[str], texts: list[bytes]) -> pa.Table:
+    """``lang``, ``source``, ``term``, ``c`` (occurrences) and ``d`` (documents) of a block of documents."""
+    groups = sorted(set(zip(langs, sources)))
+    number = {g: i for i, g in enumerate(groups)}
+    group = np.array([number[g] for g in zip(langs, sources)], np.int64)
+    lists = pc.ascii_split_whitespace(pa.array([t.translate(TERMS) for t in texts], pa.large_binary()).cast(pa.large_string()))
+    coded = lists.flatten().dictionary_encode()
+    size = len(coded.dictionary)
+    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    at, n = np.unique(doc * size + coded.indices.to_numpy(), return_counts=True)
+    key = group[at // max(size, 1)] * size + at % max(size, 1)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    key = key[first]
+    found = pa.table({
+        "lang": pa.array([g[0] for g in groups], pa.string()).take(pa.array(key // max(size, 1))),
+        "source": pa.array([g[1] for g in groups], pa.string()).take(pa.array(key // max(size, 1))),
+        "term": coded.dictionary.take(pa.array(key % max(size, 1))).cast(pa.string()),
+        "c": pa.array(np.add.reduceat(n, first) if len(first) else n, pa.int64()),
+        "d": pa.array(np.diff(np.append(first, len(n))), pa.int64())})
+    return found.filter(pc.not_equal(found.column("term"), ""))
+
+
+def added(tables: list[pa.Table]) -> pa.Table:
+    return summed(tables, ["lang", "source", "term"], "c", "d")
+
+
+def kept_counts(src: DataFrame, at_least: int) -> DataFrame:
+    """``lang``, ``source``, ``term``, ``c``, ``all`` (occurrences in the language) of the terms in at least
+    ``at_least`` documents of their language. ``src``: ``lang``, ``source``, ``text`` without nulls.
+
+    A task counts its documents and sends its counts in slices of the terms' hash range, each slice as one compressed
+    table: a term costs a row for each source and task that has it, not for each document. A slice has all counts of
+    its terms, so it can add them up and drop the rare ones, which are most."""
+    spark = src.sparkSession
+    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = max(shuffle_partitions(spark), -(-total // SLICE))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        docs: list[tuple] = []
+        size = 0
 
         def put() -> Iterator[pa.RecordBatch]:
-            for (lang_, source_), (c, d) in held.items():
-                terms = list(c)
-                for at in range(0, max(1, len(terms)), 50_000):
-                    part = terms[at:at + 50_000]
-                    marks = [None] if at == 0 else []
-                    n = len(part) + len(marks)
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([lang_] * n, pa.string()), "source": pa.array([source_] * n, pa.string()),
-                        "term": pa.array(marks + part, pa.binary()).cast(pa.string()),
-                        "c": pa.array([0] * len(marks) + [c[t] for t in part], pa.int64()),
-                        "d": pa.array([0] * len(marks) + [d[t] for t in part], pa.int64())})
+            t = added(held)
             held.clear()
+            of = np.fromiter((zlib.crc32(x) % slices for x in t.column("term").cast(pa.binary()).to_pylist()), np.int64, len(t))
+            rows = list(packed_slices(t, of))
+            for at in range(0, len(rows), 64):
+                part = rows[at:at + 64]
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([i for i, _ in part], pa.int64()),
+                                                  "body": pa.array([x for _, x in part], pa.binary())})
 
-        rows = 0
         for b in batches:
-            for group, t in zip(zip(b.column("lang").to_pylist(), b.column("source").to_pylist()),
-                                b.column("text").cast(pa.binary()).to_pylist()):
-                c, d = held.setdefault(group, (Counter(), Counter()))
-                found = t.translate(TERMS).split()
-                rows -= len(c)
-                c.update(found)
-                d.update(set(found))
-                rows += len(c)
-                if rows > HELD:
-                    yield from put()
-                    rows = 0
-        yield from put()
-
-    each = src.mapInArrow(tidy(run), "lang string, source string, term string, c long, d long")
-    return each.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+            for row in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(),
+                           b.column("text").cast(pa.binary()).to_pylist()):
+                docs.append(row)
+                size += len(row[2]) + 16
+                if size > BYTES:
+                    held.append(count_terms(*map(list, zip(*docs))))
+                    docs, size = [], 0
+                    if sum(map(len, held)) > HELD:
+                        held[:] = [added(held)]
+                        if len(held[0]) > HELD // 2:
+                            yield from put()
+        if docs:
+            held.append(count_terms(*map(list, zip(*docs))))
+        if held:
+            yield from put()
+
+    def keep(t: pa.Table) -> pa.Table:
+        whole = added([rows_of(x) for x in t.column("body")])
+        terms = whole.group_by(["lang", "term"]).aggregate([("d", "sum"), ("c", "sum")])
+        terms = terms.filter(pc.greater_equal(terms.column("d_sum"), at_least)).select(["lang", "term", "c_sum"])
+        return whole.join(terms, ["lang", "term"], join_type="inner").select(
+            ["lang", "source", "term", "c", "c_sum"]).rename_columns(["lang", "source", "term", "c", "all"])
+
+    return src.mapInArrow(tidy(count), "slice long, body binary").groupBy("slice").applyInArrow(
+        tidy(keep), "lang string, source string, term string, c long, all long")
 
 
 def share(count: np.ndarray, total: int) -> np.ndarray:
@@ -118,14 +161,12 @@ def audit(df: DataFrame, lang: str = "lang", source: str = "source", text: str =
     empty result. Other columns are not read.
     """
     spark = df.sparkSession
-    each = stored(counts(df, lang, source, text), "counts")
-    in_lang = Window.partitionBy("lang", "term")
-    kept = stored(each.where("term is not null").withColumn("docs", F.sum("d").over(in_lang))
-                  .withColumn("all", F.sum("c").over(in_lang)).where(F.col("docs") >= at_least)
-                  .select("lang", "source", "term", "c", "all"), "kept")
+    src = only(df, lang=lang, source=source, text=text)
+    src = src.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in src.columns])
+    kept = stored(kept_counts(src, at_least), "kept")
     # sizes of groups and languages
     of_lang = kept.groupBy("lang").agg(F.sum("c").alias("lang_n"), F.countDistinct("term").alias("v"))
-    groups = (each.where("term is null").select("lang", "source")
+    groups = (src.select("lang", "source").distinct()
               .join(kept.groupBy("lang", "source").agg(F.sum("c").alias("n")), ["lang", "source"], "left")
               .join(of_lang, "lang", "left").fillna(0, ["n", "lang_n", "v"]))
     by_size = Window.partitionBy("lang").orderBy(F.desc("n"), "source")
@@ -147,18 +188,20 @@ def audit(df: DataFrame, lang: str = "lang", source: str = "source", text: str =
     blocks = max(shuffle_partitions(spark), -(-groups.agg(F.max("v").alias("v")).first()["v"] // block)
                  if not groups.isEmpty() else 1)
     ranges = stored(vectors.repartitionByRange(blocks, "lang", "counts", "term")
-                    .withColumn("block", F.spark_partition_id()), "ranges")
+                    .sortWithinPartitions("lang", "counts", "term").select(
+        "lang", "counts", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("order")), "ranges")
     # every group has a column in every block of its language, and one block is empty, for languages without terms
     columns = stored(ranges.select("lang", "block").distinct()
                      .union(groups.select("lang", F.lit(-1).alias("block")).distinct())
                      .join(groups.select("lang", "place", "n", "v"), "lang"), "columns")
 
     def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = sorted([(x["place"], x["c"]) for x in l] for l in left.column("counts").to_pylist())
+        lists = left.take(pc.sort_indices(left, [("order", "ascending")])).column("counts").combine_chunks()
         length = len(lists)
-        place = np.array([i for l in lists for i, _ in l], np.int64)
-        c = np.array([n for l in lists for _, n in l], np.int64)
-        at = np.repeat(np.arange(length), [len(l) for l in lists])
+        found = lists.flatten()
+        place = found.field("place").to_numpy().astype(np.int64)
+        c = found.field("c").to_numpy().astype(np.int64)
+        at = np.repeat(np.arange(length), pc.list_value_length(lists).to_numpy())
         order = np.lexsort((at, place))
         place, c, at = place[order], c[order], at[order]
         made = {}
