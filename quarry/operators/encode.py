@@ -155,19 +155,11 @@ def to_vector(col: str | Column) -> Column:
 
 
 def pca_2d(df: DataFrame, features: str, k: int = 2, out: str = "pca") -> DataFrame:
-    """``ml.feature.PCA`` does not centre in ``transform`` → centre first (means from one aggregate);
-    each component's sign is fixed so its largest-magnitude loading is positive."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import vector_to_array
-
-    arr = df.withColumn("_a", vector_to_array(F.col(features)) if dict(df.dtypes)[features] == "vector"
-                        else F.col(features).cast("array<double>"))
-    means = F.array(*[F.lit(m) for m in _dimension_stats(arr, "_a", with_std=False)[0]])
-    centred = arr.withColumn("_c", to_vector(F.transform("_a", lambda x, i: x - means[i])))
-    model = PCA(k=k, inputCol="_c", outputCol="_p").fit(centred)
-    pc = model.pc.toArray()                      # dim × k, small
-    signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
-    proj = vector_to_array(F.col("_p"))
-    return (model.transform(centred)
-            .withColumn(out, F.array(*[proj[j] * F.lit(signs[j]) for j in range(k)]))
-            .drop("_a", "_c", "_p"))
+    """``out`` = the centred rows along the first ``k`` principal components, each component with its
+    largest-magnitude loading positive (:mod:`quarry.operators.pca`: any number of columns, sparse or not)."""
+    from quarry.operators import pca
+
+    if dict(df.dtypes)[features] == "vector":
+        return pca.project(df, features, *pca.directions(df, features, k), out)
+    mean, found = pca.directions(df.withColumn("_v", to_vector(features)), "_v", k)
+    return pca.project(df.withColumn("_v", to_vector(features)), "_v", mean, found, out).drop("_v")

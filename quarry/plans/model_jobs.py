@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
@@ -17,6 +16,7 @@ from quarry.operators import encode as E
 from quarry.operators import evaluate as V
 from quarry.operators import models as M
 from quarry.operators import sampling as X
+from quarry.operators.network import Block
 from quarry.plans.neighbour_jobs import _embeddings
 from quarry.plans.sample_jobs import SEED, TEST_SIZE, _urgent_orders
 from quarry.session import cut_lineage
@@ -190,20 +190,17 @@ def _fused(spark, sf_dir):
     from quarry.plans.tables import text_table
 
     docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    coded, classes = E.label_encode(docs.select(
+    coded, _ = E.label_encode(docs.select(
         "doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")), "lang", "label")
     split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))
     text = M.tfidf_features(split, "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt", split.where("split = 'train'"))
     look = docs.select("doc_id", E.to_vector(_shape("text")).alias("look"))
-    joined = VectorAssembler(inputCols=["look", "txt"], outputCol="features").transform(
-        text.select("doc_id", "label", "txt", "split").join(look, "doc_id"))
-    joined = cut_lineage(joined.select("doc_id", "label", "features", "split"))
-    n_classes = classes.count()
-    width = len(joined.first()["features"])
-    model = M.perceptron(joined.where("split = 'train'"), [width, 128, n_classes], max_iter=30, seed=SEED)
-    return model.transform(joined.where("split = 'test'")).select(
-        "doc_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability").alias("probability"))
+    joined = cut_lineage(text.select("doc_id", "label", "txt", "split").join(look, "doc_id"))
+    train, held = joined.where("split = 'train'"), joined.where("split = 'test'")
+    # as in the reference, the held-out part says when to stop
+    model = M.fused_network(train, held, [Block("look", 256, 0.5), Block("txt", 128, 0.3)], "doc_id", seed=SEED)
+    return model.transform(held).select(
+        "doc_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "probability")
 
 
 def q_fused_classifier(spark, sf_dir):

@@ -10,7 +10,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quarry.operators import baskets as B
-from quarry.operators import fptree, lloyd, profile, quantiles, svm, tree, voronoi
+from quarry.operators import encode as E
+from quarry.operators import fptree, lloyd, network, pca, profile, quantiles, svm, tree, voronoi
 from quarry.operators import models as M
 from quarry.operators import neighbours as N
 from quarry.operators import sampling as X
@@ -270,3 +271,74 @@ def test_itemsets_of_names(spark):
     got = {tuple(r["items"]): (r["freq"], r["size"]) for r in B.frequent_itemsets_fpgrowth(pairs, ["b"], 0.5, 2).collect()}
     assert got == {("a",): (4, 1), ("b",): (4, 1), ("c",): (3, 1), ("a", "b"): (3, 2), ("a", "c"): (3, 2)}
     assert X.kfold(pairs, "item", ["b", "item"], 2).count() == len(rows)
+
+
+# ---------------------------------------------------------------------------------------------------------
+# principal components
+
+
+@pytest.mark.parametrize("whole", [512, 4])
+def test_components_equal_eigenvectors(spark, monkeypatch, whole):
+    monkeypatch.setattr(pca, "WHOLE", whole)
+    monkeypatch.setattr(pca, "MORE", 4)
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(120, 9)) * np.linspace(4, 0.3, 9) + 7
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, v array<double>")
+    got = np.array([r["pca"] for r in E.pca_2d(df, "v").orderBy("i").collect()])
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    want = vectors[:, ::-1][:, :2]
+    want = want * np.sign(want[np.abs(want).argmax(0), [0, 1]])
+    assert np.allclose(got, (x - x.mean(0)) @ want, atol=1e-5)
+
+
+def test_components_of_a_wide_sparse_table(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(300):
+        at = sorted({*rng.integers(0, 100_000, 5).tolist(), 17 + 1000 * (i % 2)})
+        rows.append((i, Vectors.sparse(100_000, [(j, 20.0 if j in (17, 1017) else 1.0) for j in at])))
+    df = spark.createDataFrame(rows, ["i", "v"])
+    mean, found = pca.directions(df, "v", 1, rounds=30)
+    assert len(mean) == 100_000 and set(np.argsort(-np.abs(found[0]))[:2]) == {17, 1017}
+    side = {r["i"] % 2: [] for r in df.select("i").collect()}
+    for r in pca.project(df, "v", mean, found).collect():
+        side[r["i"] % 2].append(r["pca"][0])
+    assert max(side[0]) < min(side[1]) or max(side[1]) < min(side[0])
+
+
+# ---------------------------------------------------------------------------------------------------------
+# fused network
+
+
+def test_gradient_of_the_network():
+    rng = np.random.default_rng(0)
+    net = network.Net([3, 4], [network.Block("a", 5), network.Block("b", 2)], 6, 0.0, 3)
+    w = net.start(1) + 0.1 * rng.normal(size=net.size)
+    x, y = [rng.normal(size=(7, 3)), rng.normal(size=(7, 4))], rng.integers(0, 3, 7)
+    _, g = net.gradient(w, x, y)
+    for i in rng.integers(0, net.size, 25):
+        e = np.zeros(net.size)
+        e[i] = 1e-6
+        assert (net.gradient(w + e, x, y)[0] - net.gradient(w - e, x, y)[0]) / 2e-6 == pytest.approx(g[i], abs=1e-5)
+
+
+def test_network_learns_repeats_and_stops_early(spark):
+    rng = np.random.default_rng(3)
+    x, noise = rng.normal(size=(240, 4)), rng.normal(size=(240, 2))
+    y = (x[:, 0] * x[:, 1] > 0).astype(int)          # not linear
+    rows = [(i, float(k), Vectors.dense(v), Vectors.dense(z)) for i, (k, v, z) in enumerate(zip(y, x, noise))]
+    df = spark.createDataFrame(rows, ["i", "label", "a", "b"])
+    train, held = df.where("i % 4 > 0"), df.where("i % 4 = 0")
+    blocks = [network.Block("a", 32, 0.1), network.Block("b", 4, 0.5)]
+    fit = lambda **k: network.fit(train, held, blocks, "i", joint=16, joint_dropout=0.1, rate=0.02, batch=16, **k)
+    model = fit(epochs=14, patience=4)
+    assert len(model.history) < 14 or model.history[-1]["loss"] < model.history[0]["loss"]
+    least = min(h["valid_loss"] for h in model.history)
+    scored = model.transform(held).collect()
+    loss = -np.mean([math.log(r["probability"][int(r["label"])]) for r in scored])
+    assert loss == pytest.approx(least, rel=1e-6)    # the best epoch's weights were kept
+    assert np.mean([r["prediction"] == r["label"] for r in scored]) > 0.75
+    once, again = fit(epochs=1), fit(epochs=1)
+    assert np.allclose(once.weights, again.weights, atol=1e-6)
+    stopped = network.fit(train, held, blocks, "i", joint=16, rate=0.0, epochs=9, patience=2)
+    assert len(stopped.history) == 3                 # nothing falls after the first epoch

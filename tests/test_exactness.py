@@ -128,3 +128,19 @@ def test_cross_validation_scores_every_fold(spark):
         "label", "fold", E.to_vector("x").alias("features"))
     scores = M.cross_validate(df, lambda t: M.logistic_regression(t, multinomial=False))
     assert [f for f, _ in scores] == list(range(5)) and all(a == 1.0 for _, a in scores)
+
+
+def test_stems_of_the_extended_mode(spark):
+    from quarry.functions.stem import cv_pattern, stem_column
+
+    words = ("caresses flies dies mules denied died agreed owned humbled sized meeting stating siezing itemization "
+             "sensational traditional reference colonizer plotted sky skies dying news happy enjoy using tied spied ties "
+             "technology rationally by possibly successfully generously")
+    want = ("caress fli die mule deni die agre own humbl size meet state siez item sensat tradit refer colon plot sky sky "
+            "die news happi enjoy use tie spi tie technolog ration by possibl success gener")
+    df = spark.createDataFrame([(w,) for w in words.split()] + [(None,)], "w string")
+    got = {r["w"]: r["stem"] for r in stem_column(df, "w", extended=True).collect()}
+    assert got.pop(None) is None
+    assert got == dict(zip(words.split(), want.split()))
+    runs = spark.createDataFrame([("ayyyyyyb",), ("yyyyyya",), ("byyyyyy",)], "w string")
+    assert [r[0] for r in runs.select(cv_pattern(F.col("w"))).collect()] == ["VCVCVCVC", "CVCVCVV", "CVCVCVC"]
