@@ -2,9 +2,10 @@
 
 A sample of the documents proposes phrases (those with a lowered count there). A pass over all documents then counts
 exactly every proposed phrase and its negative border: the phrases that were not proposed although all their shorter
-parts were. If a phrase of the border turns out frequent, the proposal was too small; such phrases are added, and a
-further pass counts what became border by that, until no border phrase is frequent. As a part of a frequent phrase is
-frequent, every frequent phrase has then been counted.
+parts were. If no phrase of the border is frequent, every frequent phrase has been counted, as the parts of a frequent
+phrase are frequent. Else the proposal was too small, and what is missing holds a border phrase that failed: a further
+pass counts every phrase that holds one and whose words are all proposed or failed. That closes the search, however poor
+the sample was; expanding by one border at a time would take a pass for every length.
 
 Who is proposed is held in one bit map (a key's place is the start of a 64-bit hash of the phrase), whose size has a
 fixed bound. A chance hit in it only means that a phrase is counted that need not be, so results are exact at every
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import only, shuffle_partitions, tidy
+from quarry.llm.common import only, packed_slices, rows_of, shuffle_partitions, summed, tidy
 from quarry.session import stored
 
 AT_LEAST = 30                # occurrences of a candidate
@@ -37,10 +38,11 @@ MAP_PARTS = 256              # pieces in which it comes to the driver
 BREAK = b"."
 # letters in lower case, tabs as spaces, what ends a piece as BREAK
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 46 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
-OUT = "slice long, lang string, phrase string, m int, key long, n long, once binary, many binary, times binary"
-_OUT = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("m", pa.int32()),
-                  ("key", pa.int64()), ("n", pa.int64()), ("once", pa.binary()), ("many", pa.binary()),
-                  ("times", pa.binary())])
+HELD = 1_000_000             # phrases that a task holds before it adds them up, and sends them if half are left
+OUT = "slice long, once binary, many binary, times binary, body binary"
+_OUT = pa.schema([("slice", pa.int64()), ("once", pa.binary()), ("many", pa.binary()), ("times", pa.binary()),
+                  ("body", pa.binary())])
+KEYS = ["lang", "phrase", "m", "key"]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,16 +103,25 @@ class Words:
             before = could if m <= loose else member
         return out
 
+    def totals(self, bits: int) -> pa.Table:
+        """The number of words of each language."""
+        key = (mix(hashes([x.encode() for x in self.langs])) >> np.uint64(32 - bits)).astype(np.int64)
+        return pa.table({"lang": pa.array(self.langs, pa.string()), "phrase": pa.nulls(len(key), pa.string()),
+                         "m": pa.array([0] * len(key), pa.int32()), "key": key,
+                         "n": np.bincount(self.lang[self.word], minlength=len(key)).astype(np.int64)})
+
     def phrases(self, m: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """A first place and the count of every distinct phrase of ``m`` words that begins at the chosen places, and
         the phrases. Compares words, not hashes."""
         at = np.flatnonzero(chosen)
-        size = len(self.words)
-        same = self.lang[at]
+        size, same = len(self.words), self.lang[at]
         for i in range(m):
-            _, same = np.unique(same * size + self.code[at + i], return_inverse=True)
-        _, first, n = np.unique(same, return_index=True, return_counts=True)
-        at = at[first]
+            same = same * size + self.code[at + i]
+            if i < m - 1:
+                _, same = np.unique(same, return_inverse=True)
+        order = np.argsort(same, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(same[order]) > 0)) if len(at) else order
+        at, n = at[order[first]], np.diff(np.append(first, len(at)))
         parts = [self.words.take(pa.array(self.code[at + i])) for i in range(m)]
         return at, n, parts[0] if m == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
 
@@ -154,10 +165,17 @@ def _packed(key: np.ndarray, bits: int) -> Iterator[dict]:
                "times": n[a:b][~one].astype(np.uint32).tobytes()}
 
 
-def _rows(columns: dict) -> pa.RecordBatch:
-    n = len(columns["slice"])
-    return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type)
-                                       for f in _OUT], schema=_OUT)
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Messages in batches of about a megabyte."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(len(x) for x in r.values() if isinstance(x, bytes))
+        if size > 1 << 20:
+            yield pa.RecordBatch.from_pylist(held, _OUT)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, _OUT)
 
 
 class Miner:
@@ -168,63 +186,61 @@ class Miner:
         size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.bits = max(4, int(np.ceil(np.log2(max(shuffle_partitions(spark), size / SLICE, 1)))))
 
-    def counted(self, src: DataFrame, wanted, at_least: int) -> DataFrame:
-        """One pass. ``wanted(block)`` yields ``(m, places to count as words, places to count as keys)``. Phrases with
-        ``lang``, ``phrase``, ``m``, ``key``, ``n``; the keys of what was counted as keys and is frequent (``m`` = 0);
-        the number of words of each language (``phrase`` null), from what was counted as words."""
+    def counted(self, src: DataFrame, wanted, at_least: int, totals: bool = False) -> DataFrame:
+        """One pass. ``wanted(block)`` yields ``(m, places to count as words, places to count as keys)``, each or None.
+        Frequent phrases with ``lang``, ``phrase``, ``m``, ``key``, ``n``; as ``m`` = -1 the keys of what was counted as
+        keys and is frequent; with ``totals``, as ``m`` = 0, the number of words of each language."""
         bits = self.bits
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.Table] = []
+
+            def put() -> Iterator[pa.RecordBatch]:
+                t = summed(held, KEYS, "n")
+                held.clear()
+                yield from _batches({"slice": i, "body": x} for i, x in packed_slices(t, t.column("key").to_numpy() >> 32))
+
             for block in _blocks(batches):
                 loose = []
+                if totals:
+                    held.append(block.totals(bits))
                 for m, spelt, keyed in wanted(block):
                     if keyed is not None:
                         loose.append(block.key(m)[np.flatnonzero(keyed)])
-                    if spelt is None:
-                        continue
-                    at, n, phrase = block.phrases(m, spelt)
-                    key = (block.key(m)[at] >> np.uint64(32 - bits)).astype(np.int64)
-                    lang = pa.array(block.langs, pa.string()).take(pa.array(block.lang[at]))
-                    for a in range(0, len(at), 50_000):
-                        z = slice(a, a + 50_000)
-                        yield _rows({"slice": pa.array(key[z] >> 32), "lang": lang[z], "phrase": phrase[z],
-                                     "m": pa.array(np.full(len(at[z]), m)), "key": pa.array(key[z]), "n": pa.array(n[z])})
+                    if spelt is not None:
+                        at, n, phrase = block.phrases(m, spelt)
+                        key = (block.key(m)[at] >> np.uint64(32 - bits)).astype(np.int64)
+                        lang = pa.array(block.langs, pa.string()).take(pa.array(block.lang[at]))
+                        held.append(pa.table({"lang": lang, "phrase": phrase.cast(pa.string()),
+                                              "m": pa.array(np.full(len(at), m, np.int32)), "key": key, "n": n}))
                 if loose:
-                    rows, size = [], 0
-                    for r in _packed(np.concatenate(loose), bits):
-                        rows.append(r)
-                        size += len(r["once"]) + len(r["many"]) * 2
-                        if size > 1 << 20:
-                            yield pa.RecordBatch.from_pylist(rows, _OUT)
-                            rows, size = [], 0
-                    if rows:
-                        yield pa.RecordBatch.from_pylist(rows, _OUT)
+                    yield from _batches(_packed(np.concatenate(loose), bits))
+                if sum(map(len, held)) > HELD:
+                    held[:] = [summed(held, KEYS, "n")]
+                    if len(held[0]) > HELD // 2:
+                        yield from put()
+            if held:
+                yield from put()
 
         def add(t: pa.Table) -> pa.Table:
             number = t.column("slice")[0].as_py()
-            spelt = t.filter(pc.is_valid(t.column("phrase"))).select(["lang", "phrase", "m", "key", "n"])
-            sums = spelt.group_by(["lang", "phrase", "m", "key"]).aggregate([("n", "sum")]).rename_columns(
-                ["lang", "phrase", "m", "key", "n"])
-            words = sums.filter(pc.equal(sums.column("m"), 1)).group_by("lang").aggregate([("n", "sum")])
-            out = [sums.filter(pc.greater_equal(sums.column("n"), at_least)),
-                   pa.table({"lang": words.column("lang"), "phrase": pa.nulls(len(words), pa.string()),
-                             "m": pa.array([1] * len(words), pa.int32()), "key": pa.nulls(len(words), pa.int64()),
-                             "n": words.column("n_sum")})]
-            keyed = t.filter(pc.is_valid(t.column("once")))
-            if len(keyed):
-                one = np.frombuffer(b"".join(keyed.column("once").to_pylist()), np.uint32)
-                many = np.frombuffer(b"".join(keyed.column("many").to_pylist()), np.uint32)
-                times = np.frombuffer(b"".join(keyed.column("times").to_pylist()), np.uint32)
-                key = np.concatenate([one, many])
-                order = np.argsort(key, kind="stable")
-                key, n = key[order], np.concatenate([np.ones(len(one), np.int64), times.astype(np.int64)])[order]
+            out = []
+            spelt = [rows_of(x) for x in t.column("body") if x.is_valid]
+            if spelt:
+                sums = summed(spelt, KEYS, "n")
+                out.append(sums.filter(pc.or_(pc.greater_equal(sums.column("n"), at_least), pc.equal(sums.column("m"), 0))))
+            once, many, times = (np.frombuffer(b"".join(x for x in t.column(c).to_pylist() if x), np.uint32)
+                                 for c in ("once", "many", "times"))
+            key = np.concatenate([once, many])
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], np.concatenate([np.ones(len(once), np.int64), times.astype(np.int64)])[order]
+            if len(key):
                 first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
                 n = np.add.reduceat(n, first)
                 found = key[first[n >= at_least]].astype(np.int64) | (number << 32)
                 out.append(pa.table({"lang": pa.nulls(len(found), pa.string()), "phrase": pa.nulls(len(found), pa.string()),
-                                     "m": pa.array([0] * len(found), pa.int32()), "key": pa.array(found),
-                                     "n": pa.array(n[n >= at_least])}))
-            return pa.concat_tables([x.cast(out[0].schema) for x in out])
+                                     "m": pa.array([-1] * len(found), pa.int32()), "key": found, "n": n[n >= at_least]}))
+            return pa.concat_tables(out)
 
         done = src.mapInArrow(tidy(scan), OUT).groupBy("slice").applyInArrow(
             tidy(add), "lang string, phrase string, m int, key long, n long")
@@ -259,7 +275,7 @@ class Miner:
             for m, (could, _) in enumerate(block.levels(None, min(2, longest), loose=2), 1):
                 yield m, None, could
 
-        keys = self.counted(few, short, low).where("m = 0").select("key")
+        keys = self.counted(few, short, low).where("m < 0").select("key")
         log = int(np.clip(np.ceil(np.log2(max(1, 64 * keys.count()))), 12, min(MAP_BITS, 32 + self.bits)))
         raw = self.bits_of(keys, log)
         if longest > 2:
@@ -272,51 +288,42 @@ class Miner:
                     member = member[:-1] & two[m - 2:]
                     yield m, None, member
 
-            raw = raw | self.bits_of(self.counted(few, long, low).where("m = 0").select("key"), log)
+            raw = raw | self.bits_of(self.counted(few, long, low).where("m < 0").select("key"), log)
         return raw, log
 
     def mine(self) -> tuple[DataFrame, DataFrame, int]:
         """All frequent phrases with their exact counts, the number of words of each language, and the passes made."""
         longest, at_least = self.longest, self.at_least
         raw, log = self.propose()
-        tables, old = [], None
-        while True:
-            held = self.spark.sparkContext.broadcast(raw)
-            past = self.spark.sparkContext.broadcast(old) if old is not None else None
-
-            def both(block: Words, held=held, past=past):
-                new = block.levels(Map(held.value, log), longest)
-                had = block.levels(Map(past.value, log), longest) if past else None
-                for m, (could, member) in enumerate(new, 1):
-                    if m == 1:               # words are all counted in the first pass
-                        if not had:
-                            yield 1, could, None
-                    elif not had:
-                        yield m, member, could & ~member
-                    else:
-                        yield m, member & ~had[m - 1][1], could & ~member & ~had[m - 1][0]
-
-            tables.append(self.counted(self.src, both, at_least))
-            failed = tables[-1].where("m = 0").select("key")
-            if old is None:                  # the border of words: the frequent ones that were not proposed
-
-                def missed(batches: Iterator[pa.RecordBatch], held=held, shift=32 - self.bits):
-                    has = Map(held.value, log)
-                    for b in batches:
-                        key = b.column("key").to_numpy(zero_copy_only=False).astype(np.uint64) << np.uint64(shift)
-                        yield pa.RecordBatch.from_arrays([b.column("key").filter(pa.array(~has(key)))], names=["key"])
-
-                words = tables[0].where("m = 1 and phrase is not null").select("key")
-                failed = failed.union(words.mapInArrow(tidy(missed), "key long"))
-            failed = stored(failed, "failed")
-            if failed.isEmpty():
-                break
-            old, raw = raw, raw | self.bits_of(failed, log)
-        found = tables[0]
-        for t in tables[1:]:
-            found = found.union(t)
-        words = found.where("m = 1 and phrase is null").groupBy("lang").agg(F.sum("n").alias("n"))
-        return found.where("m > 0 and phrase is not null").select("lang", "phrase", "m", "n"), words, len(tables)
+        held = self.spark.sparkContext.broadcast(raw)
+
+        def first(block: Words):
+            for m, (could, member) in enumerate(block.levels(Map(held.value, log), longest), 1):
+                yield m, member, could & ~member
+
+        found, passes = self.counted(self.src, first, at_least, totals=True), 1
+        words = found.where("m = 0").select("lang", "n")
+        failed = found.where("m < 0").select("key")
+        if not failed.isEmpty():
+            # a frequent phrase that was not counted holds a failed one, and its words are held or failed themselves
+            lost = self.bits_of(failed, log)
+            more = self.spark.sparkContext.broadcast(lost)
+
+            def rest(block: Words):
+                old = block.levels(Map(held.value, log), longest)
+                missed = Map(more.value, log)
+                word = block.word & (old[0][1] | missed(block.key(1)))
+                inside, has = word, np.zeros(len(block) + 1, bool)
+                for m in range(1, longest + 1):
+                    inside = inside if m == 1 else inside[:-1] & word[m - 1:]
+                    at = np.flatnonzero(inside)
+                    new = np.zeros(len(inside), bool)
+                    new[at] = missed(block.key(m)[at])
+                    has = new | (has[:-1] | has[1:]) & inside
+                    yield m, has & ~old[m - 1][1], None          # what was proposed has been counted
+
+            found, passes = found.union(self.counted(self.src, rest, at_least)), 2
+        return found.where("m > 0").select("lang", "phrase", "m", "n"), words, passes
 
 
 def mine(df: DataFrame, lang: str = "lang", text: str = "text", at_least: int = AT_LEAST, first: int = FIRST,
