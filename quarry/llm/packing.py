@@ -18,10 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from quarry.llm.common import only, tidy
+from quarry.llm.pieces import SPLIT, Table, offsets
 
 PIECES = ("id long, start long, length long, ids binary, total long, sequence_id long, offset long, "
           "segment int, loss long")
@@ -29,8 +31,9 @@ _ARROW = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
                     ("total", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                     ("segment", pa.int32()), ("loss", pa.int64())])
 END = 0                      # the id that closes an example
-MAX_CACHED = 300_000         # chunks of text whose ids a worker remembers
-CHUNKS_A_CALL = 2_000        # new chunks encoded as one string
+ENTRIES = 250_000            # chunks of text in a generation of those whose ids a worker remembers
+TOGETHER = 2_000             # new chunks encoded as one string
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 @dataclass(frozen=True)
@@ -45,47 +48,45 @@ class Encoder:
     """Ids of whole texts by a byte-level BPE tokenizer of the ``tokenizers`` library.
 
     The tokenizer's own pre-tokenisation always starts a new word at a space that stands between two other
-    characters, so a text can be cut there and the ids of its chunks joined. Chunks repeat a lot: a worker keeps
-    their ids, and encodes new chunks many at a time, telling them apart by the byte lengths of the ids.
+    characters, so a text can be cut there and the ids of its chunks joined. A block of texts becomes codes of its
+    distinct chunks; a worker keeps the ids of chunks it met, in two generations, and encodes new ones many at a time,
+    telling them apart by the byte lengths of the ids. Special tokens' strings are special tokens, as in a plain call.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = ENTRIES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         n = self.tok.get_vocab_size()
-        # a byte-level token is written with one character for each byte
+        # a byte-level token is written with one character for each byte, a special one as it is
         self.width = np.array([len(self.tok.id_to_token(i) or "") for i in range(n)], np.int64)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of ``' ' + chunk`` for chunks that were not met yet."""
-        groups = [chunks[i:i + CHUNKS_A_CALL] for i in range(0, len(chunks), CHUNKS_A_CALL)]
-        for group, enc in zip(groups, self.tok.encode_batch_fast([" " + " ".join(g) for g in groups],
-                                                                 add_special_tokens=False)):
-            ids = np.array(enc.ids, "<u4")
-            ends = np.cumsum(self.width[ids])
-            cuts = np.cumsum([len(c.encode()) + 1 for c in group])
-            at = np.searchsorted(ends, cuts) + 1
-            raw, begin = ids.tobytes(), 0
-            for c, end in zip(group, at.tolist()):
-                self.known[c] = raw[begin * 4:end * 4]
-                begin = end
+        self.known = Table(self._learn, entries, TOGETHER)
+
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of a space and each chunk."""
+        enc = self.tok.encode_batch_fast([(b" " + b" ".join(chunks)).decode()], add_special_tokens=False)[0]
+        ids = np.array(enc.ids, "<u4")
+        at = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(c) + 1 for c in chunks])) + 1
+        raw, at = ids.tobytes(), (np.concatenate([[0], at]) * 4).tolist()
+        return [raw[i:j] for i, j in zip(at, at[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split(" ") for t in texts]
-        for i, parts in enumerate(split):
-            if "" in parts:  # spaces beside spaces belong together: cut only between other characters
-                split[i] = re.split(r"(?<=\S) (?=\S)", texts[i])
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
-        new = {c for parts in split for c in parts[1:]}.difference(self.known)
-        self._learn(list(new))
-        heads = [e.ids for e in self.tok.encode_batch_fast([p[0] for p in split], add_special_tokens=False)]
-        known = self.known
-        return [np.array(h, "<u4").tobytes() + b"".join([known[c] for c in p[1:]]) for h, p in zip(heads, split)]
+        # spaces beside spaces belong together: cut only between other characters
+        marked = [SPLIT.join([p.encode() for p in _BETWEEN.split(t)]) if "  " in t or t[:1] == " " or t[-1:] == " " else
+                  t.encode().replace(b" ", SPLIT) for t in texts]
+        parts = pc.split_pattern(pa.array(marked, pa.large_binary()), SPLIT)
+        flat, ends = parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy())
+        first = np.zeros(len(flat), bool)
+        first[np.append(0, ends[:-1])] = True
+        heads = [e.ids for e in self.tok.encode_batch_fast(flat.filter(pa.array(first)).cast(pa.large_string()).to_pylist(),
+                                                           add_special_tokens=False)]
+        table = flat.filter(pa.array(~first)).dictionary_encode()
+        found = pa.array(self.known.of(table.dictionary.to_pylist()), pa.large_binary()).take(table.indices)
+        place = offsets(found)[np.append(0, ends - np.arange(1, len(ends) + 1))].tolist()
+        raw = found.buffers()[2]
+        raw = raw.to_pybytes() if raw else b""
+        return [np.array(h, "<u4").tobytes() + raw[a:b] for h, a, b in zip(heads, place, place[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}

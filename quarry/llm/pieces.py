@@ -36,8 +36,8 @@ _CUT = re.compile(rb"(?<=[^ ]) ")
 class Table:
     """What was made for each key, in two generations. ``learn`` gives the values for a list of new keys."""
 
-    def __init__(self, learn: Callable[[list], list], entries: int = ENTRIES):
-        self.learn, self.entries, self.made = learn, entries, 0
+    def __init__(self, learn: Callable[[list], list], entries: int = ENTRIES, together: int = TOGETHER):
+        self.learn, self.entries, self.together, self.made = learn, entries, together, 0
         self.young: dict = {}
         self.old: dict = {}
 
@@ -53,8 +53,8 @@ class Table:
                 new.append(i)
             else:
                 self.young[keys[i]] = v
-        for at in range(0, len(new), TOGETHER):
-            part = new[at:at + TOGETHER]
+        for at in range(0, len(new), self.together):
+            part = new[at:at + self.together]
             for i, v in zip(part, self.learn([keys[i] for i in part])):
                 found[i] = v
                 if len(keys[i]) <= LONG:
@@ -121,7 +121,7 @@ class Pieces:
         table = chunks.flatten().dictionary_encode()
         found = pa.array(self.ids.of(table.dictionary.to_pylist()), pa.large_binary()).take(table.indices)
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).fill_null(0).to_numpy())])
-        place = _offsets(found)[ends] // 4
+        place = offsets(found)[ends] // 4
         return pa.ListArray.from_arrays(pa.array(place.astype(np.int32)),
                                         pa.array(np.frombuffer(found.buffers()[2] or b"", np.int32)[:place[-1]]))
 
@@ -139,7 +139,7 @@ class Pieces:
                                      [None, pa.py_buffer(at * 4), pa.py_buffer(np.ascontiguousarray(ids))])
         table = runs.dictionary_encode()
         found = pa.array(self.texts.of(table.dictionary.to_pylist()), pa.large_binary()).take(table.indices)
-        place = _offsets(found)[np.searchsorted(at, ends)].tolist()
+        place = offsets(found)[np.searchsorted(at, ends)].tolist()
         raw = found.buffers()[2]
         raw = raw.to_pybytes() if raw else b""
         out = []
@@ -151,7 +151,7 @@ class Pieces:
         return out
 
 
-def _offsets(column: pa.Array) -> np.ndarray:
+def offsets(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] \
         if len(column) else np.zeros(1, np.int64)
 
