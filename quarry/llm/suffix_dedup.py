@@ -20,12 +20,16 @@ strings stand together, which is all that repeats need, and no byte of text is s
 
 Texts are held in chunks of about ``CHUNK`` bytes, compressed, dealt once over the cluster and checkpointed. In each
 step a chunk sends every fingerprint once, however often it holds it, so a string that a third of all documents share
-costs a row per chunk, not per document. Answers come back to the chunk by a cogroup that does not move the texts.
+costs a row per chunk, not per document. Answers come back to the chunk by a cogroup that does not move the texts. Once
+step 1 is answered, the runs that are still alive are kept beside the chunk; the steps behind it need no parse.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +39,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quarry.llm.common import cut_lineage, rows_of, text_chunks, tidy
+from quarry.session import stored
 
 WIDTH = 50
 TRIGGER = 20                 # bytes of a trigger; less when the strings are shorter
 CHUNK = 2 << 20
 SEGMENT = 1 << 18            # places worked on at once, whatever the length of a text
 KEYS_A_BUCKET = 500_000
+GROW = 1 << 30               # bytes of text from which chunks and buckets grow, with the root of the corpus' size
+MOST = 8                     # times their size here, at most
 MANY = 64                    # phrases of one trigger that a chunk sends; beyond, it goes on to the suffixes at once
 LAST = np.iinfo(np.int64).max  # stands for a null id: no id is larger
 _PLACE = np.uint64((1 << 31) - 1)
@@ -130,11 +137,11 @@ def parse(x: np.ndarray, begin: np.ndarray, width: int, trigger: int):
         yield lo, piece, text[start] - 1, start, end, place[start], h[place[start]]
 
 
-class Chunk:
-    """A chunk's texts and what the steps so far say about them."""
+class Texts:
+    """A chunk's texts as one run of bytes."""
 
-    def __init__(self, table: pa.Table, width: int, trigger: int):
-        self.table = table
+    def __init__(self, table: pa.Table, width: int):
+        self.table, self.width = table, width
         text = table.column("text").combine_chunks().cast(pa.large_binary()).fill_null(b"")
         if isinstance(text, pa.ChunkedArray):
             text = text.chunk(0) if text.num_chunks else pa.array([], pa.large_binary())
@@ -142,42 +149,28 @@ class Chunk:
         data = text.buffers()[2]
         self.x = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
         self.begin = offsets - offsets[0]
-        ids = table.column("id").fill_null(LAST)
-        self.ids = ids.to_numpy().astype(np.int64)
-        self.width = width
-        got = {k: [] for k in ("doc", "start", "end", "trigger", "phrase")}
+        self.ids = table.column("id").fill_null(LAST).to_numpy().astype(np.int64)
+
+    def runs(self, trigger: int) -> Runs:
+        """All runs, by parsing the texts."""
+        got = {k: [] for k in Runs.KINDS}
         one = rolling()[1]
-        for lo, piece, doc, start, end, place, h in parse(self.x, self.begin, width, trigger):
+        for lo, piece, doc, start, end, place, h in parse(self.x, self.begin, self.width, trigger):
             s = one.sums(piece)
-            head, tail = one.at(s, start, width), one.at(s, end, width)
-            got["doc"].append(doc)
+            head, tail = one.at(s, start, self.width), one.at(s, end, self.width)
+            got["owner"].append(self.ids[doc])
             got["start"].append(start + lo)
             got["end"].append(end + lo)
             got["trigger"].append(h)
             got["phrase"].append(mix(head * np.uint64(0xD6E8FEB86659FD93) + tail + (end - start).astype(np.uint64)))
-        for k, v in got.items():
-            setattr(self, k, np.concatenate(v) if v else np.zeros(0, np.uint64 if k in ("trigger", "phrase") else
-                                                                   np.int64))
-        self.owner = self.ids[self.doc] if len(self.doc) else np.zeros(0, np.int64)
-
-    # each step: the distinct fingerprints in order, the smallest id of each, and where each entry has its own
-    def triggers(self):
-        return distinct(self.trigger, None, self.owner)
-
-    def phrases(self, live: np.ndarray):
-        a, b, doc, at = distinct(self.trigger[live], self.phrase[live], self.owner[live])
-        first = np.ones(len(a), bool)
-        first[1:] = a[1:] != a[:-1]
-        number = np.cumsum(first) - 1
-        many = (np.bincount(number) > MANY)[number] if len(a) else np.zeros(0, bool)
-        return a, b, doc, at, many
+        return Runs(*[np.concatenate(got[k]) if got[k] else np.zeros(0, t) for k, t in Runs.KINDS.items()])
 
-    def suffixes(self, runs: np.ndarray):
-        """Every string of the given runs: fingerprints, its run and its place."""
-        length = self.end[runs] - self.start[runs] + 1
-        run = np.repeat(runs, length)
+    def suffixes(self, start: np.ndarray, end: np.ndarray):
+        """Every string that begins at ``start .. end`` of a run: fingerprints, its run and its place."""
+        length = end - start + 1
+        run = np.repeat(np.arange(len(start)), length)
         ends = np.cumsum(length)
-        place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - length, length) + self.start[run]
+        place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - length, length) + start[run]
         a, b = np.zeros(len(place), np.uint64), np.zeros(len(place), np.uint64)
         for lo in range(0, len(self.x), SEGMENT):
             lo_i, hi_i = np.searchsorted(place, [lo, lo + SEGMENT])
@@ -189,6 +182,69 @@ class Chunk:
         return a, b, run, place
 
 
+@dataclass
+class Runs:
+    """Runs of strings that share a trigger, in the order of their places: the document's id, the places of the first
+    and the last string, and the fingerprints of the trigger and of the phrase."""
+    owner: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    trigger: np.ndarray
+    phrase: np.ndarray
+
+    KINDS: ClassVar = {"owner": np.int64, "start": np.int64, "end": np.int64, "trigger": np.uint64, "phrase": np.uint64}
+
+    def take(self, at: np.ndarray) -> Runs:
+        return Runs(*[getattr(self, k)[at] for k in self.KINDS])
+
+    def pack(self) -> tuple[bytes, bytes, bytes]:
+        """Places and lengths, fingerprints, and owners, compressed but for the fingerprints."""
+        short = np.concatenate([np.diff(self.start, prepend=0), self.end - self.start]).astype(np.int32).tobytes()
+        return (bytes(pa.compress(short, "zstd")), self.trigger.tobytes() + self.phrase.tobytes(),
+                bytes(pa.compress(np.diff(self.owner, prepend=0).tobytes(), "zstd")))
+
+    @staticmethod
+    def unpack(places: bytes, prints: bytes, owners: bytes) -> Runs:
+        n = len(prints) // 16
+        short = np.frombuffer(pa.decompress(places, 8 * n, "zstd"), np.int32).astype(np.int64)
+        h = np.frombuffer(prints, np.uint64)
+        start = np.cumsum(short[:n])
+        return Runs(np.cumsum(np.frombuffer(pa.decompress(owners, 8 * n, "zstd"), np.int64)), start, start + short[n:],
+                    h[:n], h[n:])
+
+    # each step: the distinct fingerprints in order, the smallest id of each, and where each run has its own
+    def triggers(self):
+        return distinct(self.trigger, None, self.owner)
+
+    def phrases(self):
+        a, b, doc, at = distinct(self.trigger, self.phrase, self.owner)
+        first = np.ones(len(a), bool)
+        first[1:] = a[1:] != a[:-1]
+        number = np.cumsum(first) - 1
+        many = (np.bincount(number) > MANY)[number] if len(a) else np.zeros(0, bool)
+        return a, b, doc, at, many
+
+    def live(self, told: Told) -> Runs:
+        """Runs whose trigger occurs in several documents."""
+        a, _, least, at = self.triggers()
+        flag, _ = told.of(1, a, None)
+        most = np.full(len(a), np.iinfo(np.int64).min)
+        np.maximum.at(most, at, self.owner)
+        return self.take(np.flatnonzero((flag | (most > least))[at]))
+
+    def open(self, told: Told) -> tuple[np.ndarray, np.ndarray]:
+        """Of live runs, those known to be repeats and those whose strings must be compared one by one."""
+        a, b, doc, at, many = self.phrases()
+        sent = keep_few(a, b, doc, many)
+        flag, least = np.ones(len(a), bool), doc.copy()
+        several, smaller = told.of(2, sent[0], sent[2])
+        real = sent[3] >= 0
+        flag[sent[3][real]] = several[real]
+        least[sent[3][real]] = smaller[real]
+        repeat = least[at] < self.owner
+        return np.flatnonzero(repeat), np.flatnonzero(~repeat & flag[at])
+
+
 def distinct(a: np.ndarray, b: np.ndarray | None, doc: np.ndarray):
     """Distinct keys in order, the smallest id of each, and the key's number of every entry."""
     order = np.argsort(a, kind="stable") if b is None else np.lexsort((b, a))
@@ -272,15 +328,18 @@ def _answer(step: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-class Steps:
-    """Follows a chunk through the answers it got."""
+class Told:
+    """What a chunk was answered."""
 
-    def __init__(self, chunk: Chunk, bits: int, answers: pa.Table):
-        self.c, self.bits = chunk, bits
+    def __init__(self, bits: int, answers: pa.Table):
+        self.bits, self.runs = bits, None
         self.by = {(s, k): (f, a, d) for s, k, f, a, d in zip(*[answers.column(x).to_pylist() for x in (
             "step", "bucket", "flag", "at", "doc")])}
+        kept = self.by.pop((0, -1), None)
+        if kept:
+            self.runs = Runs.unpack(*kept)
 
-    def _told(self, step: int, a: np.ndarray, least: np.ndarray | None):
+    def of(self, step: int, a: np.ndarray, least: np.ndarray | None):
         flag = np.zeros(len(a), bool)
         least = None if least is None else least.copy()
         bucket = bucket_of(a, self.bits)
@@ -294,44 +353,24 @@ class Steps:
                     least[lo + np.frombuffer(got[1], np.uint32).astype(np.int64)] = np.frombuffer(got[2], np.int64)
         return flag, least
 
-    def live(self) -> np.ndarray:
-        """Runs whose trigger occurs in several documents."""
-        a, _, least, at = self.c.triggers()
-        flag, _ = self._told(1, a, None)
-        most = np.full(len(a), np.iinfo(np.int64).min)
-        np.maximum.at(most, at, self.c.owner)
-        return np.flatnonzero((flag | (most > least))[at])
-
-    def phrases(self):
-        live = self.live()
-        return live, self.c.phrases(live)
 
-    def open(self):
-        """Runs known to be repeats, and runs whose strings must be compared one by one."""
-        live, (a, b, doc, at, many) = self.phrases()
-        sent = keep_few(a, b, doc, many)
-        flag, least = np.ones(len(a), bool), doc.copy()
-        several, smaller = self._told(2, sent[0], sent[2])
-        real = sent[3] >= 0
-        flag[sent[3][real]] = several[real]
-        least[sent[3][real]] = smaller[real]
-        repeat = least[at] < self.c.owner[live]
-        return live[repeat], live[~repeat & flag[at]]
-
-    def covered(self) -> np.ndarray:
-        """Starts of strings that a smaller document has too, as marks over the chunk's bytes."""
-        repeat, open_ = self.open()
-        mark = np.zeros(len(self.c.x) + 1, np.int32)
-        w = self.c.width
-        np.add.at(mark, self.c.start[repeat], 1)
-        np.add.at(mark, self.c.end[repeat] + w, -1)
-        a, b, run, place = self.c.suffixes(open_)
-        ka, _, least, at = distinct(a, b, self.c.owner[run])
-        _, least = self._told(3, ka, least)
-        hit = place[least[at] < self.c.owner[run]]
-        np.add.at(mark, hit, 1)
-        np.add.at(mark, hit + w, -1)
-        return np.cumsum(mark[:-1]) > 0
+def covered(t: Texts, told: Told) -> np.ndarray:
+    """Bytes of a chunk that lie in a string which a smaller document has too, as marks."""
+    mark = np.zeros(len(t.x) + 1, np.int32)
+    if told.runs is None:
+        return mark[:-1] > 0
+    r, w = told.runs, t.width
+    repeat, open_ = r.open(told)
+    np.add.at(mark, r.start[repeat], 1)
+    np.add.at(mark, r.end[repeat] + w, -1)
+    a, b, run, place = t.suffixes(r.start[open_], r.end[open_])
+    owner = r.owner[open_][run]
+    ka, _, least, at = distinct(a, b, owner)
+    _, least = told.of(3, ka, least)
+    hit = place[least[at] < owner]
+    np.add.at(mark, hit, 1)
+    np.add.at(mark, hit + w, -1)
+    return np.cumsum(mark[:-1]) > 0
 
 
 def keep_few(a, b, doc, many):
@@ -350,10 +389,6 @@ def keep_few(a, b, doc, many):
     return aa[order], bb[order], dd[order], index[order]
 
 
-def _load(body: pa.Scalar, width: int, trigger: int) -> Chunk:
-    return Chunk(rows_of(body), width, trigger)
-
-
 def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (),
                    width: int = WIDTH, chunk_bytes: int = CHUNK) -> DataFrame:
     """One row per row of ``df``: ``id`` (long), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs),
@@ -371,38 +406,44 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
     trigger = max(1, min(TRIGGER, width - 1))
     src = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"),
                     *[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(carry)])
-    chunks = text_chunks(src, chunk_bytes)
-    total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
+    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # with the corpus grow chunks and buckets, up to what a task can hold, so that messages do not shrink to nothing
+    more = max(1.0, math.sqrt(total / GROW))
+    chunks = text_chunks(src, int(chunk_bytes * min(more, MOST)))
     keys = int(total * 2 / (width - trigger + 2)) + 1
-    bits = max(0, (keys // KEYS_A_BUCKET).bit_length())
+    bits = max(0, int(keys // (KEYS_A_BUCKET * min(more, MOST))).bit_length())
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column("chunk").to_pylist(), batch.column("body")):
-                a = _load(body, width, trigger).triggers()[0]
+                a = Texts(rows_of(body), width).runs(trigger).triggers()[0]
                 yield rows_batch(list(send(number, bits, a, None, None)), _SENT_ARROW)
 
-    def sender(step: int):
-        def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-            out = []
-            for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
-                s = Steps(_load(body, width, trigger), bits, right)
-                if step == 2:
-                    _, (a, b, doc, _, many) = s.phrases()
-                    a, b, doc, _ = keep_few(a, b, doc, many)
-                else:
-                    a, b, run_, _ = s.c.suffixes(s.open()[1])
-                    a, b, doc, _ = distinct(a, b, s.c.owner[run_])
-                out.extend(send(number, bits, a, b, doc))
-            return pa.Table.from_batches([rows_batch(out, _SENT_ARROW)])
-        return run
+    def second(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
+            live = Texts(rows_of(body), width).runs(trigger).live(Told(bits, right))
+            if len(live.owner):
+                out.append((-1, number, *live.pack(), 0))
+                a, b, doc, _, many = live.phrases()
+                out.extend(send(number, bits, *keep_few(a, b, doc, many)[:3]))
+        return pa.Table.from_batches([rows_batch(out, _SENT_ARROW)])
+
+    def third(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        out, told = [], Told(bits, right)
+        for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
+            open_ = told.runs.open(told)[1] if told.runs else ()
+            if len(open_):
+                r = told.runs.take(open_)
+                a, b, run, _ = Texts(rows_of(body), width).suffixes(r.start, r.end)
+                out.extend(send(number, bits, *distinct(a, b, r.owner[run])[:3]))
+        return pa.Table.from_batches([rows_batch(out, _SENT_ARROW)])
 
     def answers(sent: DataFrame, step: int) -> DataFrame:
         return cut_lineage(sent.groupBy("bucket").applyInArrow(tidy(_answer(step)), _ANSWER))
 
-    def ask(known: DataFrame, step: int) -> DataFrame:
-        sent = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(sender(step)), _SENT)
-        return known.union(answers(sent, step))
+    def ask(known: DataFrame, run) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(run), _SENT)
 
     kind = src.schema
     schema = T.StructType([kind["id"], *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")],
@@ -411,10 +452,10 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
     arrow = to_arrow_schema(schema)
 
     def finish(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        out, told = [], Told(bits, right)
         for body in left.column("body"):
-            c = _load(body, width, trigger)
-            gone = Steps(c, bits, right).covered()
+            c = Texts(rows_of(body), width)
+            gone = covered(c, told)
             spans, kept = [], []
             for lo, hi in zip(c.begin[:-1], c.begin[1:]):
                 g = gone[lo:hi]
@@ -429,8 +470,12 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
                 names=arrow.names).cast(arrow))
         return pa.concat_tables(out) if out else arrow.empty_table()
 
-    known = answers(chunks.mapInArrow(tidy(first), _SENT), 1)
-    known = ask(ask(known, 2), 3)
+    # the live runs stay beside their chunk: the texts are parsed twice, not in every step
+    live = stored(ask(answers(chunks.mapInArrow(tidy(first), _SENT), 1), second), "live")
+    known = live.where("bucket < 0").select(
+        "chunk", F.lit(0).alias("step"), "bucket", F.col("a").alias("flag"), F.col("b").alias("at"), "doc")
+    known = known.union(answers(live.where("bucket >= 0"), 2))
+    known = known.union(answers(ask(known, third), 3))
     done = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(finish), schema)
     return done.select("id", "n_bytes", "n_removed", "n_spans", "spans", "kept",
                        *[F.col(f"x{i}").alias(c) for i, c in enumerate(carry)])
