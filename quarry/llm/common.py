@@ -19,11 +19,22 @@ from quarry.session import cut_lineage, cut_lineage_by, ensure_checkpoint_dir, s
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; the scan prunes columns as usual. Prepares the session for Python workers
-    and reliable checkpoints."""
+BATCH = "8m"                 # bytes of a batch that goes to a Python worker
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the session ready for Python workers and reliable checkpoints. Batches for workers are bounded by bytes (a
+    smaller bound of the session's own stays): a batch stands in the executor's memory twice, beside its heap."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "67108864b") in ("67108864b", "64m", "64MB"):
+        spark.conf.set(key, BATCH)
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; the scan prunes columns as usual."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -175,5 +186,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-__all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "packed_slices", "read", "rows_of",
+__all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "packed_slices", "prepare", "read", "rows_of",
            "shuffle_partitions", "summed", "text_chunks", "tidy"]

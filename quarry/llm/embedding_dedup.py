@@ -22,7 +22,8 @@ COSINE = 0.98
 SHARD = 16_384               # classes of a graph
 BLOCK = 2_048                # classes that query it in one task
 RECALL = 0.99                # share of true pairs that an audit must find
-AUDIT = 48                   # queries of an audit
+AUDIT = 48                   # queries that an audit compares at a time
+PAIRS = 64                   # true pairs that it must see
 _SLACK = 1e-4                # single precision offers a little more; double precision decides
 
 
@@ -37,37 +38,67 @@ def verified(v: np.ndarray, length: np.ndarray, q: np.ndarray, q_length: float,
     return nodes[(v[nodes] @ q) / (length[nodes] * q_length) >= least]
 
 
-def search_block(v: np.ndarray, length: np.ndarray, graph: hnsw.Graph, q: np.ndarray, q_length: np.ndarray,
-                 least: float, recall: float) -> tuple[list[np.ndarray], float, int]:
-    """Verified links of every query into one shard, the recall of the last audit and the beam it took."""
+def search_block(v: np.ndarray, length: np.ndarray, uid: np.ndarray, graph: hnsw.Graph, q: np.ndarray,
+                 q_length: np.ndarray, q_uid: np.ndarray, least: float, recall: float,
+                 pairs: int = PAIRS) -> tuple[list[np.ndarray], float, int, int]:
+    """Verified links of every query into one shard; the share of an audit's true pairs that the graph offered, how many
+    true pairs the audit saw, and the beam it took.
+
+    The audit compares queries with the whole shard, in an order that tells nothing about them, until it has seen
+    ``pairs`` true pairs; a vector's pair with itself is none. In a block with fewer true pairs every query is audited.
+    If the widest beam finds too few (nodes can be out of reach of the entry), all queries are compared with the shard.
+    """
     x = (q / q_length[:, None]).astype(np.float32)
-    beam = min(hnsw.BEAM, max(1, len(v)))
-    sample = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    cosine = (q[sample] @ v.T) / (q_length[sample, None] * length[None, :]) >= least
-    while True:
-        offered = graph.near(x[sample], least - _SLACK, beam)
-        got = sum(len(verified(v, length, q[s], q_length[s], o, least)) for s, o in zip(sample, offered))
-        share = got / max(1, int(cosine.sum()))
+    order = np.random.default_rng(len(q)).permutation(len(q))
+    true: dict[int, np.ndarray] = {}
+    seen = 0
+
+    def exactly(some: np.ndarray) -> None:
+        cosine = (q[some] @ v.T) / (q_length[some, None] * length[None, :])
+        for i, row in zip(some.tolist(), cosine):
+            near = np.flatnonzero(row >= least - 1e-9)         # the same arithmetic decides as for offered nodes
+            true[i] = verified(v, length, q[i], q_length[i], near, least)
+
+    for lo in range(0, len(order), AUDIT):
+        some = order[lo:lo + AUDIT]
+        exactly(some)
+        seen += sum(int((uid[true[i]] != q_uid[i]).sum()) for i in some.tolist())
+        if seen >= pairs:
+            break
+    audited = np.array(sorted(true), np.int64)
+    beam, share = min(hnsw.BEAM, max(1, len(v))), 1.0
+    while seen:
+        got = 0
+        for lo in range(0, len(audited), hnsw.BATCH):
+            some = audited[lo:lo + hnsw.BATCH]
+            for i, o in zip(some.tolist(), graph.near(x[some], least - _SLACK, beam)):
+                got += int(np.isin(true[i][uid[true[i]] != q_uid[i]], o).sum())
+        share = got / seen
         if share >= recall or beam >= len(v):
             break
         beam = min(2 * beam, len(v))
-    out: list[np.ndarray] = []
+    if share < recall:
+        exactly(np.array([i for i in range(len(q)) if i not in true], np.int64))
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(q)
     for lo in range(0, len(q), hnsw.BATCH):
         for i, o in enumerate(graph.near(x[lo:lo + hnsw.BATCH], least - _SLACK, beam), lo):
-            out.append(verified(v, length, q[i], q_length[i], o, least))
-    return out, share, beam
+            out[i] = verified(v, length, q[i], q_length[i], o, least)
+    for i, nodes in true.items():
+        out[i] = np.union1d(out[i], nodes)
+    return out, share, seen, beam
 
 
 def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str = "label",
                     least: float = COSINE, shard: int = SHARD, block: int = BLOCK,
-                    recall: float = RECALL) -> DataFrame:
+                    recall: float = RECALL, audits: str | None = None) -> DataFrame:
     """One row per row of ``df``: ``id`` (long), ``n_links`` (other vectors of the same label with a cosine of
     ``least`` or more), ``component_id`` (smallest id reachable by links), ``kept`` (``id = component_id``).
 
     Vectors that are null, zero or hold null or non-finite components, rows with a null label or id, and vectors of
     different lengths link with nothing; such a row has 0 links and is its own component. Equal vectors are linked.
     Rows that share an id are vectors of their own but one node of the components. An empty table gives an empty
-    result. Other columns are not read.
+    result. Other columns are not read. With a path in ``audits``, a row for each block and shard is written there:
+    ``label``, ``shard``, ``block``, ``recall`` of the graph, ``pairs`` that the audit saw, and ``beam``.
     """
     v = F.col("v")
     src = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{label}`").cast("string").alias("label"),
@@ -109,7 +140,7 @@ def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
         F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"uid": [], "links": [], "a": [], "b": []}
+        out = {"uid": [], "links": [], "a": [], "b": [], "recall": [], "pairs": [], "beam": []}
         if left.num_rows and right.num_rows:
             row = {k: right.column(k)[0].as_py() for k in ("uid", "id", "m", "x", "links")}
             uid, ids, m = (np.frombuffer(row[k], np.int64) for k in ("uid", "id", "m"))
@@ -119,7 +150,8 @@ def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
             graph = hnsw.Graph(x / length[:, None], links)
             q_uid, q_id = (left.column(k).to_numpy() for k in ("uid", "id"))
             q, q_length = unit(left.column("v").to_pylist())
-            found, _, _ = search_block(x, length, graph, q, q_length, least, recall)
+            found, share, seen, beam = search_block(x, length, uid, graph, q, q_length, q_uid, least, recall)
+            audit = {"recall": round(share * 10**6), "pairs": seen, "beam": beam}
             # a spanning forest over the shard's classes, then the queries
             root = np.arange(len(uid) + len(q_uid))
             name = np.concatenate([ids, q_id])
@@ -141,10 +173,23 @@ def link_embeddings(df: DataFrame, id: str = "vec_id", vector: str = "embedding"
                         out["a"].append(int(name[mine]))
                         out["b"].append(int(name[t]))
                     root[np.isin(root, tops)] = root[mine]
-        return pa.table({k: pa.array(c, pa.int64()) for k, c in out.items()})
+            for k in ("uid", "links", "a", "b"):
+                out[k].append(None)
+            n = len(out["uid"])
+            for k, x_ in audit.items():
+                out[k] = [None] * (n - 1) + [x_]
+        n = len(out["uid"])
+        names = {"label": pa.array([key[0].as_py()] * n, pa.string()), "shard": pa.array([key[2].as_py()] * n, pa.int64()),
+                 "block": pa.array([key[3].as_py()] * n, pa.int64())}
+        return pa.table({**{k: pa.array(c, pa.int64()) for k, c in out.items()}, **names})
 
     found = cut_lineage(queries.groupBy(*group, "shard", "block").cogroup(
-        graphs.groupBy(*group, "shard", "block")).applyInArrow(tidy(search), "uid long, links long, a long, b long"))
+        graphs.groupBy(*group, "shard", "block")).applyInArrow(
+            tidy(search), "uid long, links long, a long, b long, recall long, pairs long, beam long, label string, "
+                          "shard long, block long"))
+    if audits:
+        found.where("beam is not null").select("label", "shard", "block", (F.col("recall") / 1e6).alias("recall"), "pairs",
+                                               "beam").write.parquet(audits)
     counts = found.where("uid is not null").groupBy("uid").agg(F.sum("links").alias("links"))
     same = rows.where("ok").join(classes.select("label", "v", F.col("id").alias("least"), "m").where("m > 1"),
                                  ["label", "v"]).select(F.col("id").alias("a"), F.col("least").alias("b"))

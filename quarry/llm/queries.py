@@ -134,17 +134,11 @@ def op9_quality(spark, sf_dir):
     return found.withColumnRenamed("id", "doc_id")
 
 
-# The words that tell the two kinds of toxic labels apart.
-INSULT = "clown dumb fool idiot loser moron stupid".split()
-CONTEMPT = "disgusting garbage pathetic scum trash vile worthless".split()
-
-
 def toxic_categories():
-    """The chain: insults, contempt, then toxicity of any kind. The labels name only toxic documents; the kind is that
-    of the words in them."""
-    toxic, text = F.col("toxic") == 1, F.lower("_text")
-    has = lambda words: text.rlike(r"\b(" + "|".join(words) + r")\b")
-    return {"insult": toxic & has(INSULT), "contempt": toxic & has(CONTEMPT), "toxic": toxic}
+    """The chain: toxic and poor, toxic in a text that is good otherwise, then toxic of any kind. The two ratings of
+    ``labels`` tell these apart; an unknown quality leaves the first two unknown, so such labels are not used."""
+    toxic, poor = F.col("toxic") == 1, F.col("quality") == 0
+    return {"toxic_poor": toxic & poor, "toxic_good": toxic & ~poor, "toxic": toxic}
 
 
 TOXIC_AT = 0.3               # a missed toxic document costs more than a lost clean one
@@ -158,7 +152,7 @@ def toxic_probabilities(docs, spark, sf_dir, source=None):
 
 
 def op10_toxicity(spark, sf_dir):
-    """Probabilities of insult, contempt and toxicity of every document."""
+    """Probabilities of toxicity, by kind and of any kind, of every document."""
     docs = read(spark, sf_dir, "documents")
     p = toxic_probabilities(docs, spark, sf_dir)
     return docs.select("doc_id", p.alias("p")).select(

@@ -63,11 +63,16 @@ def insulting(n, seed):
     return rows
 
 
+def kinds():
+    toxic, text = F.col("toxic") == 1, F.lower("_text")
+    return {"insult": toxic & text.rlike("idiot|moron"), "contempt": toxic & text.rlike("trash|vile"), "toxic": toxic}
+
+
 def test_chain_finds_held_out_toxicity(spark):
     rows = insulting(1200, 2)
     docs = odd_documents(spark, [(d, t) for d, t, _ in rows])
     labels = spark.createDataFrame([(d, y) for d, _, y in rows if d < 800], "doc_id long, toxic int")
-    p = toxicity.chain_probabilities(docs, labels, queries.toxic_categories())
+    p = toxicity.chain_probabilities(docs, labels, kinds())
     out = {r["doc_id"]: r["p"] for r in docs.select("doc_id", p.alias("p")).collect()}
     test = [(out[d], y, t) for d, t, y in rows if d >= 800]
     assert np.mean([(q[2] >= queries.TOXIC_AT) == bool(y) for q, y, _ in test]) > 0.97
@@ -91,7 +96,7 @@ def test_out_of_fold_probabilities_come_from_other_rows(spark):
 def test_labels_that_cannot_train_take_no_place_in_the_sample(spark):
     docs = odd_documents(spark, [(i, f"text {i}") for i in range(10)])
     labels = spark.createDataFrame([(i, None if i < 5 else i % 2) for i in range(1000)], "doc_id long, toxic int")
-    got = toxicity.labelled_sample(docs, labels, queries.toxic_categories(), "doc_id", "text", 5)
+    got = toxicity.labelled_sample(docs, labels, kinds(), "doc_id", "text", 5)
     assert sorted((r["id"], r["label"][-1]) for r in got.collect()) == [(i, i % 2 == 1) for i in range(5, 10)]
     got = ordinal.sample_rated(docs, labels, "doc_id", "text", "toxic", 5)
     assert sorted((r["id"], r["label"]) for r in got.collect()) == [(i, i % 2) for i in range(5, 10)]
@@ -100,12 +105,20 @@ def test_labels_that_cannot_train_take_no_place_in_the_sample(spark):
 def test_chain_without_labels_and_with_odd_rows(spark):
     docs = odd_documents(spark, odd_rows())
     labels = spark.createDataFrame([(None, 1), (99999, 0)], "doc_id long, toxic int")
-    p = toxicity.chain_probabilities(docs, labels, queries.toxic_categories())
+    p = toxicity.chain_probabilities(docs, labels, kinds())
     assert docs.select(p.alias("p")).distinct().collect()[0]["p"] == [0.0, 0.0, 0.0]
     one = spark.createDataFrame([(1, None), (2, 1)], "doc_id long, toxic int")
-    p = toxicity.chain_probabilities(docs, one, queries.toxic_categories())
+    p = toxicity.chain_probabilities(docs, one, kinds())
     assert docs.select(p.alias("p")).count() == docs.count()
-    assert docs.limit(0).select(toxicity.chain_probabilities(docs.limit(0), one, queries.toxic_categories())).count() == 0
+    assert docs.limit(0).select(toxicity.chain_probabilities(docs.limit(0), one, kinds())).count() == 0
+
+
+def test_kinds_of_the_query_are_those_of_the_ratings(spark):
+    docs = odd_documents(spark, [(i, f"text {i}") for i in range(6)])
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 1), (2, 0, 0), (3, 0, 1), (4, 1, None), (5, None, 1)],
+                                   "doc_id long, toxic int, quality int")
+    got = toxicity.labelled_sample(docs, labels, queries.toxic_categories(), "doc_id", "text", 10).collect()
+    assert {r["id"]: r["label"] for r in got} == {0: [True, False, True], 1: [False, True, True], 2: [False] * 3, 3: [False] * 3}
 
 
 @pytest.fixture(scope="module")
@@ -121,8 +134,9 @@ def tables(spark, tmp_path_factory):
     rows += [(1100, clean[0]), (1101, clean[1] + " one more"), (1102, prose(rng, 30) + " " + bench[0][1]),
              (1103, prose(rng, 40) + " " + passage), (1104, prose(rng, 40) + " " + passage + " " + prose(rng, 10)),
              (1105, None), (1106, ""), (1002, clean[2]), (None, prose(rng, 50))]
-    cols = "doc_id long, text string, lang string, source string, n_chars long"
-    spark.createDataFrame([(a, t, "en", None, len(t or "")) for a, t in rows], cols).write.parquet(
+    cols = ("doc_id long, text string, lang string, source string, n_chars long, key string, one boolean, row int, "
+            "__p double, `a b` string")      # names that the stages use themselves, and an odd one
+    spark.createDataFrame([(a, t, "en", None, len(t or ""), "k", True, 5, 0.5, "x") for a, t in rows], cols).write.parquet(
         str(d / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(str(d / "labels.parquet"))
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
