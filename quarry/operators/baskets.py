@@ -26,6 +26,7 @@ from quarry.operators import fptree
 from quarry.session import cut_lineage, stored
 
 ITEMS = "items"
+MOST_ITEMS = 20              # of a set whose rules are enumerated
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -118,6 +119,8 @@ def frequent_itemsets_levelwise(pairs: DataFrame, basket_cols: Sequence[str], mi
             break
         levels.append(frequent_k)
         occ = cand.join(frequent_k.select(ITEMS), ITEMS, "left_semi").select("_ids", ITEMS)
+        if k > 2:            # or every level would make all levels before it again
+            occ = cut_lineage(occ)
 
     out = levels[0]
     for lvl in levels[1:]:
@@ -184,11 +187,13 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.5) -> DataF
 
     Splits are bit masks ``1 .. 2^k - 2`` over the sorted item array; the supports of both sides are two
     equi-joins on the (sorted array) itemset key. Measures: confidence, lift, leverage, conviction
-    (``+inf`` when confidence is 1).
+    (``+inf`` when confidence is 1). A set of k items has 2^k - 2 splits; sets of more than ``MOST_ITEMS`` are an error.
     """
     sets = itemsets.select(ITEMS, "support")
     multi = sets.where(F.size(ITEMS) >= 2)
-    mask = F.explode(F.sequence(F.lit(1), F.expr("CAST(shiftleft(1, size(items)) AS INT) - 2"))).alias("mask")
+    few = F.when(F.size(ITEMS) <= MOST_ITEMS, F.size(ITEMS)).otherwise(F.raise_error(F.lit(
+        f"rules of itemsets of more than {MOST_ITEMS} items"))).cast("int")
+    mask = F.explode(F.sequence(F.lit(1).cast("long"), F.pow(F.lit(2.0), few).cast("long") - 2)).alias("mask")
     splits = multi.select(ITEMS, "support", mask)
 
     def side(bit: int) -> Column:
@@ -267,14 +272,19 @@ def recommend(pairs: DataFrame, basket_cols: Sequence[str], rules: DataFrame, to
     already in it, the best rule per recommended item (highest lift; ties: confidence, support,
     antecedent), then the top ``top_n`` items per basket by that lift.
 
-    The containment (theta) join is rewritten as an equi-join: a rule meets the baskets that hold the first item of its
-    antecedent, and the rest is tested inside the basket's row, which carries its distinct items (bounded by the item
+    The containment (theta) join is rewritten as an equi-join: a rule meets the baskets that hold the rarest item of its
+    antecedent, so most baskets never meet it, and the rest is tested inside the basket's row, which carries its distinct items (bounded by the item
     vocabulary). The baskets are dealt by their key once; everything after stays there. The rule table is stored, so
     Spark broadcasts it by its size in bytes; past that the join on the item is shuffled and split where it is skewed.
     """
     keys = list(basket_cols)
-    r = stored(rules.select(F.element_at("antecedents", 1).alias("item"), "antecedents", "consequents", "confidence",
-                            "lift", "support"), "rules")
+    told = stored(rules.select(F.monotonically_increasing_id().alias("_rule"), "antecedents", "consequents", "confidence",
+                               "lift", "support"), "rules")
+    count = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
+    # an item in no basket is the rarest, and its rule meets none
+    rarest = (told.select("_rule", F.explode("antecedents").alias("item")).join(count, "item", "left")
+              .groupBy("_rule").agg(F.min_by("item", F.struct(F.coalesce("_n", F.lit(0)), "item")).alias("item")))
+    r = stored(told.join(rarest, "_rule").drop("_rule"), "rules")
     held = pairs.select(*keys, "item").groupBy(*keys).agg(F.collect_set("item").alias("_items"))
     hits = held.select(*keys, "_items", F.explode("_items").alias("item")).join(r, "item")
     contained = hits.where(F.size(F.array_except("antecedents", "_items")) == 0)

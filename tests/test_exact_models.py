@@ -342,3 +342,18 @@ def test_network_learns_repeats_and_stops_early(spark):
     assert np.allclose(once.weights, again.weights, atol=1e-6)
     stopped = network.fit(train, held, blocks, "i", joint=16, rate=0.0, epochs=9, patience=2)
     assert len(stopped.history) == 3                 # nothing falls after the first epoch
+
+
+def test_rules_of_too_large_sets_are_an_error(spark):
+    big = [chr(97 + i) for i in range(21)]
+    sets = spark.createDataFrame([(big, 0.5), (["a"], 0.5), (["b"], 0.5), (["a", "b"], 0.5)], "items array<string>, support double")
+    assert B.association_rules(sets.where(F.size("items") < 3), 0.1).count() == 2
+    with pytest.raises(Exception, match="more than 20 items"):
+        B.association_rules(sets, 0.1).collect()
+
+
+def test_levels_past_three(spark):
+    rows = [(b, i) for b, items in enumerate(["abcde", "abcde", "abcd", "ab"]) for i in items]
+    pairs = spark.createDataFrame(rows, "b int, item string")
+    level, grown = (f(pairs, ["b"], 0.5).select("items", "freq") for f in (B.frequent_itemsets_levelwise, B.frequent_itemsets_fpgrowth))
+    assert level.count() == 31 and level.exceptAll(grown).count() == 0 and grown.exceptAll(level).count() == 0
