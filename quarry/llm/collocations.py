@@ -42,6 +42,7 @@ HELD = 1_000_000             # phrases that a task holds before it adds them up,
 OUT = "slice long, once binary, many binary, times binary, body binary"
 _OUT = pa.schema([("slice", pa.int64()), ("once", pa.binary()), ("many", pa.binary()), ("times", pa.binary()),
                   ("body", pa.binary())])
+BORDER = 4_000_000           # keys of border phrases that a task holds before it sends them
 KEYS = ["lang", "phrase", "m", "key"]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -152,10 +153,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         yield Words(langs, texts)
 
 
-def _packed(key: np.ndarray, bits: int) -> Iterator[dict]:
-    """Keys of border phrases: for each slice (the first ``bits`` bits) the next 32 bits, those that occur once and
-    those that occur more often with their counts."""
-    key, n = np.unique(key >> np.uint64(32 - bits), return_counts=True)
+def _counted(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    return key[first], np.add.reduceat(n[order], first) if len(key) else n
+
+
+def _packed(key: np.ndarray, n: np.ndarray) -> Iterator[dict]:
+    """Keys of border phrases: for each slice (all but the last 32 bits) the last 32 bits, of those that occur once and
+    those that occur more often, with their counts."""
     part = (key >> np.uint64(32)).astype(np.int64)
     low = key.astype(np.uint32)
     edge = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)) if len(part) else [0]
@@ -194,6 +202,11 @@ class Miner:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.Table] = []
+            border: list[tuple] = []         # distinct keys and counts of some blocks
+
+            def put_border() -> Iterator[pa.RecordBatch]:
+                yield from _batches(_packed(*_counted(*map(np.concatenate, zip(*border)))))
+                border.clear()
 
             def put() -> Iterator[pa.RecordBatch]:
                 t = summed(held, KEYS, "n")
@@ -214,11 +227,15 @@ class Miner:
                         held.append(pa.table({"lang": lang, "phrase": phrase.cast(pa.string()),
                                               "m": pa.array(np.full(len(at), m, np.int32)), "key": key, "n": n}))
                 if loose:
-                    yield from _batches(_packed(np.concatenate(loose), bits))
+                    border.append(np.unique(np.concatenate(loose) >> np.uint64(32 - bits), return_counts=True))
+                    if sum(len(k) for k, _ in border) > BORDER:
+                        yield from put_border()
                 if sum(map(len, held)) > HELD:
                     held[:] = [summed(held, KEYS, "n")]
                     if len(held[0]) > HELD // 2:
                         yield from put()
+            if border:
+                yield from put_border()
             if held:
                 yield from put()
 
