@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import LOWER, cut_lineage_by, rows_of, shuffle_partitions, tidy
+from quarry.llm.common import LOWER, cut_lineage_by, rows_of, shuffle_partitions, tidy, unzip, zip_
 from quarry.session import stored
 
 HEAD = 1024                  # words that are exchanged one after the other, the most frequent ones
@@ -110,15 +110,6 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     return of
 
 
-def zip_(x: np.ndarray) -> bytes:
-    return len(x).to_bytes(8, "little") + bytes(pa.compress(np.ascontiguousarray(x).tobytes(), "zstd"))
-
-
-def unzip(raw: bytes, kind) -> np.ndarray:
-    n = int.from_bytes(raw[:8], "little")
-    return np.frombuffer(pa.decompress(raw[8:], n * np.dtype(kind).itemsize, "zstd"), kind)
-
-
 def packed(t: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:

@@ -120,6 +120,16 @@ def text_chunks(src: DataFrame, chunk_bytes: int) -> DataFrame:
                           shuffle_partitions(src.sparkSession), "chunk")
 
 
+def zip_(x: np.ndarray) -> bytes:
+    """The numbers of an array, compressed."""
+    return len(x).to_bytes(8, "little") + bytes(pa.compress(np.ascontiguousarray(x).tobytes(), "zstd"))
+
+
+def unzip(raw: bytes, kind) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], n * np.dtype(kind).itemsize, "zstd"), kind)
+
+
 def packed_slices(t: pa.Table, of: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """The rows of a table by the slice that ``of`` names for each, every slice as one compressed Arrow stream."""
     order = np.argsort(of, kind="stable")
@@ -187,4 +197,4 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 __all__ = ["LOWER", "components", "cut_lineage", "give_back", "only", "packed_slices", "prepare", "read", "rows_of",
-           "shuffle_partitions", "summed", "text_chunks", "tidy"]
+           "shuffle_partitions", "summed", "text_chunks", "tidy", "unzip", "zip_"]

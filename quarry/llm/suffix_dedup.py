@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarry.llm.common import cut_lineage, rows_of, text_chunks, tidy
+from quarry.llm.common import cut_lineage, rows_of, text_chunks, tidy, unzip, zip_
 from quarry.session import stored
 
 WIDTH = 50
@@ -197,21 +197,6 @@ class Runs:
     def take(self, at: np.ndarray) -> Runs:
         return Runs(*[getattr(self, k)[at] for k in self.KINDS])
 
-    def pack(self) -> tuple[bytes, bytes, bytes]:
-        """Places and lengths, fingerprints, and owners, compressed but for the fingerprints."""
-        short = np.concatenate([np.diff(self.start, prepend=0), self.end - self.start]).astype(np.int32).tobytes()
-        return (bytes(pa.compress(short, "zstd")), self.trigger.tobytes() + self.phrase.tobytes(),
-                bytes(pa.compress(np.diff(self.owner, prepend=0).tobytes(), "zstd")))
-
-    @staticmethod
-    def unpack(places: bytes, prints: bytes, owners: bytes) -> Runs:
-        n = len(prints) // 16
-        short = np.frombuffer(pa.decompress(places, 8 * n, "zstd"), np.int32).astype(np.int64)
-        h = np.frombuffer(prints, np.uint64)
-        start = np.cumsum(short[:n])
-        return Runs(np.cumsum(np.frombuffer(pa.decompress(owners, 8 * n, "zstd"), np.int64)), start, start + short[n:],
-                    h[:n], h[n:])
-
     # each step: the distinct fingerprints in order, the smallest id of each, and where each run has its own
     def triggers(self):
         return distinct(self.trigger, None, self.owner)
@@ -227,22 +212,59 @@ class Runs:
     def live(self, told: Told) -> Runs:
         """Runs whose trigger occurs in several documents."""
         a, _, least, at = self.triggers()
-        flag, _ = told.of(1, a, None)
+        flag, _ = told.of(1, *buckets(a, told.bits), None)
         most = np.full(len(a), np.iinfo(np.int64).min)
         np.maximum.at(most, at, self.owner)
         return self.take(np.flatnonzero((flag | (most > least))[at]))
 
+
+@dataclass
+class Live:
+    """Live runs, without their fingerprints: what stays beside the chunk from step 2 on."""
+    owner: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    at: np.ndarray            # which of the chunk's phrases a run has
+    index: np.ndarray         # which of them each sent entry is; -1 for marks
+    bucket: np.ndarray        # of the sent entries, with how many went to each
+    count: np.ndarray
+
+    @staticmethod
+    def of(runs: Runs, at: np.ndarray, index: np.ndarray, sent: list[tuple]) -> Live:
+        return Live(runs.owner, runs.start, runs.end, at, index, np.array([r[0] for r in sent], np.int64),
+                    np.array([len(r[2]) // 8 for r in sent], np.int64))
+
+    def pack(self) -> tuple[bytes, bytes, bytes]:
+        places = np.concatenate([np.diff(self.start, prepend=0), self.end - self.start]).astype(np.int32)
+        same = (self.index == np.arange(len(self.index))).all()
+        which = np.concatenate([self.at, [] if same else self.index]).astype(np.int32)
+        parts = [zip_(places), zip_(which), zip_(self.bucket), zip_(self.count)]
+        return (np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts), zip_(np.diff(self.owner, prepend=0)), b"")
+
+    @staticmethod
+    def unpack(raw: bytes, owners: bytes, _: bytes) -> Live:
+        ends = np.cumsum(np.frombuffer(raw[:32], np.int64)) + 32
+        parts = [raw[a:b] for a, b in zip([32, *ends], ends)]
+        places, which = unzip(parts[0], np.int32).astype(np.int64), unzip(parts[1], np.int32)
+        bucket, count = unzip(parts[2], np.int64), unzip(parts[3], np.int64)
+        n = len(places) // 2
+        start = np.cumsum(places[:n])
+        index = which[n:] if len(which) > n else np.arange(int(count.sum()))
+        return Live(np.cumsum(unzip(owners, np.int64)), start, start + places[n:], which[:n], index, bucket, count)
+
     def open(self, told: Told) -> tuple[np.ndarray, np.ndarray]:
-        """Of live runs, those known to be repeats and those whose strings must be compared one by one."""
-        a, b, doc, at, many = self.phrases()
-        sent = keep_few(a, b, doc, many)
-        flag, least = np.ones(len(a), bool), doc.copy()
-        several, smaller = told.of(2, sent[0], sent[2])
-        real = sent[3] >= 0
-        flag[sent[3][real]] = several[real]
-        least[sent[3][real]] = smaller[real]
-        repeat = least[at] < self.owner
-        return np.flatnonzero(repeat), np.flatnonzero(~repeat & flag[at])
+        """Of the runs, those known to be repeats and those whose strings must be compared one by one."""
+        least = np.full(int(self.at.max()) + 1 if len(self.at) else 0, LAST)
+        np.minimum.at(least, self.at, self.owner)
+        real = self.index >= 0
+        sent = np.full(len(self.index), LAST)
+        sent[real] = least[self.index[real]]
+        several, smaller = told.of(2, self.bucket, self.count, sent)
+        flag = np.ones(len(least), bool)
+        flag[self.index[real]] = several[real]
+        least[self.index[real]] = smaller[real]
+        repeat = least[self.at] < self.owner
+        return np.flatnonzero(repeat), np.flatnonzero(~repeat & flag[self.at])
 
 
 def distinct(a: np.ndarray, b: np.ndarray | None, doc: np.ndarray):
@@ -265,16 +287,25 @@ def bucket_of(a: np.ndarray, bits: int) -> np.ndarray:
     return (a >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(a), np.int64)
 
 
-def send(chunk: int, bits: int, a: np.ndarray, b: np.ndarray | None, doc: np.ndarray | None) -> Iterator[tuple]:
-    """The keys of a chunk (ordered by ``a``) cut by bucket."""
+def buckets(a: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of ordered keys, and how many go to each."""
     bucket = bucket_of(a, bits)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for lo, hi in zip(cuts, np.append(cuts[1:], len(a))):
-        ids, base = b"", 0
-        if doc is not None:
-            base = int(doc[lo:hi].min())
-            ids = narrow(doc[lo:hi] - base)
-        yield (int(bucket[lo]), chunk, a[lo:hi].tobytes(), b"" if b is None else b[lo:hi].tobytes(), ids, base)
+    return bucket[cuts], np.diff(np.append(cuts, len(a)))
+
+
+def send(chunk: int, bits: int, a: np.ndarray, b: np.ndarray | None, doc: np.ndarray | None) -> Iterator[tuple]:
+    """The keys of a chunk (ordered by ``a``) cut by bucket. Triggers, sent alone, go as the 32 bits behind those that
+    name the bucket: that two of them meet by chance is as rare at any size, and only keeps a run for the next step."""
+    number, count = buckets(a, bits)
+    ends = np.cumsum(count)
+    bucket = np.repeat(number, count)
+    for lo, hi in zip(ends - count, ends):
+        if doc is None:
+            yield int(bucket[lo]), chunk, (a[lo:hi] >> np.uint64(32 - bits)).astype(np.uint32).tobytes(), b"", b"", 0
+            continue
+        base = int(doc[lo:hi].min())
+        yield int(bucket[lo]), chunk, a[lo:hi].tobytes(), b[lo:hi].tobytes(), narrow(doc[lo:hi] - base), base
 
 
 def narrow(x: np.ndarray) -> bytes:
@@ -298,8 +329,9 @@ def _answer(step: int) -> Callable[[pa.Table], pa.Table]:
     def run(t: pa.Table) -> pa.Table:
         chunk, bucket = t.column("chunk").to_pylist(), t.column("bucket").to_pylist()
         raw = t.column("a").to_pylist()
-        n = [len(r) // 8 for r in raw]
-        a = np.frombuffer(b"".join(raw), np.uint64)
+        kind = np.uint32 if step == 1 else np.uint64
+        n = [len(r) // kind().itemsize for r in raw]
+        a = np.frombuffer(b"".join(raw), kind)
         ends = np.cumsum(n)
         out = []
         if step == 1:
@@ -337,15 +369,15 @@ class Told:
             "step", "bucket", "flag", "at", "doc")])}
         kept = self.by.pop((0, -1), None)
         if kept:
-            self.runs = Runs.unpack(*kept)
+            self.runs = Live.unpack(*kept)
 
-    def of(self, step: int, a: np.ndarray, least: np.ndarray | None):
-        flag = np.zeros(len(a), bool)
+    def of(self, step: int, bucket: np.ndarray, count: np.ndarray, least: np.ndarray | None):
+        """Flags, and the smallest ids, of what went to the buckets, in the order in which it was sent."""
+        flag = np.zeros(int(count.sum()), bool)
         least = None if least is None else least.copy()
-        bucket = bucket_of(a, self.bits)
-        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(a))):
-            got = self.by.get((step, int(bucket[lo])))
+        ends = np.cumsum(count)
+        for k, lo, hi in zip(bucket.tolist(), (ends - count).tolist(), ends.tolist()):
+            got = self.by.get((step, k))
             if got:
                 if got[0]:
                     flag[lo:hi] = np.unpackbits(np.frombuffer(got[0], np.uint8), count=hi - lo).astype(bool)
@@ -366,7 +398,7 @@ def covered(t: Texts, told: Told) -> np.ndarray:
     a, b, run, place = t.suffixes(r.start[open_], r.end[open_])
     owner = r.owner[open_][run]
     ka, _, least, at = distinct(a, b, owner)
-    _, least = told.of(3, ka, least)
+    _, least = told.of(3, *buckets(ka, told.bits), least)
     hit = place[least[at] < owner]
     np.add.at(mark, hit, 1)
     np.add.at(mark, hit + w, -1)
@@ -424,9 +456,11 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
         for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
             live = Texts(rows_of(body), width).runs(trigger).live(Told(bits, right))
             if len(live.owner):
-                out.append((-1, number, *live.pack(), 0))
-                a, b, doc, _, many = live.phrases()
-                out.extend(send(number, bits, *keep_few(a, b, doc, many)[:3]))
+                a, b, doc, at, many = live.phrases()
+                a, b, doc, index = keep_few(a, b, doc, many)
+                sent = list(send(number, bits, a, b, doc))
+                out.append((-1, number, *Live.of(live, at, index, sent).pack(), 0))
+                out.extend(sent)
         return pa.Table.from_batches([rows_batch(out, _SENT_ARROW)])
 
     def third(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -434,9 +468,9 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
         for number, body in zip(left.column("chunk").to_pylist(), left.column("body")):
             open_ = told.runs.open(told)[1] if told.runs else ()
             if len(open_):
-                r = told.runs.take(open_)
-                a, b, run, _ = Texts(rows_of(body), width).suffixes(r.start, r.end)
-                out.extend(send(number, bits, *distinct(a, b, r.owner[run])[:3]))
+                r = told.runs
+                a, b, run, _ = Texts(rows_of(body), width).suffixes(r.start[open_], r.end[open_])
+                out.extend(send(number, bits, *distinct(a, b, r.owner[open_][run])[:3]))
         return pa.Table.from_batches([rows_batch(out, _SENT_ARROW)])
 
     def answers(sent: DataFrame, step: int) -> DataFrame:
