@@ -12,8 +12,9 @@ the Spark partition, so they are unique, and a repeated task numbers them the sa
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,10 @@ _ARROW = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
                     ("total", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                     ("segment", pa.int32()), ("loss", pa.int64())])
 END = 0                      # the id that closes an example
-ENTRIES = 250_000            # chunks of text in a generation of those whose ids a worker remembers
+# Fixed value: the words of byte-level pre-tokenisation.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LONG = 1 << 10               # bytes of a chunk that is encoded alone
+ENTRIES = 400_000            # chunks of text in a generation of those whose ids a worker remembers
 TOGETHER = 2_000             # new chunks encoded as one string
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -44,6 +48,29 @@ class Limits:
     loss: int = 1024
 
 
+def same_ranks(tok):
+    """A ``tiktoken`` encoding with the ids of ``tok``, which is several times faster on new words; None unless ``tok`` is
+    a plain byte-level BPE whose ids are in the order of its merges, so that both merge alike."""
+    import tiktoken
+
+    d = json.loads(tok.to_str())
+    model, before = d["model"], d["pre_tokenizer"] or {}
+    if (model["type"], before.get("type"), d["normalizer"]) != ("BPE", "ByteLevel", None):
+        return None
+    if before.get("add_prefix_space") or not before.get("use_regex") or model.get("dropout") or model.get("ignore_merges") \
+            or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    # bytes that print stand for themselves, the others for the characters from 256 on
+    shown = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
+    back = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"][m] for m in merges]
+    if ids != sorted(ids) or any(model["vocab"].get(c, 1 << 30) >= min(ids, default=0) for c in back):
+        return None
+    ranks = {bytes(back[c] for c in t): i for t, i in model["vocab"].items()}
+    return tiktoken.Encoding("ranks", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
     """Ids of whole texts by a byte-level BPE tokenizer of the ``tokenizers`` library.
 
@@ -60,12 +87,29 @@ class Encoder:
         n = self.tok.get_vocab_size()
         # a byte-level token is written with one character for each byte, a special one as it is
         self.width = np.array([len(self.tok.id_to_token(i) or "") for i in range(n)], np.int64)
+        self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.fast = same_ranks(self.tok)
         self.known = Table(self._learn, entries, TOGETHER)
 
     def _learn(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of a space and each chunk."""
-        enc = self.tok.encode_batch_fast([(b" " + b" ".join(chunks)).decode()], add_special_tokens=False)[0]
-        ids = np.array(enc.ids, "<u4")
+        """Ids of a space and each chunk, by the faster library where it gives the same."""
+        if self.fast is None:
+            return self._together(chunks, self.tok_ids)
+        plain = [c for c in chunks if len(c) <= LONG and not any(x in c for x in self.special)]
+        found = dict(zip(plain, self._together(plain, self.fast.encode_ordinary)))
+        for c in chunks:
+            if c not in found:
+                found[c] = self._together([c], self.tok_ids)[0]
+        return [found[c] for c in chunks]
+
+    def tok_ids(self, text: str) -> list[int]:
+        return self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _together(self, chunks: list[bytes], encode: Callable[[str], list[int]]) -> list[bytes]:
+        """Chunks encoded as one text and told apart by the byte lengths of the ids."""
+        if not chunks:
+            return []
+        ids = np.array(encode((b" " + b" ".join(chunks)).decode()), "<u4")
         at = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(c) + 1 for c in chunks])) + 1
         raw, at = ids.tobytes(), (np.concatenate([[0], at]) * 4).tolist()
         return [raw[i:j] for i, j in zip(at, at[1:])]
