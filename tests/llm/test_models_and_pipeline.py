@@ -178,3 +178,64 @@ def test_pipeline_runs_on_empty_tables(spark, tables, tmp_path):
     for n in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{tables}/{n}.parquet").limit(0).write.parquet(str(tmp_path / f"{n}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def strong_rows(rng, n=240):
+    """Rows with a few features that tell the grade, and the grades."""
+    grade = rng.integers(0, 3, n)
+    index, value, begin = [], [], [0]
+    for g in grade:
+        words = [7 + k for k in range(6) if rng.random() < (0.8 if k % 3 == g else 0.15)]
+        index += [*words, features.WORDS + 3, features.WORDS + 5]
+        value += [*[1.0] * len(words), rng.normal() + 0.5 * g, rng.normal()]
+        begin.append(len(index))
+    return features.Rows(np.array(begin), np.array(index), np.array(value)), grade
+
+
+def dense(rows, index):
+    x = np.zeros((len(rows), len(index)))
+    for i, (a, b) in enumerate(zip(rows.begin, rows.begin[1:])):
+        for k, v in zip(rows.index[a:b], rows.value[a:b]):
+            if k in index:
+                x[i, index.index(k)] = v
+    return x
+
+
+def slopes(f, p):
+    return np.array([(f(p + e) - f(p - e)) / 2e-5 for e in 1e-5 * np.eye(len(p))])
+
+
+def test_ordinal_fit_is_the_least_of_the_dense_objective():
+    rows, grade = strong_rows(np.random.default_rng(1))
+    model = ordinal.fit(rows, grade, 3)
+    index = features.telling(rows, grade).tolist()
+    x = dense(rows, index)
+
+    def objective(p):
+        s, theta = x @ p[:-2], np.concatenate([[-np.inf], p[-2:], [np.inf]])
+        cdf = lambda t: 1 / (1 + np.exp(-t))
+        return -np.log(cdf(theta[grade + 1] - s) - cdf(theta[grade] - s)).sum() + ordinal.RIDGE / 2 * (p[:-2] @ p[:-2])
+
+    p = np.append(model.weights[index], model.thresholds)
+    assert len(index) >= 6 and np.abs(slopes(objective, p)).max() < 0.02      # convex: flat is least
+    tail = model.at_least(rows)
+    assert np.allclose(tail, 1 / (1 + np.exp(model.thresholds - (x @ p[:-2])[:, None])))
+    assert set(np.flatnonzero(model.weights)) <= set(index)
+
+
+def test_link_is_the_least_of_the_dense_objective():
+    rng = np.random.default_rng(2)
+    rows, grade = strong_rows(rng)
+    label, earlier = grade == 2, rng.random((len(grade), 2))
+    both = toxicity.with_columns(rows, earlier)
+    w = toxicity.fit_link(both, label, 2)
+    index = sorted({*features.telling(both, label).tolist(), features.DIM, features.DIM + 1})
+    x = dense(both, index)
+
+    def objective(p):
+        s = x @ p[:-1] + p[-1]
+        return np.log1p(np.exp(np.where(label, -s, s))).sum() + toxicity.RIDGE / 2 * (p[:-1] @ p[:-1])
+
+    p = np.append(w[index], w[-1])
+    assert np.abs(slopes(objective, p)).max() < 0.02
+    assert np.allclose(toxicity.predict(both, w), 1 / (1 + np.exp(-(x @ p[:-1] + p[-1]))))
