@@ -469,7 +469,7 @@ def test_audit_counts_no_vector_with_itself():
     length, uid = np.linalg.norm(x, axis=1), np.arange(len(x))
     graph = hnsw.Graph(x)
     found, share, seen, _ = embedding_dedup.search_block(x, length, uid, graph, x, length, uid, 0.95, 0.99)
-    assert seen == 64 or seen == 80
+    assert 64 <= seen <= 80
     assert sum(len(f) for f in found) == 3080 and share >= 0.99
     graph.links = [np.full_like(k, -1) for k in graph.links]           # nothing can be reached
     graph.back, graph.back_at = graph.back[:0], np.zeros(len(x) + 1, int)
