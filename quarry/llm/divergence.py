@@ -187,7 +187,8 @@ def audit(df: DataFrame, lang: str = "lang", source: str = "source", text: str =
                .groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("place", "c"))).alias("counts")))
     blocks = max(shuffle_partitions(spark), -(-groups.agg(F.max("v").alias("v")).first()["v"] // block)
                  if not groups.isEmpty() else 1)
-    ranges = stored(vectors.repartitionByRange(blocks, "lang", "counts", "term")
+    # (ranges by the first counts: their bounds are sampled on the driver)
+    ranges = stored(vectors.repartitionByRange(blocks, "lang", F.slice("counts", 1, 2), "term")
                     .sortWithinPartitions("lang", "counts", "term").select(
         "lang", "counts", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("order")), "ranges")
     # every group has a column in every block of its language, and one block is empty, for languages without terms
