@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import inspect
 from collections.abc import Callable, Iterator
 
@@ -47,6 +48,7 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 def give_back() -> None:
     """Return freed memory to the system. Python workers outlive their tasks, and what their allocators keep for
     later counts against the executor while other work runs there."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

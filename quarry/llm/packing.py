@@ -35,7 +35,7 @@ END = 0                      # the id that closes an example
 # Fixed value: the words of byte-level pre-tokenisation.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG = 1 << 10               # bytes of a chunk that is encoded alone
-ENTRIES = 400_000            # chunks of text in a generation of those whose ids a worker remembers
+ENTRIES = 250_000            # chunks of text in a generation of those whose ids a task remembers
 TOGETHER = 2_000             # new chunks encoded as one string
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -76,7 +76,7 @@ class Encoder:
 
     The tokenizer's own pre-tokenisation always starts a new word at a space that stands between two other
     characters, so a text can be cut there and the ids of its chunks joined. A block of texts becomes codes of its
-    distinct chunks; a worker keeps the ids of chunks it met, in two generations, and encodes new ones many at a time,
+    distinct chunks; a task keeps the ids of chunks it met, in two generations, and encodes new ones many at a time,
     telling them apart by the byte lengths of the ids. Special tokens' strings are special tokens, as in a plain call.
     """
 
@@ -137,7 +137,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; workers outlive tasks, so its chunks are kept between them."""
+    """The worker's encoder for a tokenizer file; workers outlive tasks, so it is loaded once."""
     if path not in _ENCODERS:
         import os
 
@@ -264,6 +264,7 @@ def pack_examples(df: DataFrame, tokenizer: str, id: str = "doc_id", text: str =
                         yield batch(found)
                         found, size = [], 0
         found.extend(flush())
+        enc.known.clear()            # the worker lives on, and other work needs the memory
         if found:
             yield batch(found)
 

@@ -6,9 +6,9 @@ block of texts becomes a column of chunks, written as codes into a table of the
 segmented once by the library, and the ids are joined back by position. Decoding works the same way: ids fall into runs
 that begin with a marked piece, and each distinct run is decoded once.
 
-A worker keeps what it has segmented between blocks in two generations, so it stays bounded while what is met again
-and again is not segmented twice: an entry that was not met in a whole generation is forgotten, nothing else. Nothing
-is shuffled: one table for the whole corpus would have to be joined to every block that holds a word, which moves the
+A task keeps what it has segmented between blocks in two generations, so it stays bounded while what is met again
+and again is not segmented twice: an entry that was not met in a whole generation is forgotten, nothing else. With the
+task the tables end, as workers outlive their tasks and would hold them while other work runs. Nothing is shuffled: one table for the whole corpus would have to be joined to every block that holds a word, which moves the
 texts and a row for each block and distinct word; segmenting a word once more in another task costs less.
 """
 
@@ -41,6 +41,9 @@ class Table:
         self.young: dict = {}
         self.old: dict = {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def of(self, keys: list) -> list:
         """The values of distinct keys; those that are not known yet are learnt."""
         if len(self.young) > self.entries:
@@ -160,12 +163,23 @@ _LOADED: dict[str, Pieces] = {}
 
 
 def loaded(path: str) -> Pieces:
-    """The worker's model; workers outlive tasks, and keep their tables between them."""
+    """The worker's model; workers outlive tasks, so it is loaded once."""
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
     return _LOADED[path]
 
 
+def _ending(run: Callable, path: str) -> Callable:
+    """``run`` over batches, which leaves the model's tables empty when it is done."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            loaded(path).ids.clear()
+            loaded(path).texts.clear()
+    return over
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], sizes: Callable) -> Iterator[pa.RecordBatch]:
     """Parts of the batches of about ``BLOCK`` bytes; a longer row is a part of its own."""
     for b in batches:
@@ -197,7 +211,7 @@ def encode(df: DataFrame, model: str, id: str = "doc_id", text: str = "text") ->
         for b in _blocks(batches, _text_bytes):
             yield pa.RecordBatch.from_arrays([b.column("id"), loaded(model).encode(_texts(b))], names=["id", "ids"])
 
-    return src.mapInArrow(tidy(run), f"id {kind}, ids array<int>")
+    return src.mapInArrow(tidy(_ending(run, model)), f"id {kind}, ids array<int>")
 
 
 def decode(df: DataFrame, model: str, id: str = "id", ids: str = "ids") -> DataFrame:
@@ -212,7 +226,7 @@ def decode(df: DataFrame, model: str, id: str = "id", ids: str = "ids") -> DataF
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(loaded(model).decode(b.column("ids")), pa.string())],
                                              names=["id", "text"])
 
-    return src.mapInArrow(tidy(run), f"id {kind}, text string")
+    return src.mapInArrow(tidy(_ending(run, model)), f"id {kind}, text string")
 
 
 def round_trip(df: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,4 +241,4 @@ def round_trip(df: DataFrame, model: str, id: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("id"), ids, pa.array(loaded(model).decode(ids), pa.string())],
                                              names=["id", "ids", "decoded"])
 
-    return src.mapInArrow(tidy(run), f"id {kind}, ids array<int>, decoded string")
+    return src.mapInArrow(tidy(_ending(run, model)), f"id {kind}, ids array<int>, decoded string")
