@@ -150,9 +150,13 @@ def telling(r: Rows, label: np.ndarray, z: float = 5.0, least: int = LEAST) -> n
 
 def restrict(r: Rows, index: np.ndarray) -> Rows:
     """Only the features in ``index`` (ordered), renumbered."""
-    at = np.minimum(np.searchsorted(index, r.index), max(0, len(index) - 1))
-    good = index[at] == r.index if len(index) else np.zeros(len(r.index), bool)
-    begin = np.concatenate([[0], np.cumsum(good)])[r.begin]
+    at = np.empty(len(r.index), np.int32)
+    good = np.zeros(len(r.index), bool)
+    for lo in range(0, len(at) if len(index) else 0, 1 << 18):        # in parts: the numbers between are wide
+        here = r.index[lo:lo + (1 << 18)]
+        found = np.minimum(np.searchsorted(index, here), len(index) - 1)
+        at[lo:lo + (1 << 18)], good[lo:lo + (1 << 18)] = found, index[found] == here
+    begin = np.append(np.int32(0), np.cumsum(good, dtype=np.int32))[r.begin].astype(np.int64)
     return Rows(begin, at[good], r.value[good])
 
 

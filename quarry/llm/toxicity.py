@@ -42,10 +42,21 @@ def with_columns(rows: Rows, extra: np.ndarray) -> Rows:
 
 def fit_link(rows: Rows, label: np.ndarray, earlier: int, ridge: float = RIDGE) -> np.ndarray:
     """Logistic regression; the weights end with those of the ``earlier`` probabilities and the intercept."""
-    index = telling(rows, label)
-    index = np.union1d(index, DIM + np.arange(earlier))
-    x = restrict(rows, index)
-    row, n = x.row_of(), len(index)
+    index = worth(rows, label, earlier)
+    w = np.zeros(DIM + earlier + 1)
+    p = fit_few(restrict(rows, index), len(index), label, ridge)
+    w[index], w[-1] = p[:-1], p[-1]
+    return w
+
+
+def worth(rows: Rows, label: np.ndarray, earlier: int) -> np.ndarray:
+    """Indices that get a weight."""
+    return np.union1d(telling(rows, label), DIM + np.arange(earlier))
+
+
+def fit_few(x: Rows, n: int, label: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Weights of the ``n`` features of ``x``, then the intercept."""
+    row = x.row_of()
     base = (label.sum() + 0.5) / (len(label) + 1)
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
@@ -55,10 +66,7 @@ def fit_link(rows: Rows, label: np.ndarray, earlier: int, ridge: float = RIDGE)
         d = q - label
         return value, np.append(np.bincount(x.index, weights=x.value * d[row], minlength=n) + ridge * p[:n], d.sum())
 
-    p = minimise(loss, np.append(np.zeros(n), np.log(base / (1 - base))))
-    w = np.zeros(DIM + earlier + 1)
-    w[index], w[-1] = p[:n], p[n]
-    return w
+    return minimise(loss, np.append(np.zeros(n), np.log(base / (1 - base))))
 
 
 def predict(rows: Rows, w: np.ndarray) -> np.ndarray:
@@ -80,10 +88,14 @@ def train_chain(sample: DataFrame, categories: list[str], folds: int = FOLDS) ->
             label = np.array([bool(y[k]) for y in t.column("label").to_pylist()])[order]
             raw = [x.as_buffer() for x in t.column("x")]       # not copied
             rows = with_columns(unpack_rows([raw[i] for i in order], LEAST), extra)
-            train = np.flatnonzero(fold != part)
-            w = fit_link(rows if len(train) == len(rows) else rows.take(train), label[train], k)
-            test = np.flatnonzero(fold == part)
-            p = predict(rows.take(test), w) if len(test) else np.zeros(0)
+            train, test = np.flatnonzero(fold != part), np.flatnonzero(fold == part)
+            index = worth(rows if len(train) == len(rows) else rows.take(train), label[train], k)
+            rows = restrict(rows, index)                       # few are left, before anything else is made of them
+            q = fit_few(rows.take(train), len(index), label[train])
+            few = rows.take(test)
+            p = sigmoid(few.dot(q[:-1]) + q[-1]) if len(test) else np.zeros(0)
+            w = np.zeros(DIM + k + 1)
+            w[index], w[-1] = q[:-1], q[-1]
             final = part == folds
             return pa.table({"row": pa.array(number[test], pa.int64()), "p": pa.array(p),
                              "w": pa.array([None] * len(test), pa.binary())}) if not final else pa.table(
