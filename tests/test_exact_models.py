@@ -147,7 +147,9 @@ def newton(a, y, c):
     return w, value
 
 
-def test_squared_hinge_reaches_the_least_objective(spark):
+@pytest.mark.parametrize("held", [1 << 26, 0])
+def test_squared_hinge_reaches_the_least_objective(spark, monkeypatch, held):
+    monkeypatch.setattr(svm, "HELD_BYTES", held)     # one task, or the cluster
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 5))
     x[rng.random(x.shape) < 0.4] = 0
