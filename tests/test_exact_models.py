@@ -346,6 +346,23 @@ def test_network_learns_repeats_and_stops_early(spark):
     assert len(stopped.history) == 3                 # nothing falls after the first epoch
 
 
+def test_network_trains_side_by_side_and_in_rounds(spark, monkeypatch):
+    """Tasks do not meet within a round, and each row takes part once an epoch, in whatever task and round."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 3))
+    rows = [(i, float(v[0] + v[1] > 0), Vectors.dense(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, ["i", "label", "a"])
+    blocks = [network.Block("a", 8)]
+    fit = lambda **k: network.fit(df, df, blocks, "i", joint=8, joint_dropout=0.0, batch=16, **k)
+    monkeypatch.setattr(network, "STEPS", 4)
+    monkeypatch.setattr(network, "ROUND", 3)
+    still = fit(rate=0.0, epochs=1).history[0]
+    assert still["loss"] == pytest.approx(still["valid_loss"], rel=1e-9)      # every row once
+    once, again = fit(rate=0.01, epochs=2), fit(rate=0.01, epochs=2)
+    assert np.array_equal(once.weights, again.weights)
+    assert fit(rate=0.02, epochs=8).history[-1]["valid_accuracy"] > 0.9
+
+
 def test_rules_of_too_large_sets_are_an_error(spark):
     big = [chr(97 + i) for i in range(21)]
     sets = spark.createDataFrame([(big, 0.5), (["a"], 0.5), (["b"], 0.5), (["a", "b"], 0.5)], "items array<string>, support double")
