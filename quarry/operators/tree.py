@@ -3,11 +3,13 @@
 A node is split where the Gini impurity of its two parts is least; of equal splits the one with the smallest feature,
 then the smallest threshold, is taken. A node becomes a leaf when its rows are of one class or agree in every feature.
 
-Large nodes are split level by level over the cluster. The rows of all large nodes are counted by (node, feature,
-value); these sorted attribute lists are dealt by ranges of that key, each range adds up its classes, the sums of the
-ranges before it are added on, and so every range can rate each of its thresholds exactly, however large a list is.
+Large nodes are split level by level over the cluster, in two passes that move little. The first counts the classes of
+every (node, feature, bin), where a feature's bins lie between some of its quantiles. That rates the ends of the bins
+exactly, and bounds what a threshold inside a bin could reach: the rating is convex in the counts of the left part, so it
+is largest at a corner of what the bin allows. The second pass counts the single values of those bins only that can hold
+the best threshold, and rates each of them. Where the bins lie never shows in the tree.
 Once a node has few enough rows it is finished in one task, with its attribute lists sorted once and divided stably at
-each split. Both rate splits by the same numbers, so where the work is done never shows in the tree.
+each split. Both rate splits by the same numbers, so where the work is done does not show either.
 """
 
 from __future__ import annotations
@@ -15,15 +17,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.svm import SLICE
 from quarry.session import ship_package, stored
 
 LOCAL_CELLS = 4_000_000      # rows times features that one task finishes alone
+BINS = 1024                  # of a feature, at most
+BIN_CELLS = 1 << 16          # bins of all features, unless these get fewer than 16
+CORNER_CLASSES = 8           # with more, every bin is counted by its values
+STORE_LEVELS = 8             # levels after which the rows' nodes are written
 HELD_NODES = 1_000_000       # nodes that scoring holds in a task; a larger tree is walked by joins
 NODES = ("id long, depth int, n long, counts array<long>, impurity double, prediction int, feature int, "
          "threshold double, gain double, left long, right long")
@@ -86,50 +92,148 @@ def grow(x: np.ndarray, y: np.ndarray, classes: int, root: int, depth: int) -> l
     return out
 
 
-def _best_splits(rows: DataFrame, classes: int) -> list:
-    """For every ``node`` of ``rows`` the best split, if it has one: ``node, score, feature, threshold, counts``."""
-    spark = rows.sparkSession
-    lists = (rows.select("node", "y", F.posexplode("x").alias("feature", "value"))
-             .groupBy("node", "feature", "value").agg(*[F.count_if(F.col("y") == k).alias(f"c{k}") for k in range(classes)]))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranges = stored(lists.repartitionByRange(parts, "node", "feature", "value")
-                    .sortWithinPartitions("node", "feature", "value").withColumn("part", F.spark_partition_id()), "lists")
-    names = [f"c{k}" for k in range(classes)]
-    key = ["node", "feature"]
-    # what each range holds of a list, and what the ranges before it hold: at most a row for each range
-    sums = ranges.groupBy("part", *key).agg(F.min("value").alias("first"), *[F.sum(c).alias(c) for c in names])
-
-    def before(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values("part")
-        c = t[names].to_numpy()
-        total = np.tile(c.sum(0), (len(t), 1))
-        return pd.DataFrame({"part": t["part"], "node": t["node"], "feature": t["feature"],
-                             "next": t["first"].shift(-1), "before": (np.cumsum(c, 0) - c).tolist(),
-                             "total": total.tolist()})
-
-    offsets = sums.groupBy(*key).applyInPandas(
-        before, "part int, node long, feature int, next double, before array<long>, total array<long>")
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        left = left.sort_values([*key, "value"], kind="stable")
-        known = {(r.node, r.feature): r for r in right.itertuples()}
-        for (node, feature), t in left.groupby(key, sort=False):
-            r = known[(node, feature)]
-            value = t["value"].to_numpy()
-            after = np.append(value[1:], np.nan if r.next is None else r.next)
-            total = np.array(r.total)
-            low = np.cumsum(t[names].to_numpy(), 0) + np.array(r.before)
-            score = np.where(np.isnan(after), -1.0, rate(low.astype(float), total.astype(float)))
-            i = int(score.argmax())
-            if score[i] >= 0:
-                out.append((node, score[i], feature, float(middle(value[i], after[i])), total.tolist(), low[i].tolist()))
-        return pd.DataFrame(out, columns=["node", "score", "feature", "threshold", "total", "low"])
-
-    schema = "node long, score double, feature int, threshold double, total array<long>, low array<long>"
-    found = ranges.groupBy("part").cogroup(offsets.groupBy("part")).applyInPandas(best, schema)
-    order = F.struct(F.col("score"), -F.col("feature"), -F.col("threshold"))
-    return found.groupBy("node").agg(F.max_by(F.struct("*"), order).alias("s")).select("s.*").collect()
+class Steps:
+    """The splits made since the rows' nodes were written, by node."""
+
+    def __init__(self, moves: list[tuple]):
+        moves = sorted(moves)
+        self.node, self.feature, self.left, self.right = (np.array([m[i] for m in moves], np.int64) for i in (0, 1, 3, 4))
+        self.threshold = np.array([m[2] for m in moves])
+
+    def walk(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The nodes in which rows that are in ``node`` end."""
+        node, rows = node.copy(), np.arange(len(node))
+        while len(rows) and len(self.node):
+            at = np.searchsorted(self.node, node[rows]).clip(max=len(self.node) - 1)
+            inner = self.node[at] == node[rows]
+            rows, at = rows[inner], at[inner]
+            node[rows] = np.where(x[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+        return node
+
+
+def _batch(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, features and classes of a batch or table of rows."""
+    return (b.column("node").to_numpy(zero_copy_only=False), _matrix(b.column("x")),
+            b.column("y").to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _matrix(x: pa.ListArray) -> np.ndarray:
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+
+
+def _borders(rows: DataFrame, width: int) -> list[np.ndarray]:
+    """Some quantiles of every feature, ascending; a bin ends with each."""
+    bins = max(16, min(BINS, BIN_CELLS // max(1, width)))
+    marks = [i / bins for i in range(1, bins)]
+    found = rows.select(F.posexplode("x").alias("feature", "value")).groupBy("feature").agg(
+        F.percentile_approx("value", marks, 4 * bins).alias("q")).collect()
+    return [np.unique(q) for _, q in sorted((r["feature"], r["q"]) for r in found)]
+
+
+def _best_splits(rows: DataFrame, steps: Steps, nodes: list[int], classes: int, borders: list[np.ndarray]) -> dict:
+    """For every one of ``nodes``, to which ``steps`` lead ``rows``: its class counts, and the best split if it has one
+    (``score, feature, threshold, low``, the last being the class counts of the left part)."""
+    spark, width = rows.sparkSession, len(borders)
+    nodes = np.array(sorted(nodes), np.int64)
+    bins = max(len(b) for b in borders) + 1
+    shape = (len(nodes), width, bins, classes)
+    held = spark.sparkContext.broadcast((steps, nodes, borders))
+
+    def binned(batches):
+        """Number of the node, features, bins and classes of the rows in question."""
+        steps, nodes, borders = held.value
+        for b in batches:
+            node, x, y = _batch(b)
+            node = steps.walk(node, x)
+            at = np.searchsorted(nodes, node).clip(max=len(nodes) - 1)
+            here = np.flatnonzero(nodes[at] == node)
+            if len(here):
+                x = x[here]
+                yield at[here], x, np.stack([np.searchsorted(q, x[:, f]) for f, q in enumerate(borders)], 1), y[here]
+
+    def count(batches):
+        total = None
+        for at, _, bin_, y in binned(batches):
+            cell = ((at[:, None] * width + np.arange(width)) * bins + bin_) * classes + y[:, None]
+            found = np.bincount(cell.reshape(-1), minlength=int(np.prod(shape)))
+            total = found if total is None else total + found
+        if total is not None:
+            at = range(0, len(total), SLICE)
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(range(len(at)), pa.int32()),
+                                              "body": pa.array([total[i:i + SLICE].tobytes() for i in at], pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        found = np.sum([np.frombuffer(x.as_buffer(), np.int64) for x in t.column("body")], axis=0)
+        return pa.table({"slice": t.column("slice").slice(0, 1), "body": pa.array([found.tobytes()], pa.binary())})
+
+    sums = rows.mapInArrow(count, "slice int, body binary").groupBy("slice").applyInArrow(add, "slice int, body binary").collect()
+    counts = np.concatenate([np.frombuffer(r["body"], np.int64) for r in sorted(sums, key=lambda r: r["slice"])]).reshape(shape)
+    total = counts[:, 0].sum(1)                                     # (node, class)
+    whole = total[:, None, None, :].astype(float)
+    after = counts.cumsum(2)
+    before = after - counts
+    full = counts.sum(-1) > 0
+    ends = np.where(full & (after.sum(-1) < total.sum(-1)[:, None, None]), rate(after.astype(float), whole), -1.0)
+    least = ends.max((1, 2))[:, None, None]                         # the best split is at least as good
+    if classes > CORNER_CLASSES:
+        asked = full
+    else:
+        reach = np.max([rate((before + counts * [c >> k & 1 for k in range(classes)]).astype(float), whole)
+                        for c in range(1 << classes)], axis=0)
+        asked = full & (reach >= least - 1e-9 * np.abs(least))
+    # a threshold at a bin's end lies before the first value of the next bin that has rows
+    wanted = asked.copy()
+    for i, f in zip(*np.nonzero(asked.any(2))):
+        used = np.flatnonzero(full[i, f])
+        wanted[i, f, used[1:]] |= asked[i, f, used[:-1]]
+    told = spark.sparkContext.broadcast((wanted, before, total))
+
+    def values(batches):
+        wanted = told.value[0]
+        for at, x, bin_, y in binned(batches):
+            row, f = np.nonzero(wanted[at[:, None], np.arange(width), bin_])
+            yield pa.RecordBatch.from_pydict({
+                "cell": pa.array((at[row] * width + f) * bins + bin_[row, f], pa.int64()),
+                "value": pa.array(x[row, f], pa.float64()), "y": pa.array(y[row], pa.int32())})
+
+    def best(t: pa.Table) -> pa.Table:
+        _, before, total = told.value
+        cell = t.column("cell")[0].as_py()
+        i, f, k = cell // bins // width, cell // bins % width, cell % bins
+        value, at = np.unique(t.column("value").to_numpy(), return_inverse=True)
+        low = np.zeros((len(value), classes), np.int64)
+        np.add.at(low, (at, t.column("y").to_numpy()), t.column("n").to_numpy())
+        low = low.cumsum(0) + before[i, f, k]
+        out = {"cell": cell, "first": value[0], "last": value[-1], "end": low[-1].tolist(),
+               "score": -1.0, "threshold": 0.0, "low": low[0].tolist()}
+        if len(value) > 1:
+            score = rate(low[:-1].astype(float), total[i].astype(float))
+            at = int(score.argmax())
+            out.update(score=score[at], threshold=float(middle(value[at], value[at + 1])), low=low[at].tolist())
+        return pa.Table.from_pylist([out], schema=pa.schema([
+            ("cell", pa.int64()), ("first", pa.float64()), ("last", pa.float64()), ("end", pa.list_(pa.int64())),
+            ("score", pa.float64()), ("threshold", pa.float64()), ("low", pa.list_(pa.int64()))]))
+
+    found = (rows.mapInArrow(values, "cell long, value double, y int").groupBy("cell", "value", "y").agg(F.count("*").alias("n"))
+             .groupBy("cell").applyInArrow(best, "cell long, first double, last double, end array<long>, score double, "
+                                                 "threshold double, low array<long>").collect())
+    held.destroy()
+    told.destroy()
+    out = {int(n): {"total": total[i], "score": -1.0} for i, n in enumerate(nodes)}
+
+    def offer(i: int, score: float, f: int, threshold: float, low: list):
+        r = out[int(nodes[i])]
+        if score >= 0 and (r["score"] < 0 or (score, -f, -threshold) > (r["score"], -r["feature"], -r["threshold"])):
+            r.update(score=score, feature=f, threshold=threshold, low=np.array(low))
+
+    found.sort(key=lambda r: r["cell"])
+    for j, r in enumerate(found):
+        list_, k = divmod(r["cell"], bins)
+        i, f = divmod(list_, width)
+        offer(i, r["score"], f, r["threshold"], r["low"])
+        if asked[i, f, k] and j + 1 < len(found) and found[j + 1]["cell"] // bins == list_:     # the next bin with rows
+            offer(i, float(ends[i, f, k]), f, float(middle(r["last"], found[j + 1]["first"])), r["end"])
+    return out
 
 
 @dataclass
@@ -202,21 +306,30 @@ def fit(train: DataFrame, features: str = "features", label: str = "label", loca
     small: list[tuple] = [(0, 0)] if seen["n"] <= few else []
     large: dict = {} if small else {0: 0}
     number = 1                       # a node's id is its number here times 2^32; nodes inside add to that
-    while large:
-        which = spark.createDataFrame([(k,) for k in large], "node long")
-        splits = {r["node"]: r for r in _best_splits(rows.join(which, "node", "left_semi"), classes)}
+    borders = _borders(rows, seen["width"]) if large and seen["width"] else []
+    moves: list[tuple] = []          # since the rows' nodes were written
+
+    def written(rows: DataFrame) -> DataFrame:
+        """The rows with the nodes that ``moves`` lead to."""
+        held = spark.sparkContext.broadcast(Steps(moves))
+
+        @F.arrow_udf("long")
+        def walk(node: pa.Array, x: pa.Array) -> pa.Array:
+            return pa.array(held.value.walk(node.to_numpy(zero_copy_only=False), _matrix(x)))
+
+        return stored(rows.select(walk("node", "x").alias("node"), "x", "y"), "rows")
+
+    base, levels = list(large), 0
+    while large and borders:
+        splits = _best_splits(rows.where(F.col("node").isin(base)), Steps(moves), list(large), classes, borders)
         next_large: dict = {}
-        agree: dict = {}
-        moves = []
         for node, depth in large.items():
-            r = splits.get(node)
-            if r is None:            # all rows agree
-                agree[node] = np.zeros(classes, np.int64)
-                continue
-            total, low = np.array(r["total"]), np.array(r["low"])
-            if np.count_nonzero(total) == 1:
+            r = splits[node]
+            total = r["total"]
+            if r["score"] < 0 or np.count_nonzero(total) == 1:       # all rows agree
                 top.append(_node(node << 32, depth, total))
                 continue
+            low = r["low"]
             kids = []
             for counts in (low, total - low):
                 kid, number = number, number + 1
@@ -229,17 +342,15 @@ def fit(train: DataFrame, features: str = "features", label: str = "label", loca
                     next_large[kid] = depth + 1
             moves.append((node, r["feature"], r["threshold"], *kids))
             top.append(_node(node << 32, depth, total, (r["score"], r["feature"], r["threshold"], kids[0] << 32, kids[1] << 32)))
-        if agree:
-            which = spark.createDataFrame([(k,) for k in agree], "node long")
-            for r in rows.join(which, "node", "left_semi").groupBy("node", "y").count().collect():
-                agree[r["node"]][r["y"]] = r["count"]
-            top.extend(_node(k << 32, large[k], counts) for k, counts in agree.items())
-        if moves:
-            step = spark.createDataFrame(moves, "node long, _f int, _t double, _l long, _r long")
-            goes = F.when(F.col("x")[F.col("_f")] <= F.col("_t"), F.col("_l")).otherwise(F.col("_r"))
-            rows = stored(rows.join(step, "node", "left").select(
-                F.when(F.col("_f").isNotNull(), goes).otherwise(F.col("node")).alias("node"), "x", "y"), "rows")
-        large = next_large
+        large, levels = next_large, levels + 1
+        if moves and (levels % STORE_LEVELS == 0 or not large):
+            rows = written(rows)
+            moves, base = [], list(large)
+    if large:                        # vectors without features
+        counts = np.zeros(classes, np.int64)
+        for r in rows.groupBy("y").count().collect():
+            counts[r["y"]] = r["count"]
+        top.append(_node(0, 0, counts))
 
     def finish(key, t):
         node = key[0].as_py()

@@ -308,6 +308,26 @@ def test_components_of_a_wide_sparse_table(spark):
     assert max(side[0]) < min(side[1]) or max(side[1]) < min(side[0])
 
 
+# ---------------------------------------------------------------------------------------------------------
+# trees over the cluster
+
+
+def test_few_coarse_bins_give_the_tree_of_one_task(spark, monkeypatch):
+    """Only bins that can hold the best threshold are counted by their values, and where bins end never shows."""
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(600, 3)) * [1, 5, 0.4], 1)
+    y = (x[:, 0] + rng.normal(size=600) > 0).astype(int) + (x[:, 1] > 6)
+    df = spark.createDataFrame([(Vectors.dense(v), int(k)) for v, k in zip(x, y)], ["features", "label"])
+    told = lambda t: sorted((r["depth"], r["n"], r["feature"], r["threshold"], r["counts"]) if r["feature"] is not None
+                            else (r["depth"], r["n"], -1, 0.0, r["counts"]) for r in t.nodes.collect())
+    want = told(tree.fit(df))
+    monkeypatch.setattr(tree, "STORE_LEVELS", 3)
+    for bins, corners in ((1024, 8), (20, 8), (20, 1)):
+        monkeypatch.setattr(tree, "BINS", bins)
+        monkeypatch.setattr(tree, "CORNER_CLASSES", corners)
+        assert told(tree.fit(df, local_cells=600)) == want
+
+
 # ---------------------------------------------------------------------------------------------------------
 # fused network
 
