@@ -15,6 +15,7 @@ from quarry.operators import fptree, lloyd, network, pca, profile, quantiles, sv
 from quarry.operators import models as M
 from quarry.operators import neighbours as N
 from quarry.operators import sampling as X
+from quarry.session import right_size
 
 # ---------------------------------------------------------------------------------------------------------
 # nearest neighbours
@@ -308,6 +309,34 @@ def test_components_of_a_wide_sparse_table(spark):
     assert max(side[0]) < min(side[1]) or max(side[1]) < min(side[0])
 
 
+# ---------------------------------------------------------------------------------------------------------
+# rows that take part in a product
+
+
+def test_products_take_only_rows_that_fall_short():
+    rng = np.random.default_rng(2)
+    dense = rng.normal(size=(40, 6)) * (rng.random((40, 6)) < 0.5)
+    dense[3] = 0
+    n = (dense != 0).sum(1)
+    r = svm.Rows(np.concatenate([[0], np.cumsum(n)]), np.nonzero(dense)[1].astype(np.int32), dense[dense != 0],
+                 rng.integers(0, 3, 40).astype(np.int32))
+    w, v, x = rng.normal(size=(7, 3)), rng.normal(size=(7, 3)), np.c_[dense, np.ones(40)]
+    short = svm._short(r, np.arange(3), w)[1]
+    active = [r.where(s > 0) for s in short.T]
+    assert [len(a.label) for a in active] == (short > 0).sum(0).tolist() and any(len(a.label) < 40 for a in active)
+    want = x.T @ (2 * (short > 0) * (x @ v))
+    assert np.allclose(svm._bent(active, v, 7)[:-3].reshape(3, 7).T, want)
+    held = svm.Held([r, r], 7, 1.0, 0)
+    for _ in range(2):                               # the second time from what is held
+        assert np.allclose(held._sum(np.arange(3), w, v)[1].T, 2 * want)
+
+
+def test_a_fit_keeps_its_cores(spark):
+    rows = spark.range(0, 60_000, 1, 12)
+    assert right_size(rows, 60_000).rdd.getNumPartitions() == 12
+    assert right_size(rows, 6_000).rdd.getNumPartitions() == 2
+
+
 # ---------------------------------------------------------------------------------------------------------
 # trees over the cluster
 
