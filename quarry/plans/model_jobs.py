@@ -19,7 +19,7 @@ from quarry.operators import sampling as X
 from quarry.operators.network import Block
 from quarry.plans.neighbour_jobs import _embeddings
 from quarry.plans.sample_jobs import SEED, TEST_SIZE, _urgent_orders
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, stored
 
 TEXT_FEATURES = 5000
 FUSED_TEXT_FEATURES = 500
@@ -34,13 +34,14 @@ def _doc_features(spark, sf_dir):
     from quarry.plans.tables import text_table
 
     docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    clean = docs.select("doc_id", "lang", tx.clean_tokens("text").alias("tokens"))
+    # written once: the stems' vocabulary, the stems and the labels read it
+    clean = stored(docs.select("doc_id", "lang", tx.clean_tokens("text").alias("tokens")), "clean")
     # the reference stems the cleaned tokens (T7), and its vectorizer then ignores 1-character stems
     stems = T.stem_tokens(clean, "doc_id", F.col("tokens"))
     stems = stems.select("doc_id", F.filter("stems", lambda x: F.length(x) >= 2).alias("tokens"))
     coded, _ = E.label_encode(clean.select("doc_id", "lang").join(stems, "doc_id"), "lang", "label")
-    # cleaned + stemmed documents are read by several jobs below (counts, vocabulary, vectors): write once
-    coded = coded.select("doc_id", "label", tx.with_bigrams("tokens").alias("grams"))
+    # stemmed documents are read by several jobs below (both parts of the split, counts, vocabulary, vectors): write once
+    coded = stored(coded.select("doc_id", "label", tx.with_bigrams("tokens").alias("grams")), "coded")
     split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))
     # vocabulary and idf are those of the training part
     feats = M.tfidf_features(split, "doc_id", "grams", TEXT_FEATURES, fit_on=split.where("split = 'train'"))
@@ -192,6 +193,7 @@ def _fused(spark, sf_dir):
     docs = text_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     coded, _ = E.label_encode(docs.select(
         "doc_id", "lang", tx.word_tokens("text", tx.TOKEN_1PLUS).alias("tokens")), "lang", "label")
+    coded = stored(coded, "coded")       # the split reads its rows twice
     split = cut_lineage(X.stratified_split(coded, "label", ["doc_id"], TEST_SIZE, SEED))
     text = M.tfidf_features(split, "doc_id", "tokens", FUSED_TEXT_FEATURES, "txt", split.where("split = 'train'"))
     look = docs.select("doc_id", E.to_vector(_shape("text")).alias("look"))
