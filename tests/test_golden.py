@@ -163,6 +163,18 @@ def test_porter_examples(spark):
     assert got == cases
 
 
+def test_stem_tokens_shuffles_documents_not_tokens(spark):
+    from quarry.operators.text import stem_tokens
+
+    df = spark.createDataFrame([(1, ["running", None, "dogs"]), (2, None)], "d long, t array<string>")
+    out = stem_tokens(df, "d", F.col("t"))
+    assert {r["d"]: r["stems"] for r in out.collect()} == {1: ["run", "dog"], 2: []}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    whole = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert whole.count("Exchange hashpartitioning") == 1             # of documents, before their tokens are rows
+
+
 def test_stem_tokens_keeps_order_and_empty_docs(spark):
     from quarry.operators.text import stem_tokens
 
