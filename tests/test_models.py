@@ -4,7 +4,8 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
@@ -58,3 +59,15 @@ def test_vectors_hold_the_long_weights(spark, small_dir):
         b.setdefault(r["doc_id"], []).append(round(r["weight"], 9))
     assert {d: w for d, w in a.items() if w} == {d: sorted(w) for d, w in b.items()}
     assert all(abs(sum(x * x for x in w) - 1) < 1e-6 for w in a.values() if w)
+
+
+@pytest.mark.parametrize("fit", [M.random_forest, lambda t: M.logistic_regression(t, multinomial=False)])
+def test_models_of_two_classes_score_after_an_observation(spark, fit):
+    # the observation gives the session a part that cannot be serialised, and a training summary holds the session
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df = spark.createDataFrame([(float(i % 2), [float(i % 2), float(i % 5)]) for i in range(60)], "label double, x array<double>")
+    df = df.select("label", array_to_vector("x").alias("features"))
+    rows = fit(df).transform(df).select("label", "prediction").collect()
+    assert len(rows) == 60 and all(r["label"] == r["prediction"] for r in rows)
