@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import odd_documents, odd_rows, prose
 from oracle import compare, duck
@@ -247,6 +248,20 @@ def test_repeats_of_an_empty_table_and_many_contexts(spark, monkeypatch):
         brute_repeats(rows, 50)
 
 
+def test_only_sides_on_which_phrases_agree_are_compared():
+    # phrases 1 and 2 of trigger 7 agree on the left, 1 and 3 on neither side; trigger 8 has one phrase, in two documents;
+    # trigger 9 has more phrases than its chunk sent
+    rows = [r for chunk, a, b, left, right, doc in [
+        (1, [7, 7, 8, 9], [1, 2, 5, 6], [3, 3, 1, 1], [5, 6, 1, 0], [10, 11, 12, 13]), (2, [7, 8, 9], [3, 5, 0], [4, 1, 0], [0, 1, 0], [5, 4, 20])]
+        for r in suffix_dedup.send(chunk, 0, *(np.array(x, np.uint64) for x in (a, b)), np.array(doc),
+                                   *(np.array(x, np.uint32) for x in (left, right)))]
+    sent = pa.Table.from_batches([suffix_dedup.rows_batch(rows, suffix_dedup._SENT_ARROW)])
+    got = {r["chunk"]: [np.unpackbits(np.frombuffer(r[c], np.uint8), count=n).tolist() for c in ("left", "right", "less")]
+           for r, n in zip(suffix_dedup._answer(2)(sent).to_pylist(), (4, 3))}
+    assert got[1] == [[1, 1, 0, 1], [0, 0, 0, 1], [0, 0, 1, 0]]
+    assert got[2][0][:2] == [0, 0] and got[2][1][:2] == [0, 0] and got[2][2] == [0, 0, 0]
+
+
 # 4 near-duplicates
 
 
