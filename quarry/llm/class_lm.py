@@ -38,7 +38,8 @@ CLASSES = 64                 # at most 250
 ROUNDS = 20                  # over the head
 SWEEPS = 2                   # distributed rounds over all words
 OFTEN = 1000                 # training tokens from which a word's gain is taken in full, not to first order
-CHUNK = 16 << 20
+CHUNK = 8 << 20
+PIECE = 1 << 20              # bytes of text, or words, that are worked on at once within a chunk
 SLICE = 32 << 20             # bytes of text for each slice of the vocabulary
 TABLE = 64                   # the head's bigram table travels in so many pieces
 PART = 12                    # endings in 2^PART share a message
@@ -121,24 +122,41 @@ def table(**columns) -> pa.Table:
     return pa.table({k: v if isinstance(v, (pa.Array, pa.ChunkedArray)) else pa.array(v) for k, v in columns.items()})
 
 
+def split(texts: pa.ChunkedArray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """All words as numbers in the list of distinct ones (empty ones, too), that list, and how many each text has. What
+    the words take while they are split is bounded by ``PIECE`` bytes of text and the longest text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    at, names, count, lo = [], [], [], 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PIECE, side="right")))
+        raw = pa.array([t.translate(LOWER) for t in texts.slice(lo, hi - lo).to_pylist()], pa.large_binary())
+        lists = pc.ascii_split_whitespace(raw.view(pa.large_string()))
+        some = lists.flatten().dictionary_encode()
+        at.append(some.indices.to_numpy())
+        names.append(some.dictionary.view(pa.large_binary()))
+        count.append(pc.list_value_length(lists).to_numpy())
+        lo = hi
+    whole = pa.concat_arrays(names).dictionary_encode()
+    number, start = whole.indices.to_numpy(), np.cumsum([0, *map(len, names)])
+    return (np.concatenate([number[i:][a] for i, a in zip(start, at)]), whole.dictionary.to_pylist(),
+            np.concatenate(count).astype(np.int64))
+
+
 def coded(rows: pa.Table, number: int, slices: int) -> dict:
     """A chunk: its documents (without texts), the codes of their words and ends (0), and its distinct words, whose codes
     go by slice: those of ``slices[i]`` begin at ``cuts[i]``."""
-    raw = pa.array([t.translate(LOWER) for t in rows.column("text").to_pylist()], pa.large_binary())
-    lists = pc.ascii_split_whitespace(raw.view(pa.large_string()))
-    coded_ = lists.flatten().dictionary_encode()
-    words = coded_.dictionary.view(pa.large_binary()).to_pylist()
-    at = coded_.indices.to_numpy().astype(np.int64)
+    at, words, count = split(rows.column("text"))
     good = np.array([w != b"" for w in words], bool)
-    keep = good[at]
     of = np.array([zlib.crc32(w) % slices if w else -1 for w in words], np.int64)
     order = np.argsort(of, kind="stable")[int((~good).sum()):]
-    code = np.zeros(len(words), np.int64)
+    code = np.zeros(len(words), np.int32)
     code[order] = 1 + np.arange(len(order))
-    doc = np.repeat(np.arange(len(raw)), pc.list_value_length(lists).to_numpy())[keep]
-    length = np.bincount(doc, minlength=len(raw)) + 1
-    codes = np.zeros(int(length.sum()), np.int32)
-    codes[np.arange(len(doc)) + doc] = code[at[keep]]        # an end stands behind every document before
+    at = code[at]                                            # 0 for what is no word
+    edge = np.append(0, np.cumsum(at > 0, dtype=np.int32))[np.append(0, np.cumsum(count))]
+    length = np.diff(edge).astype(np.int64) + 1
+    codes, word = np.zeros(int(length.sum()), np.int32), np.ones(int(length.sum()), bool)
+    word[np.cumsum(length) - 1] = False                      # an end stands behind every document
+    codes[word] = at[at > 0]
     held = rows.column("held").to_numpy(zero_copy_only=False).astype(bool)
     n = np.bincount(codes[np.repeat(~held, length)], minlength=len(order) + 1)[1:]
     words = [words[i] for i in order]
@@ -207,17 +225,31 @@ def pairs_of(units: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, n
 
 
+def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if len(found) == 1:
+        return found[0]
+    key, n = map(np.concatenate, zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    return key[first], np.add.reduceat(n[order], first) if len(key) else n
+
+
 def contexts(t: Chunk, of: np.ndarray, width: int) -> Iterator[dict]:
     """For every slice what the chunk's words do: for each word of its own how often a class follows it (``col`` below
     ``width``) or stands before it. Endings speak for all rare words, in messages to the slices below 0."""
     code = t.training()
-    near = of[code].astype(np.int64)
-    before, after = np.append(0, near[:-1]), np.append(near[1:], 0)
-    word = code > 0
-    unit = np.append(np.int64(-1), np.where(t.own, np.arange(len(t.own)), len(t.own) + t.endings))[code]
-    key = np.concatenate([unit[word & (after != NONE)] * (2 * width) + after[word & (after != NONE)],
-                          unit[word & (before != NONE)] * (2 * width) + width + before[word & (before != NONE)]])
-    key, n = np.unique(key, return_counts=True)
+    near = np.concatenate([of[:1], of[code], of[:1]])        # an end stands before and behind
+    unit_of = np.append(np.int64(-1), np.where(t.own, np.arange(len(t.own)), len(t.own) + t.endings)) * (2 * width)
+    found = []
+    for lo in range(0, len(code), PIECE):                    # that many words at a time
+        here = code[lo:lo + PIECE]
+        before, after = near[lo:lo + len(here)], near[lo + 2:lo + 2 + len(here)]
+        unit, some, other = unit_of[here], (here > 0) & (after != NONE), (here > 0) & (before != NONE)
+        found.append(np.unique(np.concatenate([unit[some] + after[some], unit[other] + width + before[other]]),
+                               return_counts=True))
+    key, n = added(found)
     unit, col = key // (2 * width), (key % (2 * width)).astype(np.uint8 if 2 * width <= 256 else np.uint16)
     for s, a, b in zip(t.slices.tolist(), t.cuts - 1, t.cuts[1:] - 1):
         mine = np.flatnonzero(t.own[a:b]) + a

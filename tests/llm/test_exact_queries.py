@@ -202,6 +202,25 @@ def test_exchange_leaves_no_improving_move():
             assert of_classes(other) <= of_classes(of) + 1e-9
 
 
+def test_a_chunk_is_the_same_in_pieces(monkeypatch):
+    rng = random.Random(3)
+    texts = [prose(rng, rng.randint(0, 40)) + rng.choice(["", " ", "  \t", "É Ü"]) for _ in range(200)] + [""]
+    rows = pa.table({"id": pa.array(range(201)), "held": pa.array([i % 5 == 0 for i in range(201)]),
+                     "text": pa.chunked_array([pa.array([t.encode() for t in x], pa.binary()) for x in (texts[:90], texts[90:])])})
+    got = []
+    for piece in (1 << 20, 300, 1):
+        monkeypatch.setattr(class_lm, "PIECE", piece)
+        row = class_lm.coded(rows, 1, 5)
+        n = len(class_lm.rows_of(pa.scalar(row["words"], pa.binary())))
+        cuts = np.append(class_lm.unzip(row["cuts"], np.int64), n + 1)
+        counts = pa.table({"slice": class_lm.unzip(row["slices"], np.int64),
+                           "rank": [class_lm.zip_(np.arange(b - a, dtype=np.int32)) for a, b in zip(cuts, cuts[1:])],
+                           "c": [class_lm.zip_(1 + np.arange(a, b) % 3) for a, b in zip(cuts, cuts[1:])]})
+        chunk = class_lm.Chunk(row, counts, None)
+        got.append((row, list(class_lm.contexts(chunk, np.append(np.uint8(0), (1 + np.arange(n) % 7).astype(np.uint8)), 8))))
+    assert got[0] == got[1] == got[2] and len(got[0][1]) > 5
+
+
 # 3 repeats
 
 
