@@ -7,7 +7,6 @@ works on all rows that its predecessor kept.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,15 +50,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     safe = {c: f"__{i}" for i, c in enumerate(others)}   # whatever they are called, they cannot clash
     done = suffix_dedup.remove_repeats(docs.select("doc_id", "text", *[docs[f"`{c}`"].alias(n) for c, n in safe.items()]),
-                                       carry=tuple(safe.values()))
-
-    @F.arrow_udf("string")
-    def characters(kept: pa.Array) -> pa.Array:
-        return pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
-
+                                       carry=tuple(safe.values()), characters=True)
     cut = F.col("n_removed") > 0
-    text = F.when(cut, characters("kept")).otherwise(F.col("kept").cast("string"))
-    out = done.withColumn("__text", text).where(~cut | (F.col("__text") != ""))
+    out = done.withColumn("__text", F.col("kept").cast("string")).where(~cut | (F.col("__text") != ""))
 
     def column(c: str):
         if c == "doc_id":
