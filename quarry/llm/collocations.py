@@ -31,7 +31,7 @@ AT_LEAST = 30                # occurrences of a candidate
 LONGEST = 4                  # words of a phrase
 SAMPLE = 0.25                # share of the documents that proposes
 FIRST = 2000                 # phrases returned of each language
-BLOCK = 8 << 20              # bytes of text at a time
+BLOCK = 4 << 20              # bytes of text at a time
 SLICE = 32 << 20             # bytes of text for each slice
 MAP_BITS = 29                # log2 of the bit map's size, at most
 MAP_PARTS = 256              # pieces in which it comes to the driver
@@ -42,7 +42,7 @@ HELD = 1_000_000             # phrases that a task holds before it adds them up,
 OUT = "slice long, once binary, many binary, times binary, body binary"
 _OUT = pa.schema([("slice", pa.int64()), ("once", pa.binary()), ("many", pa.binary()), ("times", pa.binary()),
                   ("body", pa.binary())])
-BORDER = 4_000_000           # keys of border phrases that a task holds before it sends them
+BORDER = 1_000_000           # keys of border phrases that a task holds before it sends them
 KEYS = ["lang", "phrase", "m", "key"]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -153,12 +153,28 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         yield Words(langs, texts)
 
 
-def _counted(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and the sums of their counts."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
-    return key[first], np.add.reduceat(n[order], first) if len(key) else n
+def _joined(key: np.ndarray, n: np.ndarray, room: int) -> np.ndarray:
+    """Keys and counts as one number each, the count in its last ``room`` bits; what does not fit there goes on in
+    further numbers."""
+    most = (1 << room) - 1
+    out = [key << np.uint64(room) | np.minimum(n, most).astype(np.uint64)]
+    if len(n) and n.max() > most:
+        at = np.flatnonzero(n > most)
+        out.append(_joined(key[at], n[at] - most, room))
+    return out[0] if len(out) == 1 else np.concatenate(out)
+
+
+def _counted(parts: list[np.ndarray], room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts. Empties ``parts``: they are sorted in one place."""
+    x = np.concatenate(parts)
+    parts.clear()
+    x.sort()
+    if not len(x):
+        return x, np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, x[1:] >> np.uint64(room) != x[:-1] >> np.uint64(room)))
+    key = x[first] >> np.uint64(room)
+    x &= np.uint64((1 << room) - 1)
+    return key, np.add.reduceat(x, first).astype(np.int64)
 
 
 def _packed(key: np.ndarray, n: np.ndarray) -> Iterator[dict]:
@@ -202,11 +218,10 @@ class Miner:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.Table] = []
-            border: list[tuple] = []         # distinct keys and counts of some blocks
+            border: list[np.ndarray] = []    # distinct keys and counts of some blocks
 
             def put_border() -> Iterator[pa.RecordBatch]:
-                yield from _batches(_packed(*_counted(*map(np.concatenate, zip(*border)))))
-                border.clear()
+                yield from _batches(_packed(*_counted(border, 32 - bits)))
 
             def put() -> Iterator[pa.RecordBatch]:
                 t = summed(held, KEYS, "n")
@@ -227,8 +242,9 @@ class Miner:
                         held.append(pa.table({"lang": lang, "phrase": phrase.cast(pa.string()),
                                               "m": pa.array(np.full(len(at), m, np.int32)), "key": key, "n": n}))
                 if loose:
-                    border.append(np.unique(np.concatenate(loose) >> np.uint64(32 - bits), return_counts=True))
-                    if sum(len(k) for k, _ in border) > BORDER:
+                    border.append(_joined(*np.unique(np.concatenate(loose) >> np.uint64(32 - bits), return_counts=True),
+                                          32 - bits))
+                    if sum(map(len, border)) > BORDER:
                         yield from put_border()
                 if sum(map(len, held)) > HELD:
                     held[:] = [summed(held, KEYS, "n")]

@@ -131,6 +131,21 @@ def test_runs_are_columns():
 # 13 collocations
 
 
+@pytest.mark.parametrize("room", [3, 20])
+def test_border_keys_and_counts_in_one_number(room):
+    rng = np.random.default_rng(room)
+    parts, want = [], {}
+    for _ in range(4):
+        key, n = np.unique(rng.integers(0, 50, 300).astype(np.uint64) << np.uint64(30), return_counts=True)
+        n[::7] += 100                                   # more than 3 bits hold
+        for k, c in zip(key.tolist(), n.tolist()):
+            want[k] = want.get(k, 0) + c
+        parts.append(collocations._joined(key, n, room))
+    key, n = collocations._counted(parts, room)
+    assert dict(zip(key.tolist(), n.tolist())) == want and (np.diff(key.astype(np.int64)) > 0).all() and not parts
+    assert [len(x) for x in collocations._counted([collocations._joined(key[:0], n[:0], room)], room)] == [0, 0]
+
+
 def brute_phrases(rows, at_least, first, longest=4):
     f, n = defaultdict(Counter), Counter()
     for lang, t in rows:
