@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.llm.common import give_back
+from quarry.llm.common import give_back, let_go
 from quarry.llm.minhash import word_hashes
 
 WORD_BITS = 18
@@ -101,6 +101,7 @@ def packed(text: Column) -> Column:
     """Packed features of a text column."""
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
+        let_go(__name__)
         out: list[bytes] = []
         for at in range(0, len(texts), STEP):
             out.extend(pack_rows(features(texts.slice(at, STEP))))

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import only, tidy
+from quarry.llm.common import give_back, kept, only, tidy
 from quarry.llm.pieces import SPLIT, Table, offsets
 
 PIECES = ("id long, start long, length long, ids binary, total long, sequence_id long, offset long, "
@@ -133,17 +133,17 @@ class Encoder:
         return [np.array(h, "<u4").tobytes() + raw[a:b] for h, a, b in zip(heads, place, place[1:])]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; workers outlive tasks, so it is loaded once."""
-    if path not in _ENCODERS:
+    """The worker's encoder for a tokenizer file; workers outlive tasks, so it is loaded once, and goes when the worker
+    gets other work."""
+    held = kept(__name__)
+    if path not in held:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        held[path] = Encoder(path)
+        give_back()                                               # what loading it took
+    return held[path]
 
 
 def cut(total: int, prompt: int, limits: Limits) -> list[tuple[int, int]]:

@@ -16,7 +16,7 @@ from helpers import odd_documents, odd_rows, prose
 from oracle import compare, duck
 from pyspark.sql import functions as F
 
-from quarry.llm import class_lm, decontaminate, embedding_dedup, hnsw, minhash, packing, queries, sharding, \
+from quarry.llm import class_lm, common, decontaminate, embedding_dedup, hnsw, minhash, packing, queries, sharding, \
     suffix_dedup, warc
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -410,6 +410,16 @@ def test_packing_wastes_little(spark, small_dir):
     assert r["n"] / (1024 * r["s"]) > 0.97
 
 
+def test_an_encoder_goes_when_the_worker_gets_other_work():
+    path = queries.tokenizer_path()
+    first = packing.encoder(path)
+    common.let_go(packing.__name__)
+    assert packing.encoder(path) is first
+    common.tidy(lambda table: table)(None)                # a task of this module
+    assert not common.kept(packing.__name__)
+    assert packing.encoder(path).encode(["to be"]) == first.encode(["to be"])
+
+
 # 6 archives
 
 
