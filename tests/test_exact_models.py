@@ -261,6 +261,68 @@ def test_linear_silhouette_equals_all_pairs(spark, block):
         assert got[i] == pytest.approx(want, abs=1e-9)
 
 
+def _all_pairs_silhouette(x, c):
+    """``a``, ``b``, ``s`` of every row, by differences."""
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for i in range(len(x)):
+        mine = (c == c[i]) & (np.arange(len(x)) != i)
+        a = d[i, mine].mean() if mine.any() else None
+        b = min(d[i, c == k].mean() for k in set(c.tolist()) - {c[i]})
+        yield a, b, 0.0 if a is None or not max(a, b) else (b - a) / max(a, b)
+
+
+@pytest.mark.parametrize("block", [7, 64, 100_000])
+def test_exact_silhouette_by_blocks_of_clusters(spark, block):
+    rng = np.random.default_rng(5)
+    c = np.concatenate([np.zeros(40, int), np.ones(25, int), np.arange(60) % 20 + 2, [99]])   # cut, whole and single
+    x = rng.normal(size=(len(c), 3)) + 1e4 + c[:, None] % 3
+    x[1], x[50], x[60:63] = x[0], x[51] + 1e-7, x[0]       # equal and nearly equal rows, also of other clusters
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, c))]
+    rows += [(900, [1e4, 1e4, 1e4], None), (901, None, 0)]
+    df = spark.createDataFrame(rows, "i long, v array<double>, c int")
+    got = {r["i"]: r for r in N.silhouette(df, "i", "v", "c", block).collect()}
+    assert len(got) == len(x) + 1 and 901 not in got
+    assert (got[900]["c"], got[900]["a"], got[900]["b"], got[900]["s"]) == (None, None, None, 0.0)
+    for i, want in enumerate(_all_pairs_silhouette(x, c)):
+        assert got[i]["c"] == c[i]
+        for name, value in zip("abs", want):
+            assert got[i][name] is None if value is None else got[i][name] == pytest.approx(value, rel=1e-10, abs=1e-12)
+
+
+def test_exact_silhouette_of_equal_rows_is_zero(spark):
+    df = spark.createDataFrame([(i, [0.1, 0.7], i % 2) for i in range(6)], "i long, v array<double>, c int")
+    assert [(r["a"], r["b"], r["s"]) for r in N.silhouette(df, "i", "v", "c").collect()] == [(0.0, 0.0, 0.0)] * 6
+
+
+def test_exact_silhouette_takes_each_distance_once_and_sends_one_row_a_block(monkeypatch):
+    rng = np.random.default_rng(6)
+    taken, tiles = [], N._tiles
+    monkeypatch.setattr(N, "_tiles", lambda q, b: (taken.append(d.size) or (at, d) for at, d in tiles(q, b)))
+
+    def block(first, n, clusters, cut=False):
+        return pd.DataFrame({"qk": np.arange(first, first + n), "c": np.arange(first, first + n) // (n // clusters),
+                             "v": list(rng.normal(size=(n, 4))), "cut": cut, "i": 0, "j": 1})
+
+    left, right = block(0, 600, 200), block(600, 900, 300)
+    sent = N._meet(left, right)
+    assert sum(taken) == 600 * 900                         # one distance serves both rows
+    assert len(sent) == sent["qk"].nunique() == 1500       # not a row for each of 500 clusters
+    d = np.sqrt(((np.stack(left["v"])[:, None] - np.stack(right["v"])[None]) ** 2).sum(2))
+    least = sent.set_index("qk")["least"]
+    assert np.allclose(least[np.arange(600)], d.reshape(600, 300, 3).mean(2).min(1), rtol=1e-12)
+    assert np.allclose(least[np.arange(600, 1500)], d.reshape(200, 3, 900).mean(1).min(0), rtol=1e-12)
+
+
+def test_exact_silhouette_sends_rows_to_few_blocks(spark):
+    p = spark.range(4000).select(F.col("id").alias("qk"), F.array(F.col("id").cast("double")).alias("v"),
+                                 F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 800 + 1).cast("int").alias("c"))
+    dealt, blocks = N._dealt(p, 4000, 500)
+    sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
+    assert sum(sizes.values()) == 4000 and max(sizes) < blocks <= 8 and max(sizes.values()) < 1000
+    assert dealt.groupBy("c").agg(F.countDistinct("block").alias("b"), F.max("cut").alias("cut")).where(
+        "cut != (c = 0) or (b > 1) != cut").count() == 0
+
+
 def test_folds_are_scored_one_after_the_other(spark):
     rows = [(float(i % 2), Vectors.dense([float(i % 2), float(i % 5)]), i % 3) for i in range(30)]
     df = spark.createDataFrame(rows, ["label", "features", "fold"])
