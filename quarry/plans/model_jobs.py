@@ -102,7 +102,8 @@ def q_text_model_comparison(spark, sf_dir):
 
 def _churn_like(spark, sf_dir, stratified=True):
     """Balanced urgent-order table with drop-first one-hot features (the churn jobs' preparation)."""
-    df = X.undersample(_urgent_orders(spark, sf_dir), "urgent", ["o_orderkey"], SEED)
+    # written once: the categories of every text column, and the split, read the drawn rows
+    df = stored(X.undersample(_urgent_orders(spark, sf_dir), "urgent", ["o_orderkey"], SEED), "drawn")
     df = E.onehot_drop_first(df, E.text_columns(df), max_categories=100)
     feats = [c for c in df.columns if c not in ("o_orderkey", "urgent")]
     df = VectorAssembler(inputCols=feats, outputCol="features").transform(df).select(

@@ -419,6 +419,38 @@ def test_few_coarse_bins_give_the_tree_of_one_task(spark, monkeypatch):
         assert told(tree.fit(df, local_cells=600)) == want
 
 
+def test_a_task_splits_all_nodes_of_a_depth_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.integers(0, 3, 900), rng.normal(size=900), rng.integers(0, 40, 900)]
+    y = rng.integers(0, 3, 900)
+    calls, middle = [], tree.middle
+    for counted in (1, 16, 10**6):               # of a sorted or a counted feature, the same tree
+        monkeypatch.setattr(tree, "COUNTED", counted)
+        monkeypatch.setattr(tree, "middle", lambda a, b: calls.append(1) or middle(a, b))
+        nodes = tree.grow(x, y, 3, 5, 0)
+        made = len(calls)
+        calls.clear()
+        monkeypatch.setattr(tree, "middle", middle)
+        assert in_order({n["id"]: n for n in nodes}, 5) == brute_tree(x, y, 3)
+        assert made <= 3 * (1 + max(n["depth"] for n in nodes)) < sum(n["feature"] is not None for n in nodes)
+
+
+@pytest.mark.parametrize("cells", [10**6, 60])
+def test_a_tree_that_is_not_held_scores_part_by_part(spark, monkeypatch, cells):
+    values = np.repeat(np.arange(60.0), 1 + np.arange(60) ** 2 // 80)     # large ends split off one by one: deep
+    df = spark.createDataFrame([(i, float(v) % 2, Vectors.dense([v])) for i, v in enumerate(values)] + [(-1, 0.0, None)], ["i", "label", "features"])
+    model = tree.fit(df, local_cells=cells)
+    assert model.nodes.agg(F.max("depth")).first()[0] > 15
+    want = sorted((r["i"], r["prediction"]) for r in model.transform(df).where("i >= 0").collect())
+    model.held, written, stored = 1, [], tree.stored
+    monkeypatch.setattr(tree, "PART_ROWS", 100)
+    monkeypatch.setattr(tree, "stored", lambda d, name: written.append(name) or stored(d, name))
+    out = model.transform(df)
+    assert sorted((r["i"], r["prediction"]) for r in out.where("i >= 0").collect()) == want
+    assert out.where("i < 0").first()["prediction"] is None and out.columns == [*df.columns, "prediction"]
+    assert len(written) <= 3                     # not some for every level
+
+
 # ---------------------------------------------------------------------------------------------------------
 # fused network
 
