@@ -220,3 +220,37 @@ def test_blocked_pairs_equal_single_block(spark, small_dir):
     s1 = N.silhouette(z, "vec_id", "features", "label", block_rows=100_000).select("vec_id", F.round("s", 9))
     s2 = N.silhouette(z, "vec_id", "features", "label", block_rows=9).select("vec_id", F.round("s", 9))
     assert s1.exceptAll(s2).count() == 0
+
+
+def test_words_and_pairs_make_the_vocabulary_of_all_bigrams(spark):
+    """Pairs of rare words are not made, and the vocabulary is still that of all pairs, ties included."""
+    import random
+    from quarry.functions import text as tx
+    from quarry.operators import text as T
+
+    rng = random.Random(8)
+    rows = [(i, [f"w{min(int(rng.expovariate(0.12)), 60)}" for _ in range(rng.randint(0, 30))]) for i in range(120)] + [(999, None)]
+    df = spark.createDataFrame(rows, "d int, t array<string>")
+    told = lambda docs, n: [tuple(r) for r in T.vocabulary(T.term_counts(docs, "d", F.col("g")), "d", n).collect()]
+    every = tx.with_bigrams("t")
+    for n in (1, 12, 40, 10**6):
+        words = T.frequent_words(df, F.col("t"), n)
+        assert words is None if n == 10**6 else len(words) >= n
+        made = T.words_and_pairs(df, "t", words, "g")
+        assert told(made, n) == told(df.withColumn("g", every), n)
+        if n == 12:
+            assert made.select(F.explode("g").alias("g")).distinct().count() < 0.7 * df.select(F.explode(every).alias("g")).distinct().count()
+
+
+def test_stems_are_mapped_without_a_shuffle_of_tokens(spark):
+    """Tokens stay in blocks; a block's words go to the stemmer once."""
+    from quarry.operators.text import stem_tokens
+
+    rows = [(i, ["running", None, "flies"] * 50 if i % 3 else ([] if i % 2 else None), f"c{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "d int, t array<string>, c string").coalesce(1)
+    out = stem_tokens(df, "d", F.col("t"), ["c"])
+    assert [f.name for f in out.schema.fields] == ["d", "c", "stems"]
+    assert {r["d"]: (r["c"], r["stems"]) for r in out.collect()} == {
+        i: (f"c{i}", ["run", "fli"] * 50 if i % 3 else []) for i in range(40)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(words" in plan and "posexplode(_tok" not in plan
