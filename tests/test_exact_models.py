@@ -393,6 +393,34 @@ def test_products_take_only_rows_that_fall_short():
         assert np.allclose(held._sum(np.arange(3), w, v)[1].T, 2 * want)
 
 
+@pytest.mark.parametrize("near", [0.0, 1.0])
+def test_products_read_only_rows_that_fall_short(spark, monkeypatch, near):
+    """Over the cluster, rows that fall short are kept apart for the products of a step, and given back after it."""
+    monkeypatch.setattr(svm, "HELD_BYTES", 0)
+    monkeypatch.setattr(svm, "NEAR", near)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4)) + 4 * np.eye(4)[rng.integers(0, 3, 300)]
+    y = x[:, :3].argmax(1)
+    df = spark.createDataFrame([(float(k), Vectors.dense(v)) for v, k in zip(x, y)], ["label", "features"]).repartition(3)
+    kept, rows_near = [], svm.Loss._rows_near
+
+    def watched(self, which, w):
+        found = rows_near(self, which, w)
+        if found is not None and (not kept or kept[-1][0] is not found):
+            kept.append((found, sum(len(np.frombuffer(r["label"], np.int32)) for r in found.collect())))
+        return found
+
+    monkeypatch.setattr(svm.Loss, "_rows_near", watched)
+    model = svm.fit(df, C=0.7)
+    a = np.column_stack([x, np.ones(len(x))])
+    for k in range(3):
+        w, value = newton(a, np.where(y == k, 1.0, -1.0), 0.7)
+        assert value(model.weights[k]) - value(w) < 1e-6
+    assert bool(kept) == (near > 0)
+    assert all(n == 300 for _, n in kept[:1]) and (not kept or kept[-1][1] < 200)
+    assert not any(f.storageLevel.useMemory for f, _ in kept)
+
+
 def test_a_fit_keeps_its_cores(spark):
     rows = spark.range(0, 60_000, 1, 12)
     assert right_size(rows, 60_000).rdd.getNumPartitions() == 12
