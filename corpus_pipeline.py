@@ -29,7 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates: the one with the smallest id. Of rows that share an id, one. Null
     and empty texts are alone in their groups and stay; a null id counts as larger than any other."""
     prepare(spark)
-    found = minhash.near_duplicates(docs)
+    found = minhash.near_duplicates(docs, copies_once=True)
     rows = found.groupBy("key", "group_id").agg(F.count("*").alias("n"))
     # what does not simply stay, written so that its size is known: the texts are shuffled only if it is large
     path = scratch_path(spark, "decided")

@@ -327,6 +327,34 @@ def test_groups_against_all_pairs(spark):
     assert got == want
 
 
+def test_edited_copies_of_a_large_group_are_found(spark):
+    # 150 copies of one text, each with an edit of its own in the last 20 words: every two of them, and the original, are
+    # 0.85 alike or more, but what they share weighs little, as 150 texts hold it
+    rng = random.Random(6)
+    first = prose(rng, 150).split()
+    rows = [(0, " ".join(first))]
+    for i in range(1, 151):
+        w = list(first)
+        for k in rng.sample(range(135, 150), 3):
+            w[k] = f"edit{i}x{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, prose(rng, 60)) for i in range(2000)]
+    docs = odd_documents(spark, rows)
+    got = {r["id"]: r["group_id"] for r in minhash.near_duplicates(docs, copies_once=True).collect()}
+    assert all(got[i] == 0 for i in range(151)) and all(got[1000 + i] == 1000 + i for i in range(2000))
+    assert sum(r["group_id"] == 0 for r in minhash.near_duplicates(docs).collect()) < 75     # by the ordinary weights
+
+
+def test_a_passage_of_many_texts_does_not_make_copies(spark):
+    passage = " ".join(f"w{i}" for i in range(104))
+    rows = [(i, f"{passage} own{i} of{i} it{i}") for i in range(2)]
+    rows += [(10 + i, passage + "".join(f" x{i}y{k}" for k in range(300))) for i in range(1000)]
+    rows += [(5000, prose(random.Random(1), 80))] * 2 + [(5001, None), (5002, "")]
+    rows += [(6000 + i, " ".join(f"z{i}q{k}" for k in range(400))) for i in range(600)]
+    got = minhash.near_duplicates(odd_documents(spark, rows), copies_once=True)
+    assert got.count() == len(rows) and got.where("id <> group_id").count() == 0
+
+
 def test_groups_of_odd_rows(spark):
     rows = odd_rows()
     out = minhash.near_duplicates(odd_documents(spark, rows)).collect()
