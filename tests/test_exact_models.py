@@ -534,6 +534,17 @@ def test_network_trains_side_by_side_and_in_rounds(spark, monkeypatch):
     assert fit(rate=0.02, epochs=8).history[-1]["valid_accuracy"] > 0.9
 
 
+def test_epochs_do_not_shuffle_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, float(v[0] > 0), Vectors.dense(v)) for i, v in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, ["i", "label", "a"])
+    monkeypatch.setattr(network, "STEPS", 4)
+    dealt, repartition = [], type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda self, *a: dealt.append(a) or repartition(self, *a))
+    history = network.fit(df, df, [network.Block("a", 4)], "i", joint=4, epochs=4, patience=9).history
+    assert len(history) == 4 and len(dealt) == 1
+
+
 def test_rules_of_too_large_sets_are_an_error(spark):
     big = [chr(97 + i) for i in range(21)]
     sets = spark.createDataFrame([(big, 0.5), (["a"], 0.5), (["b"], 0.5), (["a", "b"], 0.5)], "items array<string>, support double")
